@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.plans.market import MarketInputs
+from ridelake.sources.scans import spread_if_few_splits
 
 TARGET_DATE = dt.date(2022, 5, 1)
 APP_ID = "app.rider"
@@ -22,8 +23,25 @@ _RECEIPT_REGIONS = ["서울_경기", "부천", "인천", "부산", "성남"]
 _TYPES = ["LITE", "PREMIUM", "NXT"]
 
 
+TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_if_few_splits(table(spark, sf_dir, "events"), "event_id")
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -98,8 +116,9 @@ def ride_estimation_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         e % 9 != 0, F.concat(_pick(["서울특별시 강남구 ", "부산광역시 해운대구 ", "경기도 성남시 "], u), u.cast("string"))
     )
     return (
-        table(spark, sf_dir, "events")
-        .select("*", F.explode(F.array_compact(listed)).alias("est"))
+        _events(spark, sf_dir)
+        .select("*", F.explode(listed).alias("est"))
+        .where(F.col("est").isNotNull())
         .select(
             F.lit(TARGET_DATE).alias("date_kr"),
             F.lit("ride_estimation").alias("log_type"),
@@ -120,7 +139,7 @@ def ride_estimation_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return _events(spark, sf_dir).where(F.col("event_type") == "purchase")
 
 
 def ride_request_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +276,7 @@ def app_event_from(events: DataFrame) -> DataFrame:
 
 
 def app_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return app_event_from(table(spark, sf_dir, "events"))
+    return app_event_from(_events(spark, sf_dir))
 
 
 def export_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,15 +302,23 @@ def forecast_pages_from(events: DataFrame) -> DataFrame:
     """One page per event; works on a batch or a stream of ``events``."""
     e, u = F.col("event_id"), F.col("user_id")
     epoch = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")
-    base = F.timestamp_add("HOUR", F.timestamp_diff("HOUR", epoch, F.col("ts")), epoch)
-    ahead = base + F.make_dt_interval(hours=F.lit(1))
+    hours = F.timestamp_diff("HOUR", epoch, F.col("ts"))
+    base, ahead = F.timestamp_add("HOUR", hours, epoch), F.timestamp_add("HOUR", hours + 1, epoch)
+    events = events.select(
+        "*",
+        base.alias("base"),
+        F.date_format(base, "yyyyMMdd").alias("base_date"),
+        F.date_format(base, "HH00").alias("base_time"),
+        F.date_format(ahead, "yyyyMMdd").alias("fcst_date"),
+        F.date_format(ahead, "HH00").alias("fcst_time"),
+    )
 
     def item(category: str, value: Column) -> Column:
         return F.struct(
-            F.date_format(base, "yyyyMMdd").alias("baseDate"),
-            F.date_format(base, "HH00").alias("baseTime"),
-            F.date_format(ahead, "yyyyMMdd").alias("fcstDate"),
-            F.date_format(ahead, "HH00").alias("fcstTime"),
+            F.col("base_date").alias("baseDate"),
+            F.col("base_time").alias("baseTime"),
+            F.col("fcst_date").alias("fcstDate"),
+            F.col("fcst_time").alias("fcstTime"),
             F.lit(category).alias("category"),
             value.alias("fcstValue"),
         )
@@ -314,7 +341,7 @@ def forecast_pages_from(events: DataFrame) -> DataFrame:
         _text("h", u).alias("h3_l7"),
         (F.lit(33) + (u % 500) / 100).alias("lat"),
         (F.lit(125) + (u % 400) / 100).alias("lon"),
-        base.alias("updated_at_kr"),
+        F.col("base").alias("updated_at_kr"),
     )
     bad = e % 50 == 0
     header = F.struct(
@@ -325,7 +352,7 @@ def forecast_pages_from(events: DataFrame) -> DataFrame:
 
 
 def forecast_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast_pages_from(table(spark, sf_dir, "events"))
+    return forecast_pages_from(_events(spark, sf_dir))
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,12 +433,12 @@ def ticket_pages_from(events: DataFrame) -> DataFrame:
 
 
 def ticket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ticket_pages_from(table(spark, sf_dir, "events"))
+    return ticket_pages_from(_events(spark, sf_dir))
 
 
 def ticket_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Pages of the first 20 days and of the last 15, which overlap."""
-    events = table(spark, sf_dir, "events")
+    events = _events(spark, sf_dir)
     first = events.where(F.col("ts") < F.expr("TIMESTAMP_NTZ'2024-01-21 00:00:00'"))
     second = events.where(F.col("ts") >= F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'"))
     return ticket_pages_from(first), ticket_pages_from(second)
@@ -430,7 +457,7 @@ def metric_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(F.col("ts")).alias("updated_at"),
         *[duration.alias(c) for c in schemas.METRIC_DURATIONS],
     )
-    return _pages(table(spark, sf_dir, "events"), entry, "ticket_metrics", schemas.METRIC_PAGE)
+    return _pages(_events(spark, sf_dir), entry, "ticket_metrics", schemas.METRIC_PAGE)
 
 
 def user_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,7 +471,7 @@ def user_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _created(u % 20).alias("created_at"),
         _iso(F.col("ts")).alias("updated_at"),
     )
-    return _pages(table(spark, sf_dir, "events"), entry, "users", schemas.USER_PAGE)
+    return _pages(_events(spark, sf_dir), entry, "users", schemas.USER_PAGE)
 
 
 # --- reports ---
@@ -495,7 +522,7 @@ def trade_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def community_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "user_id")
+    return _events(spark, sf_dir).select(F.col("event_id").alias("id"), "user_id")
 
 
 def team_skills(spark: SparkSession, sf_dir: str) -> DataFrame:

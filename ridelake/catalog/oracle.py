@@ -275,7 +275,10 @@ CTES["valid"] = """
               PARTITION BY rider_id
               ORDER BY estimate_time_kr, request_time_kr NULLS FIRST, date_kr, origin_region NULLS FIRST, log_type,
                        origin_address NULLS FIRST, destination_address, distance_meters, duration_seconds,
-                       ride_id NULLS FIRST, request_time_ms NULLS FIRST) AS lead_time
+                       ride_id NULLS FIRST, request_time_ms NULLS FIRST, ride_status NULLS FIRST,
+                       session_type NULLS FIRST, is_valid_5_last NULLS FIRST, matched_vehicle_type NULLS FIRST,
+                       request_lite_estimation_uuid NULLS FIRST, request_plus_estimation_uuid NULLS FIRST,
+                       request_next_estimation_uuid NULLS FIRST) AS lead_time
           FROM joined)"""
 CTES["view_counts"] = """
     SELECT date_kr, origin_region, count(DISTINCT rider_id_time_ms) FILTER (is_valid) AS n

@@ -328,8 +328,7 @@ def rolling_team_power(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = fx.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(fx.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 @query

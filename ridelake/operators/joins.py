@@ -64,8 +64,8 @@ def alternative_key_join(
     """Distinct rows of ``left`` joined to ``right`` by each key in turn, first non-NULL per column.
 
     ``keys`` lists (left column, right column) pairs in order of preference and
-    ``columns`` maps output names to right columns.  The result equals three
-    left joins followed by ``coalesce`` per column and ``DISTINCT``.
+    ``columns`` maps output names to right columns.  The result equals one left
+    join per key followed by ``coalesce`` per column and ``DISTINCT``.
 
     Joining literally would pair every match of the first key with every match
     of the second.  Instead a row that still has NULLs asks the next key only
@@ -74,16 +74,16 @@ def alternative_key_join(
     times; pass staged frames.
     """
     names = list(columns)
+    # The values travel as one struct: plans stay small however many columns there are.
     candidates = right.select(
         *[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(keys)],
-        *[F.col(src).alias(f"_v_{out}") for out, src in columns.items()],
+        F.struct(*[F.col(src).alias(out) for out, src in columns.items()]).alias("_v"),
     ).distinct()
-    first_left, _ = keys[0]
     found = left_join_spreading_nulls(
         left.distinct(),
-        candidates.withColumn("_missing", _missing_mask([f"_v_{n}" for n in names])),
-        {first_left: "_k0"},
-        [*[f"_v_{n}" for n in names], "_missing"],
+        candidates.withColumn("_missing", _missing_mask("_v", names)),
+        {keys[0][0]: "_k0"},
+        ["_v", "_missing"],
     )
     everything = F.lit((1 << len(names)) - 1).cast("bigint")
     found = found.withColumn("_missing", F.coalesce("_missing", everything))
@@ -92,33 +92,33 @@ def alternative_key_join(
         # Complete rows need no further key.
         found = found.withColumn("_ask", F.when(F.col("_missing") != 0, F.col(left_key)))
         asked = found.select("_ask", "_missing").dropna(subset=["_ask"]).distinct()
+        filling = F.struct(
+            *[
+                F.when(F.getbit("_missing", F.lit(bit)) == 1, F.col("_v")[name]).alias(name)
+                for bit, name in enumerate(names)
+            ]
+        )
         fillings = (
             candidates.withColumnRenamed(f"_k{step}", "_ask")
             .join(asked, "_ask")
-            .select(
-                F.col("_ask").alias("_f_ask"),
-                F.col("_missing").alias("_f_missing"),
-                *[
-                    F.when(F.getbit("_missing", F.lit(bit)) == 1, F.col(f"_v_{n}")).alias(f"_f_{n}")
-                    for bit, n in enumerate(names)
-                ],
-            )
+            .select("_ask", "_missing", filling.alias("_f"))
             .distinct()
         )
-        found = left_join_spreading_nulls(
-            found,
-            fillings,
-            {"_ask": "_f_ask", "_missing": "_f_missing"},
-            [f"_f_{n}" for n in names],
-        ).select(
-            *left.columns, *[F.coalesce(f"_v_{n}", f"_f_{n}").alias(f"_v_{n}") for n in names]
+        filled = F.struct(*[F.coalesce(F.col("_v")[name], F.col("_f")[name]).alias(name) for name in names])
+        found = (
+            left_join_spreading_nulls(found, fillings, {"_ask": "_ask", "_missing": "_missing"}, ["_f"])
+            .select(*left.columns, filled.alias("_v"))
+            .distinct()
+            .withColumn("_missing", _missing_mask("_v", names))
         )
-        found = found.distinct().withColumn("_missing", _missing_mask([f"_v_{n}" for n in names]))
 
-    return found.select(*left.columns, *[F.col(f"_v_{n}").alias(n) for n in names]).distinct()
+    return found.select(*left.columns, "_v.*").distinct()
 
 
-def _missing_mask(names: Sequence[str]) -> Column:
-    """Bit per column, set where it is NULL."""
-    bits = [F.when(F.col(n).isNull(), F.lit(1 << i)).otherwise(0).cast("bigint") for i, n in enumerate(names)]
+def _missing_mask(struct: str, names: Sequence[str]) -> Column:
+    """Bit per struct field, set where it is NULL."""
+    bits = [
+        F.when(F.col(struct)[name].isNull(), F.lit(1 << i)).otherwise(0).cast("bigint")
+        for i, name in enumerate(names)
+    ]
     return reduce(lambda a, b: a + b, bits)

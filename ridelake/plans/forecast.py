@@ -12,7 +12,8 @@ from ridelake.functions.geo import ConicGrid
 from ridelake.functions.times import MARKET_ZONE, wall_from_parts
 from ridelake.operators.groups import pivot_known
 
-ROW_KEYS = ["h3_l7", "lat", "lon", "updated_at_kr", "base_at_kr", "forecast_at_kr"]
+_PLACE = ["h3_l7", "lat", "lon", "updated_at_kr"]
+ROW_KEYS = [*_PLACE, "base_at_kr", "forecast_at_kr"]
 
 
 def accepted_pages(pages: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def checked_pages(pages: DataFrame) -> DataFrame:
 
 
 def forecast_items(pages: DataFrame) -> DataFrame:
-    """One row per forecast item with the columns of its place."""
+    """One row per forecast item with the columns of its place; times are still text."""
     body = F.col("response.body")
     return pages.select(
         body["h3_l7"].alias("h3_l7"),
@@ -52,16 +53,7 @@ def forecast_items(pages: DataFrame) -> DataFrame:
         body["lon"].alias("lon"),
         body["updated_at_kr"].alias("updated_at_kr"),
         F.explode(body["items"]["item"]).alias("item"),
-    ).select(
-        "h3_l7",
-        "lat",
-        "lon",
-        "updated_at_kr",
-        wall_from_parts(F.col("item.baseDate"), F.col("item.baseTime")).alias("base_at_kr"),
-        wall_from_parts(F.col("item.fcstDate"), F.col("item.fcstTime")).alias("forecast_at_kr"),
-        F.col("item.category").alias("category"),
-        F.col("item.fcstValue").alias("value"),
-    )
+    ).select("h3_l7", "lat", "lon", "updated_at_kr", "item.*")
 
 
 def widen_items(items: DataFrame) -> DataFrame:
@@ -69,13 +61,14 @@ def widen_items(items: DataFrame) -> DataFrame:
 
     Values are typed before they are aggregated: a repeated category keeps its
     largest value, and the buffers are plain numbers that combine on the map
-    side, where all items of one page sit together.
+    side, where all items of one page sit together.  Times are parsed after it,
+    once per row instead of once per item.
     """
-    text = F.col("value")
+    text = F.col("fcstValue")
     whole, real = text.try_cast("bigint"), text.try_cast("double")
     return pivot_known(
         items,
-        ROW_KEYS,
+        [*_PLACE, "baseDate", "baseTime", "fcstDate", "fcstTime"],
         "category",
         {
             "_thunder": ("LGT", real),
@@ -87,7 +80,9 @@ def widen_items(items: DataFrame) -> DataFrame:
             "wind_spped_mps": ("WSD", real),
         },
     ).select(
-        *ROW_KEYS,
+        *_PLACE,
+        wall_from_parts(F.col("baseDate"), F.col("baseTime")).alias("base_at_kr"),
+        wall_from_parts(F.col("fcstDate"), F.col("fcstTime")).alias("forecast_at_kr"),
         weather.is_above_zero(F.col("_thunder")).alias("is_thunder"),
         "precipitation",
         weather.rain_label(F.col("_rain")).alias("rain"),

@@ -349,6 +349,11 @@ def valid_view(joined: DataFrame, gap_minutes: int = VALID_GAP_MINUTES) -> DataF
             "duration_seconds",
             "ride_id",
             "request_time_ms",
+            "ride_status",
+            "session_type",
+            "is_valid_5_last",
+            "matched_vehicle_type",
+            *[f"request_{name}" for name in UUID_COLUMNS],
         ],
         time_segment(F.col("time_ms")),
         following={"lead_estimate_time_kr": "estimate_time_kr"},

@@ -17,6 +17,16 @@ def scan_trailing(df: DataFrame, target: dt.date, days_back: int = 1, day: str =
     return df.where(trailing_window(F.col(day), target, days_back))
 
 
+def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over the session's cores when its files give fewer splits than that.
+
+    A table that is one small file would otherwise be processed by one task.
+    Tables of the size the jobs are meant for have splits enough and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_since(df: DataFrame, start: dt.date, day: str = "date_kr") -> DataFrame:
     return df.where(F.col(day) >= F.lit(start))
 
