@@ -100,6 +100,10 @@ def _base(spark, sf_dir):
     return market.estimation_base(fx.ride_estimation_ext(spark, sf_dir), fx.TARGET_DATE)
 
 
+def _staged_base(spark, sf_dir):
+    return materialize(_base(spark, sf_dir), "estimates")
+
+
 def _requests(spark, sf_dir):
     return market.ride_request(fx.ride_request_ext(spark, sf_dir), fx.ride_ex(spark, sf_dir), fx.TARGET_DATE)
 
@@ -109,7 +113,7 @@ def _final(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    views = market.estimation_agg(_base(spark, sf_dir), with_lists=False)
+    views = market.estimation_agg(_staged_base(spark, sf_dir), with_lists=False)
     return market.estimation_request_joined(views, _final(spark, sf_dir))
 
 
@@ -132,7 +136,7 @@ def estimation_arrays(spark, sf_dir):
 
 @query
 def estimation_agg(spark, sf_dir):
-    return market.estimation_agg(_base(spark, sf_dir))
+    return market.estimation_agg(_staged_base(spark, sf_dir))
 
 
 @query
@@ -162,7 +166,8 @@ def valid_view(spark, sf_dir):
 
 @query
 def valid_view_count(spark, sf_dir):
-    return market.count_valid_views(_base(spark, sf_dir), _final(spark, sf_dir))
+    base = _base(spark, sf_dir).select(*market.VALID_VIEW_INPUT)
+    return market.count_valid_views(materialize(base, "estimates"), _final(spark, sf_dir))
 
 
 def _last_day():

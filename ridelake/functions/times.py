@@ -40,7 +40,12 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     """Second boundaries crossed from ``earlier`` to ``later`` (not whole elapsed seconds)."""
 
     def ordinal(clock: Column) -> Column:
-        return F.timestamp_diff("SECOND", F.expr(_DAY_ONE), clock)
+        since = clock - F.expr(_DAY_ONE)
+        parts = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60}
+        whole = F.floor(F.extract(F.lit("SECOND"), since)).cast("bigint")
+        for part, seconds in parts.items():
+            whole = whole + F.extract(F.lit(part), since).cast("bigint") * seconds
+        return whole
 
     return ordinal(later) - ordinal(earlier)
 

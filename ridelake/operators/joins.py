@@ -80,7 +80,7 @@ def alternative_key_join(
         F.struct(*[F.col(src).alias(out) for out, src in columns.items()]).alias("_v"),
     ).distinct()
     found = left_join_spreading_nulls(
-        left.distinct(),
+        left,
         candidates.withColumn("_missing", _missing_mask("_v", names)),
         {keys[0][0]: "_k0"},
         ["_v", "_missing"],
@@ -108,7 +108,6 @@ def alternative_key_join(
         found = (
             left_join_spreading_nulls(found, fillings, {"_ask": "_ask", "_missing": "_missing"}, ["_f"])
             .select(*left.columns, filled.alias("_v"))
-            .distinct()
             .withColumn("_missing", _missing_mask("_v", names))
         )
 

@@ -11,8 +11,9 @@ plain window's.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 _SEG, _EDGE = "_segment", "_edge"
@@ -31,6 +32,7 @@ def with_neighbours(
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     last_seen: Mapping[str, str] | None = None,
+    outline: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns over ``keys`` in ascending ``order`` (NULLs first).
 
@@ -38,6 +40,10 @@ def with_neighbours(
     read from the previous row, the next row, or the latest non-NULL row up to
     and including the current one.  ``segment`` must not decrease along
     ``order``; ``order`` should be total, otherwise ties are arbitrary as in SQL.
+
+    ``df`` is read twice: for the rows and for the segment summaries.  Where it
+    is costly, stage it, or pass as ``outline`` a cheaper frame with the same
+    first and last rows per segment.
     """
     previous, following, last_seen = previous or {}, following or {}, last_seen or {}
     payload = {
@@ -51,8 +57,12 @@ def with_neighbours(
         F.lit(0).alias(_EDGE),
         *[F.col(src).alias(name) for name, src in payload.items()],
     )
-    for carried in _carried_rows(df, keys, order, segment, previous, following, last_seen):
-        rows = rows.unionByName(carried, allowMissingColumns=True)
+    outline = df if outline is None else outline
+    by_segment = outline.withColumn(_SEG, segment).groupBy(*keys, _SEG)
+    if previous or last_seen:
+        rows = rows.unionByName(_from_before(by_segment, keys, order, previous, last_seen), allowMissingColumns=True)
+    if following:
+        rows = rows.unionByName(_from_after(by_segment, keys, order, following), allowMissingColumns=True)
 
     window = Window.partitionBy(*keys, _SEG).orderBy(_EDGE, *order)
     to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -61,53 +71,47 @@ def with_neighbours(
         + [F.lead(f"_next_{out}").over(window).alias(out) for out in following]
         + [F.last(f"_seen_{out}", ignorenulls=True).over(to_here).alias(out) for out in last_seen]
     )
-    kept = [name for name in df.columns]
-    return rows.select(*kept, _EDGE, *found).where(F.col(_EDGE) == 0).drop(_EDGE)
+    return rows.select(*df.columns, _EDGE, *found).where(F.col(_EDGE) == 0).drop(_EDGE)
 
 
-def _carried_rows(df, keys, order, segment, previous, following, last_seen):
-    """Rows that enter a segment from its neighbours: edge -1 from before, +1 from after."""
-    position = F.struct(*order)
-    by_segment = df.select(*df.columns, segment.alias(_SEG)).groupBy(*keys, _SEG)
-    # One row per active segment of a key, so this window stays small for any key.
-    along_key = Window.partitionBy(*keys).orderBy(_SEG)
-
-    if previous or last_seen:
-        tails = [
-            *[F.max_by(F.struct(src), position).alias(f"_prev_{out}") for out, src in previous.items()],
-            *[
-                F.max_by(F.struct(src), F.when(F.col(src).isNotNull(), position)).alias(f"_seen_{out}")
-                for out, src in last_seen.items()
-            ],
-        ]
-        before = along_key.rowsBetween(Window.unboundedPreceding, -1)
-        summary = by_segment.agg(*tails).select(
-            *keys,
-            _SEG,
-            F.lit(-1).alias(_EDGE),
-            *[F.lag(f"_prev_{out}").over(along_key).alias(f"_prev_{out}") for out in previous],
-            *[F.last(f"_seen_{out}", ignorenulls=True).over(before).alias(f"_seen_{out}") for out in last_seen],
-        )
-        yield _unwrap(summary, keys, {f"_prev_{o}": s for o, s in previous.items()}
-                      | {f"_seen_{o}": s for o, s in last_seen.items()})
+def _along(keys: Sequence[str]) -> WindowSpec:
+    """Segments of a key in order: one row per active segment, so small for any key."""
+    return Window.partitionBy(*keys).orderBy(_SEG)
 
-    if following:
-        heads = [F.min_by(F.struct(src), position).alias(f"_next_{out}") for out, src in following.items()]
-        summary = by_segment.agg(*heads).select(
-            *keys,
-            _SEG,
-            F.lit(1).alias(_EDGE),
-            *[F.lead(f"_next_{out}").over(along_key).alias(f"_next_{out}") for out in following],
-        )
-        yield _unwrap(summary, keys, {f"_next_{o}": s for o, s in following.items()})
 
+def _from_before(by_segment, keys, order, previous, last_seen) -> DataFrame:
+    """One row that enters each segment from earlier ones, sorted before its rows."""
+    position = F.struct(*order)
+    tails = [
+        F.max_by(F.struct(src), F.when(F.col(src).isNotNull(), position)).alias(f"_seen_{out}")
+        for out, src in last_seen.items()
+    ]
+    if previous:
+        tails.append(F.max_by(_packed(previous), position).alias("_tail"))
+    earlier = _along(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.last(f"_seen_{out}", ignorenulls=True).over(earlier).alias(f"_seen_{out}") for out in last_seen]
+    if previous:
+        carried.append(F.lag("_tail").over(_along(keys)).alias("_tail"))
+    found = by_segment.agg(*tails).select(*keys, _SEG, *carried)
+    # The structs tell "no row" apart from "a row whose value is NULL".
+    structs = [*[f"_seen_{out}" for out in last_seen], *(["_tail"] if previous else [])]
+    return found.where(reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in structs])).select(
+        *keys,
+        _SEG,
+        F.lit(-1).alias(_EDGE),
+        *[F.col(f"_seen_{out}")[src].alias(f"_seen_{out}") for out, src in last_seen.items()],
+        *[F.col("_tail")[out].alias(f"_prev_{out}") for out in previous],
+    )
 
-def _unwrap(summary: DataFrame, keys: Sequence[str], payload: Mapping[str, str]) -> DataFrame:
-    """Drop summaries with no neighbour and take the carried values out of their structs.
 
-    The struct tells "no row" apart from "a row whose value is NULL".
-    """
-    present = F.coalesce(*[F.when(F.col(name).isNotNull(), True) for name in payload])
-    return summary.where(present).select(
-        *keys, _SEG, _EDGE, *[F.col(name)[src].alias(name) for name, src in payload.items()]
+def _from_after(by_segment, keys, order, following) -> DataFrame:
+    """One row that enters each segment from the next one, sorted after its rows."""
+    heads = by_segment.agg(F.min_by(_packed(following), F.struct(*order)).alias("_head"))
+    found = heads.select(*keys, _SEG, F.lead("_head").over(_along(keys)).alias("_head"))
+    return found.where(F.col("_head").isNotNull()).select(
+        *keys, _SEG, F.lit(1).alias(_EDGE), *[F.col("_head")[out].alias(f"_next_{out}") for out in following]
     )
+
+
+def _packed(payload: Mapping[str, str]) -> Column:
+    return F.struct(*[F.col(src).alias(out) for out, src in payload.items()])

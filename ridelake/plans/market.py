@@ -41,6 +41,15 @@ VIEW_ATTRIBUTES = [
     "lite_unavailable_by_no_nearby_vehicle",
 ]
 _VIEW_ORDER = ["type_order", "time_ms", "estimation_uuid"]
+# Columns of ``estimation_base`` that counting valid views needs.
+VALID_VIEW_INPUT = [
+    "rider_id",
+    "revised_time_ms",
+    "date_kr",
+    "origin_region",
+    "estimation_ride_type",
+    *_VIEW_ORDER,
+]
 
 
 @dataclass(frozen=True)
@@ -168,7 +177,8 @@ def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool =
 
     An id is looked up among the first two estimates of a view, or among all
     with ``all_offsets``.  Both lookups keep a bounded state per view.
-    ``with_lists`` adds the view's joined ids and types.
+    ``with_lists`` adds the view's joined ids and types.  ``base`` is read two
+    or three times; pass a staged frame.
     """
     rows = base.withColumn("rider_id_time_ms", view_id())
     entry = F.struct("estimation_uuid", "min_cost", "max_cost")
@@ -384,7 +394,7 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
     Whether a view is valid depends only on which session flags its requests
     have, so requests are first reduced to three flags per estimate id, and
     each estimate picks up the flags of its own id.  No request row is ever
-    paired with another.
+    paired with another.  ``base`` is read twice; pass a staged frame.
     """
     per_id = F.explode(
         F.array(
@@ -404,9 +414,7 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
             F.bool_or(F.col("is_valid_5_last").isNull()).alias("_unknown"),
         )
     )
-    rows = base.select(
-        "rider_id", "revised_time_ms", "date_kr", "origin_region", "estimation_ride_type", *_VIEW_ORDER
-    )
+    rows = base.select(*VALID_VIEW_INPUT)
     flagged = rows.join(
         flags, (F.col("estimation_ride_type") == F.col("_kind")) & (F.col("estimation_uuid") == F.col("_uuid")), "left"
     ).drop("_kind", "_uuid")
@@ -443,6 +451,8 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
         ["revised_time_ms", "date_kr", "origin_region"],
         time_segment(F.col("revised_time_ms")),
         following={"_next_ms": "revised_time_ms"},
+        # Same view times, without the request flags.
+        outline=base.select("rider_id", "revised_time_ms", "date_kr", "origin_region"),
     )
     gap_seconds = F.floor(F.col("_next_ms") / 1000) - F.floor(F.col("revised_time_ms") / 1000)
     is_valid = F.col("_valid_request") | F.col("_next_ms").isNull() | (gap_seconds >= gap_minutes * 60)
@@ -596,8 +606,9 @@ def market_daily(
     regions = regions or labels.MARKET_REGIONS
     day = F.col("date_kr") == F.lit(target)
     demand = demand_daily(inputs.rides, target, days_back=0).where(F.col("origin_region").isin(regions))
+    base = estimation_base(inputs.estimates, target).select(*VALID_VIEW_INPUT)
     views = (
-        count_valid_views(estimation_base(inputs.estimates, target), requests_of_day(inputs, target))
+        count_valid_views(materialize(base, "estimates"), requests_of_day(inputs, target))
         .where(day)
         .withColumnRenamed("valid_estimation_view_count", "valid_estimation_view_count_duplicated")
     )
