@@ -540,4 +540,5 @@ _BODIES: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(body) for name, body in _BODIES.items()}
+    bodies = {**_BODIES, "demand_daily_sql": _BODIES["demand_daily"]}
+    return {name: _with(body) for name, body in bodies.items()}

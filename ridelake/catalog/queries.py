@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ridelake.operators.rolling import rolling_power
 from ridelake.plans import applog, desk, forecast, market, reports
 from ridelake.session import materialize, staging_path
 from ridelake.sources import tables
+from ridelake.sources.scans import run_sql
 from ridelake.streaming import jobs as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_EVENT_DAY = dt.date(2024, 1, 1)
 RUN_AT_UTC = dt.datetime(2022, 5, 1, 16, 50)
 TEAM, TEAM_SIZE = [3, 5], 4
+DEMAND_SQL = str(Path(__file__).parent.parent / "sql" / "demand_daily.sql")
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -96,6 +99,13 @@ def demand_daily(spark, sf_dir):
     return market.demand_daily(fx.ride_base(spark, sf_dir), last, days_back=29)
 
 
+@query
+def demand_daily_sql(spark, sf_dir):
+    fx.ride_base(spark, sf_dir).createOrReplaceTempView("ride_base")
+    last = fx.TARGET_DATE + dt.timedelta(days=29)
+    return run_sql(spark, DEMAND_SQL, target_date=last, days_back=29)
+
+
 def _base(spark, sf_dir):
     return market.estimation_base(fx.ride_estimation_ext(spark, sf_dir), fx.TARGET_DATE)
 
@@ -129,7 +139,7 @@ def estimation_base(spark, sf_dir):
 @query
 def estimation_arrays(spark, sf_dir):
     arrays = ["estimation_uuid_array", "ride_type_array", "min_cost_array", "max_cost_array"]
-    return market.estimation_arrays(_base(spark, sf_dir)).select(
+    return market.estimation_arrays(_staged_base(spark, sf_dir)).select(
         "rider_id_time_ms", "estimation_uuid", *[_listed(name) for name in arrays]
     )
 

@@ -92,19 +92,14 @@ def alternative_key_join(
         # Complete rows need no further key.
         found = found.withColumn("_ask", F.when(F.col("_missing") != 0, F.col(left_key)))
         asked = found.select("_ask", "_missing").dropna(subset=["_ask"]).distinct()
-        filling = F.struct(
-            *[
-                F.when(F.getbit("_missing", F.lit(bit)) == 1, F.col("_v")[name]).alias(name)
-                for bit, name in enumerate(names)
-            ]
-        )
+        filling = _struct_of(names, "if(getbit(_missing, {bit}) = 1, _v.`{name}`, NULL)")
         fillings = (
             candidates.withColumnRenamed(f"_k{step}", "_ask")
             .join(asked, "_ask")
             .select("_ask", "_missing", filling.alias("_f"))
             .distinct()
         )
-        filled = F.struct(*[F.coalesce(F.col("_v")[name], F.col("_f")[name]).alias(name) for name in names])
+        filled = _struct_of(names, "coalesce(_v.`{name}`, _f.`{name}`)")
         found = (
             left_join_spreading_nulls(found, fillings, {"_ask": "_ask", "_missing": "_missing"}, ["_f"])
             .select(*left.columns, filled.alias("_v"))
@@ -114,10 +109,12 @@ def alternative_key_join(
     return found.select(*left.columns, "_v.*").distinct()
 
 
+def _struct_of(names: Sequence[str], rule: str) -> Column:
+    """Struct whose fields follow one SQL rule; a single expression, so wide structs build fast."""
+    fields = ", ".join(f"'{name}', {rule.format(bit=bit, name=name)}" for bit, name in enumerate(names))
+    return F.expr(f"named_struct({fields})")
+
+
 def _missing_mask(struct: str, names: Sequence[str]) -> Column:
     """Bit per struct field, set where it is NULL."""
-    bits = [
-        F.when(F.col(struct)[name].isNull(), F.lit(1 << i)).otherwise(0).cast("bigint")
-        for i, name in enumerate(names)
-    ]
-    return reduce(lambda a, b: a + b, bits)
+    return F.expr(" + ".join(f"if({struct}.`{name}` IS NULL, {1 << bit}L, 0L)" for bit, name in enumerate(names)))

@@ -153,23 +153,30 @@ def view_id() -> Column:
     return F.concat("rider_id", F.lit("-"), F.col("revised_time_ms").cast("string"))
 
 
+def _view_lists(rows: DataFrame, *fields: str) -> DataFrame:
+    """One row per view with its ordered estimates in ``_list``; NULL fields keep their place.
+
+    The array of a view is what the caller asks for, so its size is the view's.
+    The rows themselves are not gathered or sorted in one place.
+    """
+    listed = F.sort_array(F.collect_list(F.struct(*_VIEW_ORDER, *fields)))
+    return rows.groupBy("rider_id_time_ms").agg(listed.alias("_list"))
+
+
 def estimation_arrays(base: DataFrame) -> DataFrame:
-    """Every estimate with the ordered arrays of its view; NULL costs keep their place."""
-    view = (
-        Window.partitionBy("rider_id_time_ms")
-        .orderBy(*_VIEW_ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    entry = F.struct("estimation_uuid", "estimation_ride_type", "min_cost", "max_cost")
-    listed = base.withColumn("rider_id_time_ms", view_id()).withColumn("_view", F.collect_list(entry).over(view))
-    return listed.withColumns(
-        {
-            "estimation_uuid_array": F.col("_view.estimation_uuid"),
-            "ride_type_array": F.col("_view.estimation_ride_type"),
-            "min_cost_array": F.col("_view.min_cost"),
-            "max_cost_array": F.col("_view.max_cost"),
-        }
-    ).drop("_view")
+    """Every estimate with the ordered arrays of its view; NULL costs keep their place.
+
+    ``base`` is read twice; pass a staged frame.
+    """
+    rows = base.withColumn("rider_id_time_ms", view_id())
+    arrays = _view_lists(rows, "estimation_ride_type", "min_cost", "max_cost").select(
+        "rider_id_time_ms",
+        F.col("_list.estimation_uuid").alias("estimation_uuid_array"),
+        F.col("_list.estimation_ride_type").alias("ride_type_array"),
+        F.col("_list.min_cost").alias("min_cost_array"),
+        F.col("_list.max_cost").alias("max_cost_array"),
+    )
+    return attach_group_row(rows, arrays, "rider_id_time_ms")
 
 
 def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool = False) -> DataFrame:
@@ -203,8 +210,7 @@ def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool =
     variants = rows.select(*VIEW_ATTRIBUTES, F.col("revised_time_ms").alias("time_ms"), "rider_id_time_ms").distinct()
     views = attach_group_row(variants, looked_up, "rider_id_time_ms")
     if with_lists:
-        listed = F.sort_array(F.collect_list(F.struct(*_VIEW_ORDER, "estimation_ride_type")))
-        lists = rows.groupBy("rider_id_time_ms").agg(listed.alias("_list")).select(
+        lists = _view_lists(rows, "estimation_ride_type").select(
             "rider_id_time_ms",
             joined_text(F.col("_list.estimation_uuid")).alias("combined_estimation_uuid"),
             joined_text(F.col("_list.estimation_ride_type")).alias("ride_type_array"),
@@ -273,7 +279,11 @@ def request_uuid_filled(requests: DataFrame) -> DataFrame:
 
 
 def request_final(filled: DataFrame, rides: DataFrame) -> DataFrame:
-    """Requests with the session, status and matched type of their ride."""
+    """Requests with the session, status and matched type of their ride.
+
+    A ride may be stored under any day, so all of ``rides`` is searched.  Where
+    rides are known to lie near the request, pass a trailing scan of them.
+    """
     outcome = rides.select(
         "ride_id",
         "is_valid_5_last",
@@ -415,9 +425,12 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
         )
     )
     rows = base.select(*VALID_VIEW_INPUT)
-    flagged = rows.join(
-        flags, (F.col("estimation_ride_type") == F.col("_kind")) & (F.col("estimation_uuid") == F.col("_uuid")), "left"
-    ).drop("_kind", "_uuid")
+    flagged = left_join_spreading_nulls(
+        rows,
+        flags,
+        {"estimation_ride_type": "_kind", "estimation_uuid": "_uuid"},
+        ["_requested", "_valid", "_unknown"],
+    )
 
     # Two rows per (view, date, region) hold the first two rows of the view; copies stop before the shuffle.
     leading = first_rows(

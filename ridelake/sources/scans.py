@@ -55,6 +55,22 @@ def read_landed_json(
     )
 
 
+def read_pages(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True) -> DataFrame:
+    """Landed API pages, one document per file, with their page number.
+
+    The number is the document's own ``page`` or else the last number in the
+    file name (``tickets-0007.json``).  Unreadable pages are left out; use
+    ``read_landed_json`` and ``split_corrupt`` to keep them.
+    """
+    documents = read_landed_json(spark, path, schema, multi_line)
+    numbered = F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)[^0-9]*$", 1)
+    readable = documents.select(
+        F.coalesce("page", F.nullif(numbered, F.lit("")).cast("bigint")).alias("page"),
+        *[name for name in documents.columns if name != "page"],
+    )
+    return split_corrupt(readable)[0]
+
+
 def split_corrupt(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable documents, unreadable texts)."""
     good = documents.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
