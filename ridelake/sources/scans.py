@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,42 +40,45 @@ def scan_shard(spark: SparkSession, path: str, shard: dt.date | str, schema: str
 
 
 def read_landed_json(
-    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False, strict: bool = False
 ) -> DataFrame:
     """Landed JSON documents with a declared schema.
 
     Line-delimited by default, so large files are split between tasks.
-    Documents that do not parse keep their text in ``_corrupt_record``.
+    Documents that do not parse are left out (``unreadable_json`` lists them),
+    or fail the job if ``strict``.
     """
-    return (
-        spark.read.schema(f"{schema}, _corrupt_record STRING")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+    documents = (
+        spark.read.schema(schema)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("multiLine", str(multi_line).lower())
         .json(path)
     )
+    return documents.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in documents.columns]))
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True) -> DataFrame:
+def unreadable_json(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """File name and text of every landed document that is not JSON, for quarantine."""
+    texts = spark.read.text(path, wholetext=multi_line)
+    return texts.where(F.try_parse_json("value").isNull() & (F.trim("value") != "")).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")
+    )
+
+
+def read_pages(
+    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True, strict: bool = False
+) -> DataFrame:
     """Landed API pages, one document per file, with their page number.
 
     The number is the document's own ``page`` or else the last number in the
-    file name (``tickets-0007.json``).  Unreadable pages are left out; use
-    ``read_landed_json`` and ``split_corrupt`` to keep them.
+    file name (``tickets-0007.json``).
     """
-    documents = read_landed_json(spark, path, schema, multi_line)
+    documents = read_landed_json(spark, path, schema, multi_line, strict)
     numbered = F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)[^0-9]*$", 1)
-    readable = documents.select(
+    return documents.select(
         F.coalesce("page", F.nullif(numbered, F.lit("")).cast("bigint")).alias("page"),
         *[name for name in documents.columns if name != "page"],
     )
-    return split_corrupt(readable)[0]
-
-
-def split_corrupt(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable documents, unreadable texts)."""
-    good = documents.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return good, documents.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
@@ -94,7 +98,7 @@ def search_targets(spark: SparkSession, forecast_table: str, seed_path: str, see
     """Places to fetch: those already in the forecast table, else the seed file's."""
     if table_exists(spark, forecast_table):
         return read_table(spark, forecast_table).select("h3_l7", "lat", "lon").distinct()
-    return read_landed_json(spark, seed_path, seed_schema, multi_line=True).drop("_corrupt_record")
+    return read_landed_json(spark, seed_path, seed_schema, multi_line=True)
 
 
 def run_sql(spark: SparkSession, text_or_path: str, **params) -> DataFrame:
