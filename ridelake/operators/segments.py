@@ -87,7 +87,11 @@ def _from_before(by_segment, keys, order, previous, last_seen) -> DataFrame:
         for out, src in last_seen.items()
     ]
     if previous:
-        tails.append(F.max_by(_packed(previous), position).alias("_tail"))
+        # NULLs come first, so the last value of the ordering column is its maximum.
+        lead_only = set(previous.values()) == {order[0]}
+        last = F.max(order[0])
+        tail = F.struct(*[last.alias(out) for out in previous]) if lead_only else F.max_by(_packed(previous), position)
+        tails.append(tail.alias("_tail"))
     earlier = _along(keys).rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.last(f"_seen_{out}", ignorenulls=True).over(earlier).alias(f"_seen_{out}") for out in last_seen]
     if previous:
@@ -106,7 +110,13 @@ def _from_before(by_segment, keys, order, previous, last_seen) -> DataFrame:
 
 def _from_after(by_segment, keys, order, following) -> DataFrame:
     """One row that enters each segment from the next one, sorted after its rows."""
-    heads = by_segment.agg(F.min_by(_packed(following), F.struct(*order)).alias("_head"))
+    if set(following.values()) == {order[0]}:
+        # A plain minimum has a cheaper buffer; NULLs come first, so any NULL is the first value.
+        first = F.when(F.count(order[0]) == F.count(F.lit(1)), F.min(order[0]))
+        head = F.struct(*[first.alias(out) for out in following])
+    else:
+        head = F.min_by(_packed(following), F.struct(*order))
+    heads = by_segment.agg(head.alias("_head"))
     found = heads.select(*keys, _SEG, F.lead("_head").over(_along(keys)).alias("_head"))
     return found.where(F.col("_head").isNotNull()).select(
         *keys, _SEG, F.lit(1).alias(_EDGE), *[F.col("_head")[out].alias(f"_next_{out}") for out in following]

@@ -13,19 +13,25 @@ from ridelake.plans import desk, forecast
 
 @dataclass(frozen=True)
 class Dataset:
-    """A loadable table; users add their own by filling one in."""
+    """A loadable table; users add their own by filling one in.
+
+    ``entries`` names the page column that holds the records.
+    """
 
     name: str
     page_schema: str
     schema: str
     time_column: str
     normalise: Callable[..., DataFrame]
+    entries: str
     key: str | None = None
 
 
-TICKETS = Dataset("ticket", schemas.TICKET_PAGE, schemas.TICKET, "created_at", desk.ticket_normalize, "id")
+TICKETS = Dataset("ticket", schemas.TICKET_PAGE, schemas.TICKET, "created_at", desk.ticket_normalize, "tickets", "id")
 TICKET_METRICS = Dataset(
-    "ticket_metric", schemas.METRIC_PAGE, schemas.METRIC, "created_at", desk.ticket_metric_normalize, "id"
+    "ticket_metric", schemas.METRIC_PAGE, schemas.METRIC, "created_at", desk.ticket_metric_normalize, "ticket_metrics", "id"
+)
+USERS = Dataset("user", schemas.USER_PAGE, schemas.USER, "created_at", desk.user_normalize, "users", "id")
+FORECASTS = Dataset(
+    "forecast", schemas.FORECAST_PAGE, schemas.FORECAST, "updated_at_kr", forecast.forecast_wide, "response"
 )
-USERS = Dataset("user", schemas.USER_PAGE, schemas.USER, "created_at", desk.user_normalize, "id")
-FORECASTS = Dataset("forecast", schemas.FORECAST_PAGE, schemas.FORECAST, "updated_at_kr", forecast.forecast_wide)

@@ -21,9 +21,21 @@ def random_log(seed):
     return out
 
 
+def with_null_times(log):
+    return [(k, None if i % 9 == 0 else t, i, v) for k, t, i, v in log]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_order_column_alone(spark, rows, seed):
+    df = spark.createDataFrame(with_null_times(random_log(seed)), "k STRING, t BIGINT, id INT, v STRING")
+    got = with_neighbours(df, ["k"], ["t", "id"], time_segment(F.col("t")), previous={"b": "t"}, following={"a": "t"})
+    w = Window.partitionBy("k").orderBy("t", "id")
+    assert rows(got) == rows(df.select("*", F.lag("t").over(w).alias("b"), F.lead("t").over(w).alias("a")))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_plain_window(spark, rows, seed):
-    df = spark.createDataFrame(random_log(seed), "k STRING, t BIGINT, id INT, v STRING")
+    df = spark.createDataFrame(with_null_times(random_log(seed)), "k STRING, t BIGINT, id INT, v STRING")
     got = with_neighbours(
         df,
         ["k"],
