@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridelake.session import materialize
+
 NULL_SPREAD = 4096
 
 
@@ -55,11 +57,29 @@ def attach_group_row(rows: DataFrame, groups: DataFrame, key: str, spread: int =
     return salted.join(spread_groups, condition, "left").select(*rows.columns, *added)
 
 
+def left_join_by_parts(left: DataFrame, right: DataFrame, on: Sequence[str], added: Mapping[str, str]) -> DataFrame:
+    """Left join on equally named columns for a ``right`` side that may repeat one key very often.
+
+    Spark can split a skewed key on either side of an inner join, but not on the
+    right side of a left join.  So matches come from an inner join, rows without
+    a match from an anti join with the distinct keys, and rows with a NULL key
+    from no join at all.  ``added`` maps the new columns to their types.
+    ``left`` is read three times.
+    """
+    has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
+    keyed = left.where(has_key)
+    absent = [F.lit(None).cast(kind).alias(name) for name, kind in added.items()]
+    matched = keyed.join(right, list(on)).select(*left.columns, *added)
+    unmatched = keyed.join(right.select(*on).distinct(), list(on), "left_anti").select(*left.columns, *absent)
+    return matched.unionByName(unmatched).unionByName(left.where(~has_key).select(*left.columns, *absent))
+
+
 def alternative_key_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[tuple[str, str]],
     columns: Mapping[str, str],
+    stage: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """Distinct rows of ``left`` joined to ``right`` by each key in turn, first non-NULL per column.
 
@@ -70,8 +90,8 @@ def alternative_key_join(
     Joining literally would pair every match of the first key with every match
     of the second.  Instead a row that still has NULLs asks the next key only
     for the *distinct fillings* of exactly those columns, so the join emits no
-    more rows than the answer needs.  ``left`` and ``right`` are read several
-    times; pass staged frames.
+    more rows than the answer needs.  Each step is staged, since the next one
+    reads it several times; pass staged frames for ``left`` and ``right`` too.
     """
     names = list(columns)
     # The values travel as one struct: plans stay small however many columns there are.
@@ -79,32 +99,30 @@ def alternative_key_join(
         *[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(keys)],
         F.struct(*[F.col(src).alias(out) for out, src in columns.items()]).alias("_v"),
     ).distinct()
-    found = left_join_spreading_nulls(
-        left,
-        candidates.withColumn("_missing", _missing_mask("_v", names)),
-        {keys[0][0]: "_k0"},
-        ["_v", "_missing"],
-    )
+    values = candidates.schema["_v"].dataType.simpleString()
     everything = F.lit((1 << len(names)) - 1).cast("bigint")
-    found = found.withColumn("_missing", F.coalesce("_missing", everything))
 
-    for step, (left_key, _) in enumerate(keys[1:], start=1):
+    found = left.select("*", F.lit(None).cast(values).alias("_v"), everything.alias("_missing"))
+    for step, (left_key, _) in enumerate(keys):
         # Complete rows need no further key.
         found = found.withColumn("_ask", F.when(F.col("_missing") != 0, F.col(left_key)))
-        asked = found.select("_ask", "_missing").dropna(subset=["_ask"]).distinct()
-        filling = _struct_of(names, "if(getbit(_missing, {bit}) = 1, _v.`{name}`, NULL)")
-        fillings = (
-            candidates.withColumnRenamed(f"_k{step}", "_ask")
-            .join(asked, "_ask")
-            .select("_ask", "_missing", filling.alias("_f"))
-            .distinct()
-        )
-        filled = _struct_of(names, "coalesce(_v.`{name}`, _f.`{name}`)")
-        found = (
-            left_join_spreading_nulls(found, fillings, {"_ask": "_ask", "_missing": "_missing"}, ["_f"])
-            .select(*left.columns, filled.alias("_v"))
-            .withColumn("_missing", _missing_mask("_v", names))
+        if step == 0:
+            # Nothing is known yet: every candidate is a filling.
+            fillings = candidates.select(F.col("_k0").alias("_ask"), everything.alias("_missing"), F.col("_v").alias("_f"))
+        else:
+            asked = found.select("_ask", "_missing").dropna(subset=["_ask"]).distinct()
+            missing_only = _struct_of(names, "if(getbit(_missing, {bit}) = 1, _v.`{name}`, NULL)")
+            fillings = (
+                candidates.withColumnRenamed(f"_k{step}", "_ask")
+                .join(asked, "_ask")
+                .select("_ask", "_missing", missing_only.alias("_f"))
+                .distinct()
+            )
+        found = left_join_by_parts(found, fillings, ["_ask", "_missing"], {"_f": values}).select(
+            *left.columns, _struct_of(names, "coalesce(_v.`{name}`, _f.`{name}`)").alias("_v")
         )
+        if step < len(keys) - 1:
+            found = stage(found.withColumn("_missing", _missing_mask("_v", names)), "alternatives")
 
     return found.select(*left.columns, "_v.*").distinct()
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ridelake.operators.joins import alternative_key_join, attach_group_row, left_join_spreading_nulls
+from ridelake.operators.joins import alternative_key_join, attach_group_row, left_join_by_parts, left_join_spreading_nulls
 
 
 def literal(left, right, keys, columns):
@@ -46,7 +46,8 @@ def test_alternative_keys_do_not_pair_matches(spark):
     right = spark.range(300).select(
         F.lit("a").alias("k1"), F.lit("b").alias("k2"), F.col("id").alias("n"), F.lit(None).cast("string").alias("s")
     )
-    got = alternative_key_join(left, right, [("l1", "k1"), ("l2", "k2")], {"n": "n", "s": "s"})
+    in_one_plan = lambda df, label: df
+    got = alternative_key_join(left, right, [("l1", "k1"), ("l2", "k2")], {"n": "n", "s": "s"}, in_one_plan)
     assert got.count() == 300
     assert max(_join_row_counts(got)) <= 300
 
@@ -73,6 +74,14 @@ def _join_row_counts(df):
     return counts
 
 
+def test_left_join_by_parts(spark, rows):
+    left = spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, "z", 1), (4, "a", None), (5, "a", 2)], "id INT, k STRING, m INT")
+    right = spark.createDataFrame([("a", 1, 10)] * 3 + [("a", 1, 11), (None, 1, 12)], "k STRING, m INT, v INT")
+    assert rows(left_join_by_parts(left, right, ["k", "m"], {"v": "int"})) == rows(
+        left.join(right, ["k", "m"], "left").select("id", "k", "m", "v")
+    )
+
+
 def test_null_keys_match_nothing_and_spread(spark, rows):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "z")] + [(i, None) for i in range(4, 200)], "id INT, k STRING")
     right = spark.createDataFrame([("a", 10), ("a", 11), (None, 12)], "rk STRING, v INT")
