@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import decontaminate, mixing, quality_rules
-from ridelake.llm.queries import MIX_LEVELS, MIX_WEIGHTS
+from ridelake.llm import dart_minhash, decontaminate, mixing, quality_rules, token_store
+from ridelake.llm.queries import MIX_LEVELS, MIX_WEIGHTS, table, tokenizer_path
+from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
 
@@ -18,9 +19,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    share_code(spark)
+    return dart_minhash.keep_one(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat benchmark items; documents that are mostly such passages go."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = table(spark, sf_dir, "benchmark")
     return decontaminate.clean_documents(docs, items)
 
 
@@ -30,7 +37,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drawn.select("row.*")
 
 
-STAGES = [("quality", quality), ("decontaminated", decontaminated), ("mixed", mixed)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A binary token store of the corpus, and one row per document read back from it."""
+    share_code(spark)
+    path = staging_path(spark, "corpus-tokens")
+    token_store.write_store(docs, path, tokenizer_path())
+    return token_store.read_store(spark, path)
+
+
+STAGES = [("quality", quality), ("near_deduplicated", near_deduplicated), ("decontaminated", decontaminated), ("mixed", mixed), ("token_ids", token_ids)]
 
 #: The near-duplicate stage and the binary output have no SQL; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
@@ -38,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table, each written to the shared folder and read again, as separate jobs would."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = staging_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import decontaminate, line_dedup, mixing, quality_rules
+from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, token_store, warc
+from ridelake.llm.workers import share_code
+from ridelake.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,11 +32,35 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_store.read_store(spark, path)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select("row.doc_id", *quality_rules.FACTS, "base_failed", "kept")
@@ -53,7 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
-_QUERIES: list[Query] = [op3_decontaminate, op5_line_dedup, op8_quality_rules, op10_mixing]
+_QUERIES: list[Query] = [op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op10_mixing]
 
 
 def queries() -> dict[str, Query]:
