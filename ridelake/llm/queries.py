@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, token_store, warc
+from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, token_store, toxicity, warc
 from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scores = toxicity.score_documents(docs, model).withColumnRenamed("id", "doc_id")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -80,7 +88,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
-_QUERIES: list[Query] = [op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op10_mixing]
+_QUERIES: list[Query] = [op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op10_mixing]
 
 
 def queries() -> dict[str, Query]:
