@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, token_store, toxicity, warc
+from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, suffix_dedup, token_store, toxicity, warc
 from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
@@ -74,6 +74,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *quality_rules.FACTS, "base_failed", "kept")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 #: Weights of the mixing query.  The documents have no domain: a checksum of the source deals sources into four.
 MIX_LEVELS = {"domain": F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
 MIX_WEIGHTS = [
@@ -88,7 +94,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
-_QUERIES: list[Query] = [op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op10_mixing]
+_QUERIES: list[Query] = [op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op9_suffix_dedup, op10_mixing]
 
 
 def queries() -> dict[str, Query]:
