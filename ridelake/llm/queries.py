@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, quality_rules, suffix_dedup, token_store, toxicity, warc
+from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, passage_chains, quality_rules, suffix_dedup, token_store, toxicity, warc
 from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
@@ -19,6 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_passage_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passage_chains.fuzzy_passages(table(spark, sf_dir, "documents"))
+    covered = F.aggregate(
+        "passages",
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
+        lambda acc, p: F.struct((acc["n"] + F.greatest(F.lit(0), p["end"] - F.greatest(p["start"], acc["end"]))).alias("n"), F.greatest(acc["end"], p["end"]).alias("end")),
+        lambda acc: acc["n"],
+    )
+    partners = F.array_sort(F.array_distinct(F.transform("passages", lambda p: p["other"])))
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.size("passages").cast("long").alias("n_passages"), covered.alias("n_repeated"), partners.alias("partners"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -94,7 +106,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
-_QUERIES: list[Query] = [op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op9_suffix_dedup, op10_mixing]
+_QUERIES: list[Query] = [op1_passage_chains, op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op9_suffix_dedup, op10_mixing]
 
 
 def queries() -> dict[str, Query]:

@@ -18,7 +18,6 @@ as one row per chunk.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,16 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.dart_minhash import mix, text_parts
+from ridelake.llm.chunks import bucketed_texts, lists_by_part, part_of, texts_of
+from ridelake.llm.dart_minhash import mix
 from ridelake.llm.suffix_array import suffix_array
-from ridelake.session import materialize, staging_path
+from ridelake.session import materialize
 
 GRAM = 24
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
-#: Rows without an id come last.
-_LAST = 2**63 - 1
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -83,29 +81,6 @@ def window_runs(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
     return np.searchsorted(starts, begin, side="right") - 1, begin, end - begin, least[begin]
 
 
-def _docs_of(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(row numbers, document ids, bytes, starts)`` of parts of a chunk."""
-    table = table.combine_chunks()
-    if table.num_rows:
-        ids = table["doc"].to_numpy()
-        column = table["text"].chunk(0)
-        for at, end, data, starts in text_parts(column, 2_000_000):
-            yield np.arange(at, end), ids[at:end], data, starts
-
-
-def _lists(parts: np.ndarray, columns: list[tuple[str, np.ndarray | pa.Array]], n_parts: int) -> pa.Table:
-    """One row for each part: lists of the values, which must be sorted by part."""
-    edges = np.searchsorted(parts, np.arange(n_parts + 1))
-    full = np.flatnonzero(np.diff(edges))
-    offsets = pa.array(np.r_[edges[full], edges[-1:]], pa.int32())
-    lists = [pa.ListArray.from_arrays(offsets, v if isinstance(v, pa.Array) else pa.array(v)) for _, v in columns]
-    return pa.table([pa.array(full, pa.int32()), *lists], ["part", *(name for name, _ in columns)])
-
-
-def _part(anchor: np.ndarray, n_parts: int) -> np.ndarray:
-    return (mix(anchor) % _U(n_parts)).astype(np.int64)
-
-
 def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Smallest ``low`` and largest ``high`` of equal keys."""
     order = np.argsort(key, kind="stable")
@@ -116,13 +91,13 @@ def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
 
 def _anchors_of_chunk(key: tuple, table: pa.Table, width: int, n_parts: int) -> pa.Table:
     found = [(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for _, ids, data, starts in _docs_of(table):
+    for _, ids, data, starts in texts_of(table):
         doc, _, _, anchor = window_runs(data, starts, width)
         found.append(_combine(anchor, ids[doc], ids[doc]))
     anchor, low, high = _combine(*(np.concatenate(x) for x in zip(*found, strict=True)))
-    part = _part(anchor, n_parts)
+    part = part_of(anchor, n_parts)
     order = np.argsort(part, kind="stable")
-    out = _lists(part[order], [("anchors", anchor[order].astype(np.int64)), ("low", low[order]), ("high", high[order])], n_parts)
+    out = lists_by_part(part[order], [("anchors", anchor[order].astype(np.int64)), ("low", low[order]), ("high", high[order])], n_parts)
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
@@ -138,14 +113,14 @@ def _shared_of_part(key: tuple, table: pa.Table) -> pa.Table:
     if len(shared):
         place = np.minimum(np.searchsorted(shared, flat["anchors"]), len(shared) - 1)
         inside = shared[place] == flat["anchors"]
-    out = _lists(owner[inside], [("shared", flat["anchors"][inside])], table.num_rows)
+    out = lists_by_part(owner[inside], [("shared", flat["anchors"][inside])], table.num_rows)
     chunk = table["chunk"].to_numpy()[out["part"].to_numpy()]
     return pa.table([pa.array(chunk, pa.int32()), out["shared"]], ["chunk", "shared"])
 
 
 def _shared_runs(table: pa.Table, shared: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int, bytes]]:
     """``(row, first byte in its text, windows, anchor, string)`` of runs with a shared anchor."""
-    for rows, _, data, starts in _docs_of(table):
+    for rows, _, data, starts in texts_of(table):
         doc, begin, windows, anchor = window_runs(data, starts, width)
         if not len(shared) or not len(anchor):
             continue
@@ -169,10 +144,10 @@ def _strings_of_chunk(key: tuple, docs: pa.Table, shared: pa.Table, width: int,
         if first.setdefault((anchor, string), doc) > doc:
             first[anchor, string] = doc
     anchor = np.fromiter((a for a, _ in first), np.int64, len(first))
-    part = _part(anchor.astype(_U), n_parts)
+    part = part_of(anchor.astype(_U), n_parts)
     order = np.argsort(part, kind="stable")
     strings = pa.array([s for _, s in first], pa.binary()).take(pa.array(order))
-    out = _lists(part[order], [("anchors", anchor[order]), ("docs", np.fromiter(first.values(), np.int64, len(first))[order]), ("strings", strings)], n_parts)
+    out = lists_by_part(part[order], [("anchors", anchor[order]), ("docs", np.fromiter(first.values(), np.int64, len(first))[order]), ("strings", strings)], n_parts)
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
@@ -295,17 +270,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     if width < GRAM:
         raise ValueError(f"width must be {GRAM} or more")
-    spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text_col).alias("text"))
-    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_chunks = n_parts = max(1, math.ceil(total / chunk_bytes))
-    # Rows of one id may be very many only if they repeat; the text's hash spreads them.
-    chunked = source.withColumn("chunk", F.pmod(F.xxhash64("doc", "text"), F.lit(n_chunks)).cast("int"))
-    path = staging_path(spark, "chunked-texts")
-    name = "chunked_" + path.rsplit("-", 1)[1]
-    chunked.repartition(n_chunks, "chunk").write.bucketBy(n_chunks, "chunk").sortBy("chunk").option("path", path).format("parquet").saveAsTable(name)
-    texts = spark.table(name)
-    id_type = source.schema["id"].dataType.simpleString()
+    texts, n_chunks = bucketed_texts(docs, id_col, text_col, chunk_bytes)
+    n_parts = n_chunks
+    id_type = texts.schema["id"].dataType.simpleString()
 
     def one(key: tuple, table: pa.Table) -> pa.Table:
         return _anchors_of_chunk(key, table, width, n_parts)
