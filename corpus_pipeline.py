@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import dart_minhash, decontaminate, mixing, quality_rules, token_store
-from ridelake.llm.queries import MIX_LEVELS, MIX_WEIGHTS, table, tokenizer_path
+from ridelake.llm.queries import mix_levels, mix_weights, table, tokenizer_path
 from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
@@ -33,7 +33,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target weights, each at most once."""
-    drawn = mixing.mix(docs, budget_share=0.9, levels=MIX_LEVELS, weights=MIX_WEIGHTS, tokens=mixing.token_count("text"), seed=17, max_epochs=1)
+    drawn = mixing.mix(docs, budget_share=0.9, levels=mix_levels(), weights=mix_weights(), tokens=mixing.token_count("text"), seed=17, max_epochs=1)
     return drawn.select("row.*")
 
 

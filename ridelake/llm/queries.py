@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, passage_chains, quality_rules, suffix_dedup, token_store, toxicity, warc
@@ -92,17 +92,22 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-#: Weights of the mixing query.  The documents have no domain: a checksum of the source deals sources into four.
-MIX_LEVELS = {"domain": F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
-MIX_WEIGHTS = [
-    F.when(F.col("domain") == "d0", 4).when(F.col("domain") == "d1", 3).otherwise(2),
-    F.when(F.col("lang") == "en", 2).otherwise(3),
-    F.lit(1),
-]
+def mix_levels() -> dict[str, Column]:
+    """Levels of the mixing tree.  The documents have no domain: a checksum of the source deals sources into four."""
+    domain = F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mix_weights() -> list[Column]:
+    return [
+        F.when(F.col("domain") == "d0", 4).when(F.col("domain") == "d1", 3).otherwise(2),
+        F.when(F.col("lang") == "en", 2).otherwise(3),
+        F.lit(1),
+    ]
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), budget_share=1.25, levels=MIX_LEVELS, weights=MIX_WEIGHTS, tokens=mixing.token_count("text"), seed=17, max_epochs=4, carry=["doc_id"])
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), budget_share=1.25, levels=mix_levels(), weights=mix_weights(), tokens=mixing.token_count("text"), seed=17, max_epochs=4, carry=["doc_id"])
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
