@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.plans.market import MarketInputs
-from ridelake.sources.scans import spread_if_few_splits
 
 TARGET_DATE = dt.date(2022, 5, 1)
 APP_ID = "app.rider"
@@ -41,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_if_few_splits(table(spark, sf_dir, "events"), "event_id")
+    """Events as a landed table would be: in as many splits as the session has shuffle partitions."""
+    return table(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -61,6 +61,11 @@ def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def _rider(event: Column, user: Column) -> Column:
+    """One event in 97 has no rider."""
+    return F.when(event % 97 != 5, _text("u", user))
+
+
 def _micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"), ts)
 
@@ -123,7 +128,7 @@ def ride_estimation_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(TARGET_DATE).alias("date_kr"),
             F.lit("ride_estimation").alias("log_type"),
             (time_ms + F.col("est.later")).alias("time_ms"),
-            _text("u", u).alias("rider_id"),
+            _rider(e, u).alias("rider_id"),
             address.alias("origin_address"),
             _text("서울특별시 중구 ", e % 100).alias("destination_address"),
             _text(e, "-", F.col("est.kind")).alias("estimation_uuid"),
@@ -155,7 +160,7 @@ def ride_request_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 4 != 0, F.concat(e.cast("string"), F.lit("-"), own)).alias("estimation_uuid"),
         time_ms.alias("time_ms"),
         wall.alias("time_kr"),
-        _text("u", u).alias("rider_id"),
+        _rider(e, u).alias("rider_id"),
         F.when(e % 17 != 0, e * 2).alias("ride_id"),
         _pick(["LITE", "PREMIUM", "NXT", "NEAR_TAXI"], _div(e, 4)).alias("ride_type"),
         F.concat(_pick(["서울특별시 강남구 ", "부산광역시 해운대구 ", "경기도 성남시 "], u), u.cast("string")).alias(

@@ -59,7 +59,7 @@ CTES: dict[str, str] = {
         FROM events""",
     "estimates": f"""
         SELECT DATE '2022-05-01' AS date_kr, 'ride_estimation' AS log_type, t + est.later AS time_ms,
-               'u' || u AS rider_id,
+               CASE WHEN e % 97 <> 5 THEN 'u' || u END AS rider_id,
                CASE WHEN e % 9 <> 0 THEN {_pick(_CITIES, 'u', 3)} || u END AS origin_address,
                '서울특별시 중구 ' || (e % 100) AS destination_address,
                e || '-' || est.kind AS estimation_uuid, est.kind AS source_type,
@@ -76,7 +76,7 @@ CTES: dict[str, str] = {
                END AS estimation_uuid,
                1651363200500 + {_US} // 100000 AS time_ms,
                TIMESTAMP '2022-05-01 09:00:00' + to_milliseconds(500 + {_US} // 100000) AS time_kr,
-               'u' || user_id AS rider_id, CASE WHEN event_id % 17 <> 0 THEN event_id * 2 END AS ride_id,
+               CASE WHEN event_id % 97 <> 5 THEN 'u' || user_id END AS rider_id, event_id AS e_id, CASE WHEN event_id % 17 <> 0 THEN event_id * 2 END AS ride_id,
                {_pick("['LITE','PREMIUM','NXT','NEAR_TAXI']", 'event_id // 4', 4)} AS ride_type,
                {_pick(_CITIES, 'user_id', 3)} || user_id AS origin_address,
                '서울특별시 중구 ' || (event_id % 100) AS destination_address,
@@ -157,9 +157,9 @@ CTES: dict[str, str] = {
                            CASE source_type WHEN 'LITE' THEN 1 WHEN 'PREMIUM' THEN 2 WHEN 'NXT' THEN 3 ELSE 4 END
                                AS type_order
                     FROM estimates WHERE ride_type IN ('LITE', 'PREMIUM', 'NXT', 'NEAR_TAXI'))
-              WINDOW w AS (PARTITION BY rider_id ORDER BY time_ms, type_order, estimation_uuid))""",
+              WINDOW w AS (PARTITION BY coalesce(rider_id, estimation_uuid) ORDER BY time_ms, type_order, estimation_uuid))""",
     "view_list": """
-        SELECT rider_id || '-' || revised_time_ms AS view_id,
+        SELECT coalesce(rider_id || '-' || revised_time_ms, estimation_uuid) AS view_id,
                list({'id': estimation_uuid, 'kind': ride_type, 'low': min_cost, 'high': max_cost}
                     ORDER BY type_order, time_ms, estimation_uuid) AS members
         FROM snapped GROUP BY view_id""",
@@ -171,10 +171,10 @@ CTES: dict[str, str] = {
         FROM view_list""",
     "views": """
         SELECT DISTINCT s.date_kr, log_type, revised_time_ms AS time_ms, rider_id, origin_region, origin_address,
-               destination_address, view_id AS rider_id_time_ms, distance_meters, duration_seconds, no_vehicle,
+               destination_address, rider_id || '-' || revised_time_ms AS rider_id_time_ms, distance_meters, duration_seconds, no_vehicle,
                TIMESTAMP '2022-05-01 09:00:00' + to_milliseconds(revised_time_ms - 1651363200000) AS estimate_time_kr,
                lite.id AS lite_id, plus.id AS plus_id, nxt.id AS next_id, members, lite, plus, nxt
-        FROM snapped s JOIN view_pick ON view_id = s.rider_id || '-' || s.revised_time_ms""",
+        FROM snapped s JOIN view_pick ON view_id = coalesce(s.rider_id || '-' || s.revised_time_ms, s.estimation_uuid)""",
     "requests": f"""
         SELECT r.*, {_REGION_OF.format('origin_address')} AS origin_region,
                CASE WHEN ride_type = 'LITE' AND estimation_uuid IS NOT NULL THEN estimation_uuid
@@ -189,7 +189,7 @@ CTES: dict[str, str] = {
                    CASE WHEN blank THEN last_value(plus_id IGNORE NULLS) OVER w ELSE plus_id END AS plus_id,
                    CASE WHEN blank THEN last_value(next_id IGNORE NULLS) OVER w ELSE next_id END AS next_id)
         FROM (SELECT *, coalesce(lite_id, plus_id, next_id) IS NULL AS blank FROM requests)
-        WINDOW w AS (PARTITION BY rider_id
+        WINDOW w AS (PARTITION BY coalesce(rider_id, 'e' || e_id)
                      ORDER BY time_ms, ride_id NULLS FIRST, estimation_uuid NULLS FIRST
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "final": """
@@ -271,14 +271,14 @@ CTES["valid"] = """
            coalesce(is_valid_5_last OR lead_time IS NULL
                     OR epoch(date_trunc('second', lead_time)) - epoch(date_trunc('second', estimate_time_kr)) >= 300,
                     FALSE) AS is_valid
-    FROM (SELECT *, lead(estimate_time_kr) OVER (
+    FROM (SELECT *, CASE WHEN rider_id IS NOT NULL THEN lead(estimate_time_kr) OVER (
               PARTITION BY rider_id
               ORDER BY estimate_time_kr, request_time_kr NULLS FIRST, date_kr, origin_region NULLS FIRST, log_type,
                        origin_address NULLS FIRST, destination_address, distance_meters, duration_seconds,
                        ride_id NULLS FIRST, request_time_ms NULLS FIRST, ride_status NULLS FIRST,
                        session_type NULLS FIRST, is_valid_5_last NULLS FIRST, matched_vehicle_type NULLS FIRST,
                        request_lite_estimation_uuid NULLS FIRST, request_plus_estimation_uuid NULLS FIRST,
-                       request_next_estimation_uuid NULLS FIRST) AS lead_time
+                       request_next_estimation_uuid NULLS FIRST) END AS lead_time
           FROM joined)"""
 CTES["view_counts"] = """
     SELECT date_kr, origin_region, count(DISTINCT rider_id_time_ms) FILTER (is_valid) AS n
@@ -365,6 +365,38 @@ _BODIES: dict[str, str] = {
                dropoff_count, round(surge_rate_avg, 4) AS surge_rate_avg,
                round(credit, 4) AS credit_withdrawal_amount_without_vat
         FROM demand""",
+    "landed_ndjson": "SELECT event_id AS id, event_type AS kind FROM events WHERE event_id % 50 NOT IN (7, 8, 9)",
+    "quarantined_ndjson": """
+        SELECT CASE WHEN event_id % 50 = 8 THEN 'no declared field' ELSE 'unparsable' END AS reason,
+               CASE event_id % 50 WHEN 7 THEN '{broken ' || event_id
+                                  WHEN 9 THEN '{"id":"oops","kind":"k' || event_id || '"}' END AS text
+        FROM events WHERE event_id % 50 IN (7, 8, 9)""",
+    "upsert_partial_columns": """
+        SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'c' || c_custkey END AS name,
+               CAST(c_nationkey AS BIGINT) AS extra FROM customer""",
+    "merge_null_keys": """
+        SELECT event_id AS place, CASE WHEN event_id % 5 <> 0 THEN 'x' END AS kind,
+               CASE WHEN event_id % 4 = 0 THEN -1 ELSE CAST(floor(value) AS BIGINT) END AS reading FROM events""",
+    "refresh_day": f"""
+        SELECT ride_id, {_day('date_kr')} AS date_kr, type FROM ride_base WHERE date_kr = DATE '2022-05-01'""",
+    "demand_daily_filled": f"""
+        SELECT {_day('spine.d')} AS date_kr, origin_region, driver_type, coalesce(call_count_total, 0) AS call_count_total,
+               coalesce(call_count_valid_session, 0) AS call_count_valid_session, coalesce(dropoff_count, 0) AS dropoff_count,
+               round(surge_rate_avg, 4) AS surge_rate_avg, round(coalesce(credit, 0), 4) AS credit_withdrawal_amount_without_vat
+        FROM (SELECT DATE '2022-05-01' + CAST(n AS INTEGER) AS d FROM range(30) t(n)) spine
+        LEFT JOIN (SELECT * FROM demand WHERE date_kr NOT IN (DATE '2022-05-04', DATE '2022-05-18')) f ON f.date_kr = spine.d""",
+    "demand_daily_default": f"""
+        SELECT {_day('date_kr')} AS date_kr, origin_region, driver_type, call_count_total, call_count_valid_session,
+               dropoff_count, round(surge_rate_avg, 4) AS surge_rate_avg,
+               round(credit, 4) AS credit_withdrawal_amount_without_vat
+        FROM demand WHERE date_kr BETWEEN DATE '2022-05-09' AND DATE '2022-05-10'""",
+    "search_targets": "SELECT DISTINCT h3_l7, round(lat, 4) AS lat, round(lon, 4) AS lon FROM places",
+    "app_log_sharded": f"""
+        SELECT event_name, user_pseudo_id, {_ts('event_datetime')} AS event_datetime FROM app_event
+        WHERE CAST(event_datetime AS DATE) = DATE '2024-01-03'""",
+    "text_and_clock_labels": f"""
+        SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'true' ELSE 'false' END AS is_browsing,
+               {_day("CAST(ts + INTERVAL 9 HOUR AS DATE)")} AS market_day FROM events""",
     "estimation_base": f"""
         SELECT {_day('date_kr')} AS date_kr, log_type, time_ms, rider_id, origin_address, destination_address,
                estimation_uuid, ride_type AS estimation_ride_type, min_cost, max_cost, distance_meters,
@@ -372,14 +404,14 @@ _BODIES: dict[str, str] = {
                CAST(type_order AS BIGINT) AS type_order, revised_time_ms, origin_region
         FROM snapped""",
     "estimation_arrays": """
-        SELECT view_id AS rider_id_time_ms, estimation_uuid,
+        SELECT rider_id || '-' || revised_time_ms AS rider_id_time_ms, estimation_uuid,
                array_to_string([m.id for m in members], ',') AS estimation_uuid_array,
                array_to_string([m.kind for m in members], ',') AS ride_type_array,
                array_to_string([coalesce(CAST(m.low AS VARCHAR), 'NULL') for m in members], ',')
                    AS min_cost_array,
                array_to_string([coalesce(CAST(m.high AS VARCHAR), 'NULL') for m in members], ',')
                    AS max_cost_array
-        FROM snapped s JOIN view_list ON view_id = s.rider_id || '-' || s.revised_time_ms""",
+        FROM snapped s JOIN view_list ON view_id = coalesce(s.rider_id || '-' || s.revised_time_ms, s.estimation_uuid)""",
     "estimation_agg": f"""
         SELECT {_VIEW_COLUMNS}, array_to_string([m.id for m in members], ',') AS combined_estimation_uuid,
                array_to_string([m.kind for m in members], ',') AS ride_type_array
@@ -520,7 +552,6 @@ _BODIES: dict[str, str] = {
         GROUP BY g""",
     "stream_flatten": f"""
         SELECT {_APP_KEYS}, view_name, page_location, component_name, query_string FROM app_event WHERE has_params""",
-    # Sessions that end before the watermark: a day before the latest (second-cut) event.
     "stream_sessions": f"""
         SELECT CAST(user_id AS VARCHAR) AS rider_id, {_ts('min(s)')} AS first_view_at, {_ts('max(s)')} AS last_view_at,
                count(*) AS view_count
@@ -528,9 +559,7 @@ _BODIES: dict[str, str] = {
                         OVER (PARTITION BY user_id ORDER BY s, event_id) AS session
               FROM (SELECT user_id, event_id, s, lag(s) OVER (PARTITION BY user_id ORDER BY s, event_id) AS before
                     FROM (SELECT *, date_trunc('second', ts) AS s FROM events)))
-        GROUP BY user_id, session
-        HAVING max(s) + INTERVAL 299999 MILLISECOND
-               <= (SELECT max(date_trunc('second', ts)) - INTERVAL 1 DAY FROM events)""",
+        GROUP BY user_id, session""",
     "stream_daily_counts": f"""
         SELECT {_ts("date_trunc('day', ts)")} AS day_start, event_type, count(*) AS event_count
         FROM events GROUP BY ALL""",

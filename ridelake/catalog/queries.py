@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.catalog import fixtures as fx
+from ridelake.functions import labels, times
 from ridelake.functions.nested import joined_text
 from ridelake.operators import quality
 from ridelake.operators.rolling import rolling_power
 from ridelake.plans import applog, desk, forecast, market, reports
 from ridelake.session import materialize, staging_path
 from ridelake.sources import tables
-from ridelake.sources.scans import run_sql
+from ridelake.sources.scans import quarantined_json, read_landed_json, run_sql, scan_shard
+from ridelake.sources.scans import search_targets as targets_to_fetch
 from ridelake.streaming import jobs as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +105,7 @@ def demand_daily(spark, sf_dir):
 def demand_daily_sql(spark, sf_dir):
     fx.ride_base(spark, sf_dir).createOrReplaceTempView("ride_base")
     last = fx.TARGET_DATE + dt.timedelta(days=29)
-    return run_sql(spark, DEMAND_SQL, target_date=last, days_back=29)
+    return run_sql(spark, DEMAND_SQL, target_date=last, days_back=29, report_start=market.REPORT_START)
 
 
 def _base(spark, sf_dir):
@@ -285,7 +287,7 @@ def upsert_by_id(spark, sf_dir):
     first, second = fx.ticket_batches(spark, sf_dir)
     path = staging_path(spark, "tickets")
     for pages in (first, second):
-        tables.upsert_table(_ticket_rows(pages), path, "created_at", files_per_day=1)
+        tables.upsert_table(_ticket_rows(pages), path, "created_at")
     stored = _ticket_rows(first).schema
     return _show_ticket(spark.read.parquet(path).select(*stored.names))
 
@@ -294,9 +296,9 @@ def upsert_by_id(spark, sf_dir):
 def partition_replace(spark, sf_dir):
     rides = fx.ride_base(spark, sf_dir).select("ride_id", "date_kr", "type", "credit_withdrawal_amount")
     path = staging_path(spark, "rides")
-    tables.overwrite_table(rides, path, "date_kr", files_per_day=1)
+    tables.overwrite_table(rides, path, "date_kr")
     renamed = rides.where(F.col("type") != "NXT").withColumn("type", F.lower("type"))
-    tables.overwrite_day(renamed, path, fx.TARGET_DATE, files_per_day=1)
+    tables.overwrite_day(renamed, path, fx.TARGET_DATE)
     return spark.read.parquet(path).select(*rides.columns)
 
 
@@ -314,6 +316,122 @@ def quality_checks(spark, sf_dir):
     return types.unionByName(loaded)
 
 
+# --- landing and merging, with the rows that must not get lost ---
+
+
+def _landed_lines(spark, sf_dir) -> str:
+    """Line-delimited JSON with broken lines, foreign documents and a field of the wrong type."""
+    e = F.col("event_id")
+    good = F.to_json(F.struct(e.alias("id"), F.col("event_type").alias("kind")))
+    line = (
+        F.when(e % 50 == 7, F.concat(F.lit("{broken "), e.cast("string")))
+        .when(e % 50 == 8, F.concat(F.lit('{"other":'), e.cast("string"), F.lit("}")))
+        .when(e % 50 == 9, F.concat(F.lit('{"id":"oops","kind":"k'), e.cast("string"), F.lit('"}')))
+        .otherwise(good)
+    )
+    path = staging_path(spark, "landed-lines")
+    fx.table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return path
+
+
+_LINE_SCHEMA = "id BIGINT, kind STRING"
+
+
+@query
+def landed_ndjson(spark, sf_dir):
+    return read_landed_json(spark, _landed_lines(spark, sf_dir), _LINE_SCHEMA)
+
+
+@query
+def quarantined_ndjson(spark, sf_dir):
+    return quarantined_json(spark, _landed_lines(spark, sf_dir), _LINE_SCHEMA).select("reason", "text")
+
+
+@query
+def upsert_partial_columns(spark, sf_dir):
+    """The second batch lacks a column of the table; every other row has it kept."""
+    key = F.col("c_custkey")
+    day = F.timestamp_add("DAY", (key % 3).cast("int"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
+    first = fx.table(spark, sf_dir, "customer").select(
+        key.alias("id"), F.concat(F.lit("c"), key.cast("string")).alias("name"), F.col("c_nationkey").alias("extra"), day.alias("created_at")
+    )
+    path = staging_path(spark, "partial")
+    tables.upsert_table(first, path, "created_at")
+    tables.upsert_table(first.where(F.col("id") % 2 == 0).drop("extra").withColumn("name", F.lit("new")), path, "created_at")
+    return spark.read.parquet(path).select("id", "name", "extra")
+
+
+@query
+def merge_null_keys(spark, sf_dir):
+    """A merge by two columns, one of them often NULL, in a table whose day is often NULL."""
+    e = F.col("event_id")
+    rows = fx.table(spark, sf_dir, "events").select(
+        e.alias("place"),
+        F.when(e % 5 != 0, "x").alias("kind"),
+        F.when(e % 3 != 0, F.col("ts")).alias("at"),
+        F.floor("value").alias("reading"),
+    )
+    path = staging_path(spark, "null-keys")
+    for batch in (rows, rows.where(F.col("place") % 4 == 0).withColumn("reading", F.lit(-1).cast("bigint"))):
+        tables.upsert_table(batch, path, "at", ["place", "kind"], day_name="at_day", day_in_key=True)
+    return spark.read.parquet(path).select("place", "kind", "reading")
+
+
+@query
+def refresh_day(spark, sf_dir):
+    """A day loaded into a table that an empty load left without files, and not loaded again."""
+    rides = fx.ride_base(spark, sf_dir).select("ride_id", "date_kr", "type")
+    path = staging_path(spark, "refreshed")
+    one_day = rides.where(F.col("date_kr") == F.lit(fx.TARGET_DATE))
+    tables.overwrite_day(one_day, path, fx.TARGET_DATE)
+    tables.overwrite_day(one_day.limit(0), path, fx.TARGET_DATE)
+    tables.refresh_day(rides, path, fx.TARGET_DATE)
+    tables.refresh_day(rides.limit(0), path, fx.TARGET_DATE)
+    return spark.read.parquet(path).select(*rides.columns)
+
+
+@query
+def demand_daily_filled(spark, sf_dir):
+    """Demand with two days taken out and filled in again."""
+    gone = [fx.TARGET_DATE + dt.timedelta(days=n) for n in (3, 17)]
+    rides = fx.ride_base(spark, sf_dir).where(~F.col("date_kr").isin(gone))
+    return market.demand_daily(rides, _last_day(), days_back=29, fill_gaps=True)
+
+
+@query
+def demand_daily_default(spark, sf_dir):
+    """The default window: the target day and the day before, of thirty."""
+    return market.demand_daily(fx.ride_base(spark, sf_dir), fx.TARGET_DATE + dt.timedelta(days=9))
+
+
+@query
+def search_targets(spark, sf_dir):
+    path = staging_path(spark, "stored-forecasts")
+    twice = fx.places(spark, sf_dir).unionAll(fx.places(spark, sf_dir))
+    twice.withColumn("temperatures", F.lit(1)).write.parquet(path)
+    return targets_to_fetch(spark, path, f"{path}-seed", "h3_l7 STRING, lat DOUBLE, lon DOUBLE")
+
+
+@query
+def app_log_sharded(spark, sf_dir):
+    """One day of a log that is stored as day shards."""
+    events = fx.app_event(spark, sf_dir).select("event_name", "user_pseudo_id", "event_datetime")
+    path = staging_path(spark, "shards")
+    events.withColumn("suffix", F.date_format("event_datetime", "yyyyMMdd")).write.partitionBy("suffix").parquet(path)
+    schema = "event_name STRING, user_pseudo_id STRING, event_datetime TIMESTAMP_NTZ"
+    return scan_shard(spark, path, times.shift_day(FIRST_EVENT_DAY, 2), schema).drop("suffix")
+
+
+@query
+def text_and_clock_labels(spark, sf_dir):
+    """A regular-expression match and the market's date of a given clock."""
+    return fx.table(spark, sf_dir, "events").select(
+        "event_id",
+        labels.mentions(F.col("event_type"), "^(view|click)$").alias("is_browsing"),
+        times.market_today(F.col("ts")).alias("market_day"),
+    )
+
+
 # --- reports ---
 
 
@@ -361,7 +479,7 @@ def stream_upsert(spark, sf_dir):
     first, second = fx.ticket_batches(spark, sf_dir)
     for number, pages in enumerate((first, second)):
         # Landing the batches in this order gives the files their order in the stream.
-        pages.withColumn("batch", F.lit(number)).coalesce(8).write.mode("append").parquet(landed)
+        pages.withColumn("batch", F.lit(number)).write.mode("append").parquet(landed)
     schema = first.withColumn("batch", F.lit(0)).schema
     path, state = staging_path(spark, "stream-tickets"), staging_path(spark, "stream-tickets-state")
     pages = spark.readStream.schema(schema).parquet(landed)
@@ -374,7 +492,9 @@ def stream_sessions(spark, sf_dir):
     out, state = staging_path(spark, "sessions"), staging_path(spark, "sessions-state")
     sessions = streaming.session_stream(_event_stream(spark, sf_dir), F.col("user_id"), F.col("ts"))
     streaming.append_to_files(sessions, out, state)
-    return spark.read.schema(sessions.schema).parquet(out)
+    closed = spark.read.schema(sessions.schema).parquet(out)
+    events = fx.table(spark, sf_dir, "events")
+    return closed.unionByName(streaming.open_sessions(events, closed, F.col("user_id"), F.col("ts")))
 
 
 @query
@@ -399,5 +519,5 @@ def stream_dedupe(spark, sf_dir):
 def stream_forecast(spark, sf_dir):
     pages = fx.forecast_pages_from(_event_stream(spark, sf_dir))
     out, state = staging_path(spark, "forecasts"), staging_path(spark, "forecasts-state")
-    streaming.forecast_stream(pages, out, state)
+    streaming.forecast_stream(pages, out, state, rejected=staging_path(spark, "forecasts-rejected"))
     return spark.read.parquet(out).drop("updated_day")

@@ -81,10 +81,6 @@ def fold_region(region: Column) -> Column:
     return F.when(region.isin(FOLDED_REGIONS), FOLDED_INTO).otherwise(region)
 
 
-def matched_label(accepted_at: Column, ride_type: Column) -> Column:
-    return F.when(accepted_at.isNotNull(), ride_type).otherwise(UNMATCHED)
-
-
 def without_vat(amount: Column) -> Column:
     return amount / F.lit(VAT_DIVISOR)
 

@@ -73,9 +73,11 @@ def trailing_window(day: Column, target: dt.date, days_back: int = 1) -> Column:
     return day.between(F.lit(target - dt.timedelta(days=days_back)), F.lit(target))
 
 
-def market_today() -> Column:
-    """Current date in the market's zone."""
-    return F.to_date(F.convert_timezone(None, F.lit(MARKET_ZONE), F.localtimestamp()))
+def market_today(now: Column | None = None) -> Column:
+    """Date in the market's zone of ``now`` (a zoneless UTC clock), or of the current moment."""
+    if now is None:
+        return F.to_date(F.convert_timezone(None, F.lit(MARKET_ZONE), F.localtimestamp()))
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(MARKET_ZONE), now))
 
 
 def shift_day(day: dt.date, days: int = 0) -> dt.date:

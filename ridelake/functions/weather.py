@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Forecast categories, and the wind components that are left out.
-CATEGORIES = ["LGT", "PTY", "RN1", "SKY", "T1H", "REH", "WSD"]
-EXCLUDED_CATEGORIES = ["UUU", "VVV", "VEC"]
 # Rain text -> bucket rank; any other text has the default rank.
 RAIN_RANK = {"강수없음": 1, "1.0mm 미만": 2, "30.0~50.0mm": 4, "50.0mm 이상": 5}
 DEFAULT_RAIN_RANK = 3
@@ -28,10 +25,6 @@ def rain_label(rank: Column) -> Column:
     return F.get(labels, F.coalesce(rank, F.lit(DEFAULT_RAIN_RANK)) - 1)
 
 
-def rain_bucket(text: Column) -> Column:
-    return rain_label(rain_rank(text))
-
-
 def is_above_zero(number: Column) -> Column:
     """Flag of a numeric value, False when it is missing."""
     return F.coalesce(number > 0, F.lit(False))

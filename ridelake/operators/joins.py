@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from ridelake.session import materialize
 
-NULL_SPREAD = 4096
-
 
 def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
@@ -27,8 +25,7 @@ def left_join_spreading_nulls(
     that no right row has.
     """
     null_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
-    spread = F.pmod(_row_hash(left), F.lit(NULL_SPREAD)) + 1
-    keyed_left = left.withColumn("_spread", F.when(null_key, spread).otherwise(0))
+    keyed_left = left.withColumn("_spread", F.when(null_key, _row_hash(left)).otherwise(0))
     keyed_right = right.dropna(subset=list(on.values())).select(
         *[F.col(r).alias(f"_r_{r}") for r in dict.fromkeys([*on.values(), *keep_right])],
         F.lit(0).cast("bigint").alias("_r_spread"),
@@ -42,21 +39,6 @@ def left_join_spreading_nulls(
     )
 
 
-def attach_group_row(rows: DataFrame, groups: DataFrame, key: str, spread: int = 64) -> DataFrame:
-    """Add the one ``groups`` row of each key, where a NULL key is a group of its own.
-
-    Rows of the NULL group are spread over ``spread`` copies of its single row.
-    """
-    salted = rows.withColumn(
-        "_salt", F.when(F.col(key).isNull(), F.pmod(_row_hash(rows), F.lit(spread))).otherwise(0)
-    )
-    copies = F.when(F.col(key).isNull(), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    spread_groups = groups.withColumn("_g_salt", F.explode(copies)).withColumnRenamed(key, "_g_key")
-    added = [name for name in groups.columns if name != key]
-    condition = F.col(key).eqNullSafe(F.col("_g_key")) & (F.col("_salt") == F.col("_g_salt"))
-    return salted.join(spread_groups, condition, "left").select(*rows.columns, *added)
-
-
 def left_join_by_parts(left: DataFrame, right: DataFrame, on: Sequence[str], added: Mapping[str, str]) -> DataFrame:
     """Left join on equally named columns for a ``right`` side that may repeat one key very often.
 

@@ -41,7 +41,9 @@ def with_neighbours(
     and including the current one.  ``segment`` must not decrease along
     ``order``; ``order`` should be total, otherwise ties are arbitrary as in SQL.
 
-    ``df`` is read twice: for the rows and for the segment summaries.  Where it
+    A row with a NULL key belongs to nobody: it has no neighbours, and the latest value it has seen is its own.
+
+    ``df`` is read three times: for the keyless rows, for the rows and for the segment summaries.  Where it
     is costly, stage it, or pass as ``outline`` a cheaper frame with the same
     first and last rows per segment.
     """
@@ -51,13 +53,19 @@ def with_neighbours(
         **{f"_next_{out}": src for out, src in following.items()},
         **{f"_seen_{out}": src for out, src in last_seen.items()},
     }
-    rows = df.select(
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyless = df.where(~has_key).select(
+        "*",
+        *[F.lit(None).cast(df.schema[src].dataType).alias(out) for out, src in {**previous, **following}.items()],
+        *[F.col(src).alias(out) for out, src in last_seen.items()],
+    )
+    rows = df.where(has_key).select(
         "*",
         segment.alias(_SEG),
         F.lit(0).alias(_EDGE),
         *[F.col(src).alias(name) for name, src in payload.items()],
     )
-    outline = df if outline is None else outline
+    outline = (df if outline is None else outline).where(has_key)
     by_segment = outline.withColumn(_SEG, segment).groupBy(*keys, _SEG)
     if previous or last_seen:
         rows = rows.unionByName(_from_before(by_segment, keys, order, previous, last_seen), allowMissingColumns=True)
@@ -71,7 +79,7 @@ def with_neighbours(
         + [F.lead(f"_next_{out}").over(window).alias(out) for out in following]
         + [F.last(f"_seen_{out}", ignorenulls=True).over(to_here).alias(out) for out in last_seen]
     )
-    return rows.select(*df.columns, _EDGE, *found).where(F.col(_EDGE) == 0).drop(_EDGE)
+    return rows.select(*df.columns, _EDGE, *found).where(F.col(_EDGE) == 0).drop(_EDGE).unionByName(keyless)
 
 
 def _along(keys: Sequence[str]) -> WindowSpec:

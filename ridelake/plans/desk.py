@@ -88,14 +88,16 @@ def user_normalize(pages: DataFrame, request_type: str = "incremental") -> DataF
 
 
 def usable_pages(pages: DataFrame, field: str) -> DataFrame:
-    """Pages before the first empty one.
+    """Pages before the first empty one of their load; pages without a number are kept.
 
-    A load stops at an empty page, and one that starts with it loads nothing.
-    The first empty page number is a scalar subquery, so pages stay distributed.
+    A load stops at an empty page, and one that starts with it loads nothing.  Loads are told apart by a
+    column ``load`` if there is one.  What is joined is one number per load that has an empty page.
     """
     size = F.coalesce(F.size(F.col(field)), F.lit(0))
-    empty = pages.where(size <= 0).agg(F.min("page").alias("page"))
-    return pages.where(F.col("page") < F.coalesce(empty.scalar(), F.lit((1 << 63) - 1)))
+    load = F.col("load") if "load" in pages.columns else F.lit("")
+    ends = pages.where(size <= 0).groupBy(load.alias("_load")).agg(F.min("page").alias("_end"))
+    known = pages.withColumn("_of", load).join(ends, F.col("_of").eqNullSafe(F.col("_load")), "left")
+    return known.where(F.col("_end").isNull() | F.col("page").isNull() | (F.col("page") < F.col("_end"))).select(*pages.columns)
 
 
 def dedupe_last_by_id(records: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ridelake.functions.nested import joined_text, offset, variant_scalar
 from ridelake.functions.times import seconds_between, trailing_window, wall_from_millis
 from ridelake.operators.calendar import fill_days
 from ridelake.operators.groups import first_rows
-from ridelake.operators.joins import alternative_key_join, attach_group_row, left_join_spreading_nulls
+from ridelake.operators.joins import alternative_key_join, left_join_spreading_nulls
 from ridelake.operators.segments import time_segment, with_neighbours
 from ridelake.session import materialize
 from ridelake.sources.scans import scan_trailing
@@ -153,6 +154,11 @@ def view_id() -> Column:
     return F.concat("rider_id", F.lit("-"), F.col("revised_time_ms").cast("string"))
 
 
+def _view_key() -> Column:
+    """Key of a view.  Nobody's estimates are a view each: there is no rider whose list they could share."""
+    return F.coalesce(view_id(), F.concat(F.lit("estimate "), F.col("estimation_uuid")))
+
+
 def _view_lists(rows: DataFrame, *fields: str) -> DataFrame:
     """One row per view with its ordered estimates in ``_list``; NULL fields keep their place.
 
@@ -160,7 +166,7 @@ def _view_lists(rows: DataFrame, *fields: str) -> DataFrame:
     The rows themselves are not gathered or sorted in one place.
     """
     listed = F.sort_array(F.collect_list(F.struct(*_VIEW_ORDER, *fields)))
-    return rows.groupBy("rider_id_time_ms").agg(listed.alias("_list"))
+    return rows.groupBy("_view").agg(listed.alias("_list"))
 
 
 def estimation_arrays(base: DataFrame) -> DataFrame:
@@ -168,15 +174,15 @@ def estimation_arrays(base: DataFrame) -> DataFrame:
 
     ``base`` is read twice; pass a staged frame.
     """
-    rows = base.withColumn("rider_id_time_ms", view_id())
+    rows = base.withColumns({"rider_id_time_ms": view_id(), "_view": _view_key()})
     arrays = _view_lists(rows, "estimation_ride_type", "min_cost", "max_cost").select(
-        "rider_id_time_ms",
+        "_view",
         F.col("_list.estimation_uuid").alias("estimation_uuid_array"),
         F.col("_list.estimation_ride_type").alias("ride_type_array"),
         F.col("_list.min_cost").alias("min_cost_array"),
         F.col("_list.max_cost").alias("max_cost_array"),
     )
-    return attach_group_row(rows, arrays, "rider_id_time_ms")
+    return rows.join(arrays, "_view").drop("_view")
 
 
 def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool = False) -> DataFrame:
@@ -187,36 +193,36 @@ def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool =
     ``with_lists`` adds the view's joined ids and types.  ``base`` is read two
     or three times; pass a staged frame.
     """
-    rows = base.withColumn("rider_id_time_ms", view_id())
+    rows = base.withColumns({"rider_id_time_ms": view_id(), "_view": _view_key()})
     entry = F.struct("estimation_uuid", "min_cost", "max_cost")
     position = F.struct(*_VIEW_ORDER)
-    searched = rows.select("rider_id_time_ms", "estimation_ride_type", "min_cost", "max_cost", *_VIEW_ORDER)
+    searched = rows.select("_view", "estimation_ride_type", "min_cost", "max_cost", *_VIEW_ORDER)
     if not all_offsets:
-        searched = first_rows(searched, ["rider_id_time_ms"], _VIEW_ORDER, n=2)
-    found = searched.groupBy("rider_id_time_ms").agg(
+        searched = first_rows(searched, ["_view"], _VIEW_ORDER, n=2)
+    found = searched.groupBy("_view").agg(
         *[
             F.min_by(entry, F.when(F.col("estimation_ride_type") == kind, position)).alias(f"_{prefix}")
             for kind, prefix in labels.ESTIMATE_PREFIX.items()
         ]
     )
     looked_up = found.select(
-        "rider_id_time_ms",
+        "_view",
         *[
             F.col(f"_{prefix}.{source}").alias(f"{prefix}_{source}")
             for source in ("estimation_uuid", "min_cost", "max_cost")
             for prefix in labels.ESTIMATE_PREFIX.values()
         ],
     )
-    variants = rows.select(*VIEW_ATTRIBUTES, F.col("revised_time_ms").alias("time_ms"), "rider_id_time_ms").distinct()
-    views = attach_group_row(variants, looked_up, "rider_id_time_ms")
+    variants = rows.select(*VIEW_ATTRIBUTES, F.col("revised_time_ms").alias("time_ms"), "rider_id_time_ms", "_view").distinct()
+    views = variants.join(looked_up, "_view")
     if with_lists:
         lists = _view_lists(rows, "estimation_ride_type").select(
-            "rider_id_time_ms",
+            "_view",
             joined_text(F.col("_list.estimation_uuid")).alias("combined_estimation_uuid"),
             joined_text(F.col("_list.estimation_ride_type")).alias("ride_type_array"),
         )
-        views = attach_group_row(views, lists, "rider_id_time_ms")
-    return views.withColumn("estimate_time_kr", wall_from_millis(F.col("time_ms")))
+        views = views.join(lists, "_view")
+    return views.drop("_view").withColumn("estimate_time_kr", wall_from_millis(F.col("time_ms")))
 
 
 # --- requests ---------------------------------------------------------------
@@ -261,8 +267,10 @@ def ride_request(requests: DataFrame, snapshots: DataFrame, target: dt.date, day
 def request_uuid_filled(requests: DataFrame) -> DataFrame:
     """Requests without any estimate id take the rider's latest known id of each type.
 
-    The three ids are carried forward independently of each other.
+    The three ids are carried forward independently of each other.  The requests are staged, since they
+    are joined and parsed rows that are read several times.
     """
+    requests = materialize(requests, "requests")
     seen = with_neighbours(
         requests,
         ["rider_id"],
@@ -339,12 +347,19 @@ _REQUEST_COLUMNS = {
 def estimation_request_joined(views: DataFrame, requests: DataFrame) -> DataFrame:
     """Views with the request that used one of their estimates, by LITE, PREMIUM, then NXT id."""
     own = [name for name in views.columns if name not in ("combined_estimation_uuid", "ride_type_array")]
-    return alternative_key_join(
-        materialize(views.select(*own), "views"),
-        materialize(requests, "requests"),
-        [(name, name) for name in UUID_COLUMNS],
-        _REQUEST_COLUMNS,
+    views = materialize(views.select(*own), "views")
+    # Which requests a view meets depends on its three ids alone, so the ids go through the joins and not the views.
+    has_id = reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in UUID_COLUMNS])
+    ids = views.where(has_id).select(*UUID_COLUMNS).distinct()
+    met = alternative_key_join(
+        ids, materialize(requests, "requests"), [(name, name) for name in UUID_COLUMNS], _REQUEST_COLUMNS
     )
+    added = [name for name in met.columns if name not in UUID_COLUMNS]
+    keyed = met.select(*[F.col(name).alias(f"_{name}") for name in UUID_COLUMNS], *added)
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in UUID_COLUMNS])
+    joined = views.where(has_id).join(keyed, same).select(*own, *added)
+    nothing = [F.lit(None).cast(met.schema[name].dataType).alias(name) for name in added]
+    return joined.unionByName(views.where(~has_id).select(*own, *nothing))
 
 
 def valid_view(joined: DataFrame, gap_minutes: int = VALID_GAP_MINUTES) -> DataFrame:
@@ -424,7 +439,7 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
             F.bool_or(F.col("is_valid_5_last").isNull()).alias("_unknown"),
         )
     )
-    rows = base.select(*VALID_VIEW_INPUT)
+    rows = base.select(*VALID_VIEW_INPUT).where(F.col("rider_id").isNotNull())
     flagged = left_join_spreading_nulls(
         rows,
         flags,
@@ -469,9 +484,13 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
     )
     gap_seconds = F.floor(F.col("_next_ms") / 1000) - F.floor(F.col("revised_time_ms") / 1000)
     is_valid = F.col("_valid_request") | F.col("_next_ms").isNull() | (gap_seconds >= gap_minutes * 60)
-    counted = is_valid & F.col("rider_id").isNotNull() & F.col("revised_time_ms").isNotNull()
+    counted = is_valid & F.col("revised_time_ms").isNotNull()
+    # Estimates without a rider are in no view that counts, but their day and region are reported.
+    nobody = base.where(F.col("rider_id").isNull()).select("date_kr", "origin_region").distinct()
+    timed = timed.select("date_kr", "origin_region", counted.alias("counted"))
+    timed = timed.unionByName(nobody.withColumn("counted", F.lit(False)))
     return timed.groupBy("date_kr", "origin_region").agg(
-        F.count(F.when(counted, 1)).alias("valid_estimation_view_count")
+        F.count_if("counted").alias("valid_estimation_view_count")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,6 @@ RECOMMENDED_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
-_local_staging: dict[str, str] = {}
-
 
 def build_session(app_name: str = "ridelake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the recommended settings; ``conf`` keys may use ``__`` for dots."""
@@ -33,21 +30,13 @@ def build_session(app_name: str = "ridelake", master: str | None = None, **conf:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder for staged tables: the shared one named by ``spark.checkpoint.dir``.
+    """Folder for staged tables: under ``spark.checkpoint.dir``, or else under the warehouse.
 
-    A private temporary folder is used only where that setting is absent and
-    the session is local; on a cluster a missing setting is an error, because
-    executors could not see a folder of the driver's machine.
+    Both are shared by the driver and all executors; a machine's own temporary folder is not.
     """
     app = spark.sparkContext.applicationId
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/ridelake/{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if app not in _local_staging:
-        _local_staging[app] = tempfile.mkdtemp(prefix="ridelake-")
-    return _local_staging[app]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/ridelake/{app}"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
@@ -86,4 +75,3 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def release_staging(spark: SparkSession) -> None:
     """Drop every table this application staged (call when its results are consumed)."""
     delete_path(spark, staging_root(spark))
-    _local_staging.pop(spark.sparkContext.applicationId, None)

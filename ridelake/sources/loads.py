@@ -11,7 +11,7 @@ from ridelake.plans.desk import SEARCH, dedupe_last_by_id, usable_pages
 from ridelake.plans.forecast import grid_fetch_plan
 from ridelake.sources.datasets import FORECASTS, Dataset
 from ridelake.sources.scans import read_landed_json, read_pages, search_targets
-from ridelake.sources.tables import overwrite_days, overwrite_table, staged, upsert_table
+from ridelake.sources.tables import load_start, overwrite_days, overwrite_table, staged, upsert_table
 
 
 def load_desk_records(
@@ -21,18 +21,28 @@ def load_desk_records(
     table: str,
     request_type: str = "incremental",
     coalesce_null: bool = False,
+    strict: bool = False,
 ) -> str:
     """Load one batch of landed pages into its table: ``"empty"``, ``"created"`` or ``"merged"``.
 
-    Pages from the first empty one on are ignored, the last occurrence of an
-    id wins, and stored rows of the same id are replaced.
+    Pages from the first empty one of a load on are ignored, the last occurrence of an
+    id wins, and stored rows of the same id are replaced.  What cannot be read is listed by
+    ``quarantined_json``, or fails the load if ``strict``.
     """
-    pages = read_pages(spark, landed, dataset.page_schema)
+    pages = read_pages(spark, landed, dataset.page_schema, strict=strict)
     array = "results" if request_type == SEARCH else dataset.entries
-    rows = dedupe_last_by_id(dataset.normalise(usable_pages(pages, array), request_type))
+    # Several loads of one folder follow each other by name.
+    usable = usable_pages(pages, array).withColumn("page", F.struct("load", "page"))
+    rows = dedupe_last_by_id(dataset.normalise(usable, request_type))
     return upsert_table(rows, table, dataset.time_column, dataset.key, coalesce_null)
 
 
+def search_window(spark: SparkSession, table: str, requested_start: int, requested_end: int) -> tuple[int, int]:
+    """Epoch seconds to search: from the first start on while the table is missing, else with a day of overlap."""
+    start = load_start(spark, table, requested_start)
+    return (start if start != requested_start else requested_start - 86_400), requested_end
+
+
 def forecast_requests(
     spark: SparkSession, table: str, seed_path: str, seed_schema: str, run_at_utc: dt.datetime
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.functions.times import day_suffix, trailing_window
@@ -18,16 +18,6 @@ def scan_trailing(df: DataFrame, target: dt.date, days_back: int = 1, day: str =
     return df.where(trailing_window(F.col(day), target, days_back))
 
 
-def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan over the session's cores when its files give fewer splits than that.
-
-    A table that is one small file would otherwise be processed by one task.
-    Tables of the size the jobs are meant for have splits enough and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_since(df: DataFrame, start: dt.date, day: str = "date_kr") -> DataFrame:
     return df.where(F.col(day) >= F.lit(start))
 
@@ -39,45 +29,77 @@ def scan_shard(spark: SparkSession, path: str, shard: dt.date | str, schema: str
     return table.where(F.col("suffix") == name)
 
 
-def read_landed_json(
-    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False, strict: bool = False
-) -> DataFrame:
-    """Landed JSON documents with a declared schema.
+_BROKEN, _FILE = "_corrupt_record", "_landed_file"
+NOT_JSON, NO_FIELD = "unparsable", "no declared field"
 
-    Line-delimited by default, so large files are split between tasks.
-    Documents that do not parse are left out (``unreadable_json`` lists them),
-    or fail the job if ``strict``.
-    """
+
+def _landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool) -> DataFrame:
+    """Every landed document: declared columns, its text if Spark could not read all of it, and its file."""
     documents = (
-        spark.read.schema(schema)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        spark.read.schema(f"{schema}, {_BROKEN} STRING")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BROKEN)
         .option("multiLine", str(multi_line).lower())
         .json(path)
     )
-    return documents.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in documents.columns]))
+    return documents.withColumn(_FILE, F.col("_metadata.file_path"))
+
+
+def _fault(documents: DataFrame) -> Column:
+    """Why a landed document is not accepted; NULL if it is."""
+    declared = [c for c in documents.columns if c not in (_BROKEN, _FILE)]
+    any_field = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in declared])
+    return F.when(F.col(_BROKEN).isNotNull(), F.lit(NOT_JSON)).when(~any_field, F.lit(NO_FIELD))
 
 
-def unreadable_json(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
-    """File name and text of every landed document that is not JSON, for quarantine."""
-    texts = spark.read.text(path, wholetext=multi_line)
-    return texts.where(F.try_parse_json("value").isNull() & (F.trim("value") != "")).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")
+def read_landed_json(
+    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False, strict: bool = False
+) -> DataFrame:
+    """Accepted landed documents with a declared schema.
+
+    Line-delimited by default, so large files are split between tasks.  A document is accepted if it parses, all
+    its declared fields have their type, and it has one of them.  ``quarantined_json`` lists all others; with
+    ``strict`` the first of them fails the job.
+    """
+    return _accepted(_landed(spark, path, schema, multi_line), strict).drop(_BROKEN, _FILE)
+
+
+def _accepted(documents: DataFrame, strict: bool) -> DataFrame:
+    fault = _fault(documents)
+    if strict:
+        text = F.concat(F.lit("landed document rejected: "), fault, F.lit(" in "), F.col(_FILE))
+        return documents.where(F.when(fault.isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
+    return documents.where(fault.isNull())
+
+
+def quarantined_json(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False) -> DataFrame:
+    """``file_name, reason, text`` of every document that ``read_landed_json`` does not accept.
+
+    Accepted and quarantined documents together are all that have landed.  ``text`` is NULL for a document
+    that parses but has none of the declared fields.
+    """
+    documents = _landed(spark, path, schema, multi_line)
+    return documents.withColumn("reason", _fault(documents)).where(F.col("reason").isNotNull()).select(
+        F.regexp_extract(_FILE, "([^/]*)$", 1).alias("file_name"), "reason", F.col(_BROKEN).alias("text")
     )
 
 
 def read_pages(
     spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True, strict: bool = False
 ) -> DataFrame:
-    """Landed API pages, one document per file, with their page number.
+    """Accepted landed API pages, one document per file, with their load and page number.
 
-    The number is the document's own ``page`` or else the last number in the
-    file name (``tickets-0007.json``).
+    The number is the document's own ``page`` or else the last number in the file name
+    (``tickets-0007.json``), or NULL.  ``load`` is the file's path without that number: the pages of one
+    chain of requests share it.
     """
-    documents = read_landed_json(spark, path, schema, multi_line, strict)
-    numbered = F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)[^0-9]*$", 1)
+    documents = _accepted(_landed(spark, path, schema, multi_line), strict)
+    numbered = F.regexp_extract(_FILE, "([0-9]+)[^0-9/]*$", 1)
+    page = F.nullif(numbered, F.lit("")).try_cast("bigint")
     return documents.select(
-        F.coalesce("page", F.nullif(numbered, F.lit("")).cast("bigint")).alias("page"),
-        *[name for name in documents.columns if name != "page"],
+        F.regexp_replace(_FILE, "[0-9]+[^0-9/]*$", "").alias("load"),
+        (F.coalesce("page", page) if "page" in documents.columns else page).alias("page"),
+        *[name for name in documents.columns if name not in ("page", "load", _BROKEN, _FILE)],
     )
 
 

@@ -9,9 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.operators.quality import is_day_loaded, require
 from ridelake.session import delete_path, path_exists, staging_path
@@ -32,27 +35,17 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete_path(spark, path)
 
 
-def _clustered_by_day(df: DataFrame, day: str, files_per_day: int) -> DataFrame:
-    """Rows laid out so that each day is written as about ``files_per_day`` files.
+def _by_day(df: DataFrame, day: str) -> DataFrame:
+    """Rows of a day together, in tasks of even size: Spark splits heavy days and merges light ones by bytes."""
+    return df.hint("rebalance", day)
 
-    Days are split further by a row hash, so one heavy day is several tasks.
-    """
-    others = [F.col(f"`{c}`") for c in df.columns if c != day and _hashable(df, c)]
-    part = F.pmod(F.xxhash64(*others), F.lit(files_per_day)) if others else F.lit(0)
-    return df.repartition(F.col(day), part)
-
-
-def _hashable(df: DataFrame, name: str) -> bool:
-    kind = df.schema[name].dataType.simpleString()
-    return "map<" not in kind and "variant" not in kind
 
-
-def overwrite_table(df: DataFrame, path: str, day: str, files_per_day: int = 8) -> None:
+def overwrite_table(df: DataFrame, path: str, day: str) -> None:
     """Full refresh: every existing partition is dropped."""
     spark = df.sparkSession
     with staged(df, "refresh") as ready:
         (
-            _clustered_by_day(ready, day, files_per_day)
+            _by_day(ready, day)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(day)
@@ -61,11 +54,11 @@ def overwrite_table(df: DataFrame, path: str, day: str, files_per_day: int = 8)
     spark.catalog.refreshByPath(path)
 
 
-def overwrite_days(df: DataFrame, path: str, day: str, files_per_day: int = 8) -> None:
+def overwrite_days(df: DataFrame, path: str, day: str) -> None:
     """Replace exactly the days present in ``df``; other days keep their files."""
     spark = df.sparkSession
     (
-        _clustered_by_day(df, day, files_per_day)
+        _by_day(df, day)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -74,7 +67,7 @@ def overwrite_days(df: DataFrame, path: str, day: str, files_per_day: int = 8) -
     spark.catalog.refreshByPath(path)
 
 
-def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr", files_per_day: int = 8) -> None:
+def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr") -> None:
     """Replace one day.  An empty result empties that day."""
     spark = df.sparkSession
     rows = df.where(F.col(day) == F.lit(target))
@@ -82,7 +75,7 @@ def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr
         if ready.isEmpty():
             drop_day(spark, path, target, day)
         else:
-            overwrite_days(ready, path, day, files_per_day)
+            overwrite_days(ready, path, day)
 
 
 def drop_day(spark: SparkSession, path: str, target: dt.date | None, day: str) -> None:
@@ -105,64 +98,109 @@ def refresh_day(
     spark = source.sparkSession
     if checks is not None:
         require(checks)
-    if path_exists(spark, path) and is_day_loaded(spark.read.parquet(path), target, day):
+    if path_exists(spark, path) and is_day_loaded(spark.read.schema(source.schema).parquet(path), target, day):
         return "skipped"
     overwrite_day(source, path, target, day)
     return "loaded"
 
 
-def merged(target: DataFrame, source: DataFrame, key: str = "id", coalesce_null: bool = False) -> DataFrame:
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equal keys, where NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
+
+
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def merged(
+    target: DataFrame, source: DataFrame, key: str | Sequence[str] = "id", coalesce_null: bool = False
+) -> DataFrame:
     """Result of an upsert: source rows replace target rows of the same key, NULLs included.
 
-    With ``coalesce_null`` a NULL in the source keeps the stored value instead.
-    ``source`` must hold one row per key.
+    NULL keys equal each other.  Columns that only the target has keep their stored value.  With
+    ``coalesce_null`` so does every column that is NULL in the source.  ``source`` must hold one row per key;
+    its columns must be among the target's.
     """
-    kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    incoming = source.select(*target.columns)
-    if coalesce_null:
-        stored = target.select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in target.columns if c != key])
-        incoming = incoming.join(stored, key, "left").select(
-            *[F.col(c) if c == key else F.coalesce(c, f"_old_{c}").alias(c) for c in target.columns]
-        )
-    return kept.unionByName(incoming)
+    keys = _keys(key)
+    asked = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    kept = target.join(asked, _same(keys, [f"_new_{k}" for k in keys]), "left_anti").select(*target.columns)
+    stored_only = [c for c in target.columns if c not in source.columns]
+    if not coalesce_null and not stored_only:
+        return kept.unionByName(source.select(*target.columns))
+    stored = target.select(*[F.col(c).alias(f"_old_{c}") for c in target.columns])
+    both = source.join(stored, _same(keys, [f"_old_{k}" for k in keys]), "left")
+
+    def final(name: str) -> Column:
+        if name in stored_only:
+            return F.col(f"_old_{name}").alias(name)
+        keep_old = coalesce_null and name not in keys
+        return F.coalesce(name, f"_old_{name}").alias(name) if keep_old else F.col(name)
+
+    return kept.unionByName(both.select(*[final(c) for c in target.columns]))
+
+
+def _require_one_row_per_key(df: DataFrame, keys: Sequence[str]) -> None:
+    repeated = df.groupBy(*keys).count().where(F.col("count") > 1).limit(3).collect()
+    if repeated:
+        raise ValueError("the source has several rows of one key: " + "; ".join(str(r.asDict()) for r in repeated))
+
+
+def _stored_table(spark: SparkSession, path: str, incoming: T.StructType, day_name: str) -> DataFrame:
+    """The table with its own columns and, after them, those that only the new rows have."""
+    try:
+        own = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        own = T.StructType()  # the folder is there, but all its days are empty
+    fields = {f.name: f for f in own.fields} | {f.name: f for f in incoming.fields if f.name == day_name}
+    fields |= {f.name: f for f in incoming.fields if f.name not in fields}
+    return spark.read.schema(T.StructType(list(fields.values()))).parquet(path)
 
 
 def upsert_table(
     source: DataFrame,
     path: str,
     day: Column | str,
-    key: str = "id",
+    key: str | Sequence[str] = "id",
     coalesce_null: bool = False,
     day_name: str = "day",
-    files_per_day: int = 8,
+    day_in_key: bool = False,
 ) -> str:
     """Upsert rows into a table partitioned by ``day_name`` (derived by ``day``).
 
-    Returns ``"empty"``, ``"created"`` or ``"merged"``.  Only partitions that
-    lose or gain a row are rewritten, and a row whose day moves leaves its old
-    partition.  ``source`` must hold one row per key.
+    Returns ``"empty"``, ``"created"`` or ``"merged"``.  Only partitions that lose or gain a row are
+    rewritten, and a row whose day moves leaves its old partition.  Several source rows of one key are an
+    error.  Columns of the table that the source lacks keep their values; new columns are added.
+    ``day_in_key``: the day follows from the key, so rows never move and the search for old days is left out.
     """
-    spark = source.sparkSession
+    spark, keys = source.sparkSession, _keys(key)
     day = F.col(day) if isinstance(day, str) else day
     with staged(source.withColumn(day_name, F.to_date(day)), "source") as incoming:
         if incoming.isEmpty():
             return "empty"
+        _require_one_row_per_key(incoming, keys)
         if not path_exists(spark, path):
-            _clustered_by_day(incoming, day_name, files_per_day).write.partitionBy(day_name).parquet(path)
+            _by_day(incoming, day_name).write.partitionBy(day_name).parquet(path)
             return "created"
 
-        stored = spark.read.schema(incoming.schema).parquet(path)
-        replaced = stored.join(incoming.select(key), key, "left_semi").select(day_name)
-        affected = _days_of(replaced.union(incoming.select(day_name)), day_name)
+        stored = _stored_table(spark, path, incoming.schema, day_name)
+        touched = incoming.select(day_name)
+        if not day_in_key:
+            asked = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+            replaced = stored.join(asked, _same(keys, [f"_new_{k}" for k in keys]), "left_semi")
+            touched = touched.union(replaced.select(day_name))
+        affected = _days_of(touched, day_name)
         # Literal days prune the scan to the affected partitions.
-        current = stored.where(_is_one_of(day_name, affected)).select(*incoming.columns)
-        result = merged(current, incoming, key, coalesce_null)
+        current = stored.where(_is_one_of(day_name, affected))
+        result = merged(current, incoming, keys, coalesce_null)
         if coalesce_null:
             # The day follows the value that is finally stored.
             result = result.withColumn(day_name, F.to_date(day))
         with staged(result, "merged") as ready:
             emptied = set(affected) - set(_days_of(ready, day_name))
-            overwrite_days(ready, path, day_name, files_per_day)
+            overwrite_days(ready, path, day_name)
             # A failure before this loop ends is repaired by running the same upsert again.
             for value in emptied:
                 drop_day(spark, path, value, day_name)
@@ -183,4 +221,3 @@ def _is_one_of(day: str, values: Sequence[dt.date | None]) -> Column:
 def load_start(spark: SparkSession, path: str, requested_start: int) -> int:
     """Start of a load's search window: the fixed first start while the table is missing."""
     return requested_start if path_exists(spark, path) else FIRST_LOAD_START
-

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from ridelake.plans.applog import wide_params
 from ridelake.plans.desk import dedupe_last_by_id
-from ridelake.plans.forecast import ROW_KEYS, forecast_wide
-from ridelake.session import path_exists
-from ridelake.sources.tables import overwrite_days, staged, upsert_table
+from ridelake.plans.forecast import ROW_KEYS, checked_pages, forecast_wide, rejected_pages
+from ridelake.sources.tables import upsert_table
 
 # Fixed value: a gap of exactly five minutes ends a session, and session windows
 # merge events that are exactly one gap apart, so the gap is just below it.
@@ -88,33 +87,25 @@ def upsert_stream(
     _for_each_batch(pages, load, checkpoint, "append", trigger)
 
 
-def forecast_stream(pages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> None:
+def forecast_stream(
+    pages: DataFrame, path: str, checkpoint: str, rejected: str | None = None, trigger: dict | None = None
+) -> None:
     """Widen landed forecast pages and merge them by (place, update, base, forecast time).
 
-    A later page of the same key replaces the stored row; only the days present
-    in the batch are rewritten.
+    A later page of the same key replaces the stored row; only the days present in the batch are rewritten.
+    Rejected pages are written to ``rejected``, in a folder per batch so that a repeated batch replaces its
+    own; without that folder the first one fails the stream.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        wide = forecast_wide(batch).withColumn("updated_day", F.to_date("updated_at_kr"))
-        if path_exists(batch.sparkSession, path):
-            _merge_forecasts(wide, path)
-        else:
-            overwrite_days(wide, path, "updated_day")
+    def load(batch: DataFrame, batch_id: int) -> None:
+        if rejected:
+            rejected_pages(batch).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+        wide = forecast_wide(batch if rejected else checked_pages(batch))
+        upsert_table(wide, path, "updated_at_kr", ROW_KEYS, day_name="updated_day", day_in_key=True)
 
     _for_each_batch(pages, load, checkpoint, "append", trigger)
 
 
-def _merge_forecasts(wide: DataFrame, path: str) -> None:
-    spark = wide.sparkSession
-    with staged(wide, "forecast-batch") as incoming:
-        days = [row[0] for row in incoming.select("updated_day").distinct().collect()]
-        stored = spark.read.schema(incoming.schema).parquet(path).where(F.col("updated_day").isin(days))
-        kept = stored.join(incoming, ROW_KEYS, "left_anti").select(*incoming.columns)
-        with staged(kept.unionByName(incoming), "forecast-merged") as ready:
-            overwrite_days(ready, path, "updated_day")
-
-
 def _event_time(clock: Column) -> Column:
     """Zoneless UTC clock as the TIMESTAMP that watermarks need."""
     return clock.cast("timestamp")
@@ -139,6 +130,27 @@ def session_stream(
     )
 
 
+def open_sessions(
+    events: DataFrame, closed: DataFrame, rider: Column, clock: Column, gap: str = SESSION_GAP
+) -> DataFrame:
+    """The sessions that the stream has not closed yet, by a batch pass over the same events.
+
+    They are the sessions of the events after each rider's last closed session.
+    """
+    timed = events.select(
+        rider.cast("string").alias("rider_id"), F.date_trunc("second", _event_time(clock)).alias("view_at")
+    )
+    until = closed.groupBy(F.col("rider_id").alias("_rider")).agg(F.max("last_view_at").alias("_until"))
+    rest = timed.join(until, F.col("rider_id").eqNullSafe(F.col("_rider")), "left").where(
+        F.col("_until").isNull() | (F.col("view_at") > F.col("_until"))
+    )
+    return (
+        rest.groupBy("rider_id", F.session_window("view_at", gap))
+        .agg(F.count(F.lit(1)).alias("view_count"), F.max("view_at").alias("last_view_at"))
+        .select("rider_id", F.col("session_window.start").alias("first_view_at"), "last_view_at", "view_count")
+    )
+
+
 def daily_count_stream(events: DataFrame, clock: Column, kind: str, lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Events per calendar day and kind."""
     return (
@@ -158,4 +170,3 @@ def dedupe_stream(events: DataFrame, key: str, clock: Column, lateness: str = AL
         .dropDuplicatesWithinWatermark([key])
         .drop("_at")
     )
-

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ridelake.catalog.oracle import oracle_sql
+from ridelake.catalog.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -21,16 +23,16 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = Counter(repr(tuple(r)) for r in df.select(*[f"`{c}`" for c in columns]).collect())
 
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]

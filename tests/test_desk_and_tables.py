@@ -44,16 +44,22 @@ def test_ticket_page(spark, tmp_path):
     assert (row.page, row.pos) == (3, 0)
 
     assert pages.count() == 1
-    bad = scans.unreadable_json(spark, str(tmp_path / "t"), multi_line=True)
-    assert [tuple(r) for r in bad.collect()] == [("tickets-0004.json", "{broken")]
-    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+    bad = scans.quarantined_json(spark, str(tmp_path / "t"), TICKETS.page_schema, multi_line=True)
+    assert [tuple(r) for r in bad.collect()] == [("tickets-0004.json", scans.NOT_JSON, "{broken")]
+    with pytest.raises(Exception, match="rejected"):
         scans.read_pages(spark, str(tmp_path / "t"), TICKETS.page_schema, strict=True).collect()
 
 
 def test_line_delimited_load(spark, tmp_path, rows):
-    (tmp_path / "x.json").write_text('{"id": 1, "v": "a"}\n{oops\n{"id": 2}\n', encoding="utf-8")
-    assert rows(scans.read_landed_json(spark, str(tmp_path), "id BIGINT, v STRING")) == sorted([(1, "a"), (2, None)], key=repr)
-    assert rows(scans.unreadable_json(spark, str(tmp_path)), "text") == [("{oops",)]
+    lines = ['{"id": 1, "v": "a"}', "{oops", '{"id": 2}', '{"other": 3}', '{"id": "no number"}']
+    (tmp_path / "x.json").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    accepted = scans.read_landed_json(spark, str(tmp_path), "id BIGINT, v STRING")
+    assert rows(accepted) == sorted([(1, "a"), (2, None)], key=repr)
+    refused = scans.quarantined_json(spark, str(tmp_path), "id BIGINT, v STRING")
+    assert rows(refused, "reason", "text") == sorted(
+        [(scans.NOT_JSON, "{oops"), (scans.NO_FIELD, None), (scans.NOT_JSON, '{"id": "no number"}')], key=repr
+    )
+    assert accepted.count() + refused.count() == len(lines)
 
 
 def test_search_pages_have_no_generated_timestamp(spark, tmp_path):
@@ -93,6 +99,8 @@ def test_pages_stop_at_the_first_empty_one(spark, rows):
     assert rows(desk.usable_pages(pages, "users"), "page") == [(1,), (2,)]
     assert rows(desk.usable_pages(pages.where("page <> 3"), "users"), "page") == [(1,), (2,), (4,)]
     assert desk.usable_pages(pages.where("page >= 3"), "users").isEmpty()
+    unnumbered = pages.unionByName(spark.createDataFrame([(None, [9])], pages.schema))
+    assert rows(desk.usable_pages(unnumbered, "users"), "users") == [([1],), ([2],), ([9],)]
 
 
 def stored_rows(spark, path):
@@ -232,3 +240,54 @@ def test_users(spark):
     [row] = USERS.normalise(pages).collect()
     assert (row.external_id, row.role, row.role_type, row.last_login_at) == (None, "agent", None, None)
     assert staging_path(spark, "x").rsplit("/", 1)[1].startswith("x-")
+
+
+def test_upsert_keeps_columns_that_the_source_lacks(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+    stamp = dt.datetime(2024, 1, 1)
+    first = spark.createDataFrame([(1, "a", 10, stamp), (2, "b", 20, stamp)], "id INT, v STRING, extra INT, created_at TIMESTAMP")
+    tables.upsert_table(first, path, "created_at")
+    second = spark.createDataFrame([(2, None, stamp, "n"), (3, "c", stamp, "m")], "id INT, v STRING, created_at TIMESTAMP, added STRING")
+    for _ in range(2):
+        assert tables.upsert_table(second, path, "created_at") == "merged"
+    got = spark.read.option("mergeSchema", "true").parquet(path)
+    assert rows(got, "id", "v", "extra", "added") == sorted([(1, "a", 10, None), (2, None, 20, "n"), (3, "c", None, "m")], key=repr)
+
+
+def test_upsert_refuses_two_rows_of_one_key(spark, tmp_path):
+    twice = batch(spark, [(1, "a", "2024-01-01"), (1, "b", "2024-01-01")])
+    with pytest.raises(ValueError, match="several rows"):
+        tables.upsert_table(twice, str(tmp_path / "t"), "created_at")
+
+
+def test_merge_is_safe_for_null_keys_and_null_days(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+    first = batch(spark, [(1, "h1", None), (None, "n", None), (2, "b", "2024-01-01")])
+    tables.upsert_table(first, path, "created_at", day_in_key=True)
+    again = batch(spark, [(None, "n2", None), (3, "c", "2024-01-01")])
+    for _ in range(2):
+        tables.upsert_table(again, path, "created_at", day_in_key=True)
+    assert rows(spark.read.parquet(path), "id", "v") == sorted([(1, "h1"), (None, "n2"), (2, "b"), (3, "c")], key=repr)
+
+
+def test_writers_of_one_day_grow_with_its_bytes(spark, tmp_path):
+    def files(name, n):
+        text = F.sha2(F.col("id").cast("string"), 512)
+        df = spark.range(0, n, 1, 16).select("id", text.alias("v"), F.lit(dt.date(2024, 1, 1)).alias("date_kr"))
+        tables.overwrite_days(df, str(tmp_path / name), "date_kr")
+        return len(list((tmp_path / name / "date_kr=2024-01-01").glob("*.parquet")))
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        assert files("light", 1_000) == 1
+        assert files("heavy", 400_000) > 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_refresh_of_an_emptied_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "id INT, date_kr DATE")
+    tables.overwrite_day(day, path, dt.date(2024, 1, 1))
+    tables.overwrite_day(day.limit(0), path, dt.date(2024, 1, 1))
+    assert tables.refresh_day(day, path, dt.date(2024, 1, 1)) == "loaded"

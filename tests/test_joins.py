@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ridelake.operators.joins import alternative_key_join, attach_group_row, left_join_by_parts, left_join_spreading_nulls
+from ridelake.operators.joins import alternative_key_join, left_join_by_parts, left_join_spreading_nulls
 
 
 def literal(left, right, keys, columns):
@@ -87,9 +87,3 @@ def test_null_keys_match_nothing_and_spread(spark, rows):
     right = spark.createDataFrame([("a", 10), ("a", 11), (None, 12)], "rk STRING, v INT")
     got = left_join_spreading_nulls(left, right, {"k": "rk"}, ["v"])
     assert rows(got) == rows(left.join(right, F.col("k") == F.col("rk"), "left").select("id", "k", "v"))
-
-
-def test_group_row_for_null_group(spark, rows):
-    left = spark.createDataFrame([(i, None if i % 2 else "g") for i in range(10)], "id INT, k STRING")
-    groups = spark.createDataFrame([("g", 1), (None, 2)], "k STRING, v INT")
-    assert rows(attach_group_row(left, groups, "k"), "id", "v") == sorted([(i, 2 if i % 2 else 1) for i in range(10)], key=repr)

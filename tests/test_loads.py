@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.catalog import fixtures as fx
@@ -80,10 +81,39 @@ def test_forecast_load_and_targets(spark, tmp_path, rows):
 
 def test_metric_refresh_from_sql(spark, tmp_path):
     from ridelake.catalog.queries import DEMAND_SQL
+    from ridelake.plans import market
 
     fx.ride_base(spark, "/root/testdata/sf0.001").createOrReplaceTempView("ride_base")
     target, path = dt.date(2022, 5, 3), str(tmp_path / "demand")
-    report = scans.run_sql(spark, DEMAND_SQL, target_date=target, days_back=0)
+    report = scans.run_sql(spark, DEMAND_SQL, target_date=target, days_back=0, report_start=market.REPORT_START)
     assert tables.refresh_day(report, path, target) == "loaded"
     assert tables.refresh_day(report, path, target) == "skipped"
     assert spark.read.parquet(path).count() == report.count() > 0
+
+
+def test_sql_and_plan_share_the_calendar(spark, rows):
+    from ridelake.catalog.queries import DEMAND_SQL
+    from ridelake.plans import market
+
+    early = fx.ride_base(spark, "/root/testdata/sf0.001").withColumn("date_kr", F.date_sub("date_kr", 170))
+    early.createOrReplaceTempView("ride_base")
+    last = dt.date(2021, 12, 1)
+    want = market.demand_daily(early, last, days_back=29)
+    got = scans.run_sql(spark, DEMAND_SQL, target_date=last, days_back=29, report_start=market.REPORT_START)
+    assert rows(got, "date_kr", "origin_region", "driver_type", "call_count_total") == rows(want, "date_kr", "origin_region", "driver_type", "call_count_total")
+    assert want.agg(F.min("date_kr")).first()[0] == market.REPORT_START
+
+
+def test_an_empty_page_ends_its_own_load_only(spark, tmp_path, rows):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    for name, records in [("a-1", []), ("a-2", [user(1, "late")]), ("b-1", [user(2, "x")]), ("b-2", [user(3, "y")]), ("plain", [user(4, "z")])]:
+        (folder / f"{name}.json").write_text(json.dumps({"users": records}))
+    table = str(tmp_path / "table")
+    assert loads.load_desk_records(spark, USERS, str(folder), table) == "created"
+    assert rows(spark.read.parquet(table), "id") == [(2,), (3,), (4,)]
+
+
+def test_search_window(spark, tmp_path):
+    assert loads.search_window(spark, str(tmp_path / "no"), 10, 20) == (tables.FIRST_LOAD_START, 20)
+    assert loads.search_window(spark, str(tmp_path), 100_000, 200_000) == (13_600, 200_000)

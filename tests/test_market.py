@@ -115,16 +115,23 @@ def test_third_type_is_found_only_with_all_offsets(spark):
     assert market.estimation_agg(base, all_offsets=True).first().next_estimation_uuid == "c"
 
 
-def test_views_without_rider_form_one_group(spark, rows):
+def test_estimates_without_rider_are_a_view_each(spark, rows):
     base = market.estimation_base(
         estimates(spark, [(0, None, "a", "LITE", "서울 x"), (700_000_0, None, "b", "PREMIUM", "부산 x"), (5, "u", "c", "LITE", "서울 x")]), DAY
     )
     views = market.estimation_agg(base)
     assert rows(views, "rider_id_time_ms", "origin_region", "lite_estimation_uuid", "plus_estimation_uuid", "combined_estimation_uuid") == sorted(
-        [(None, "서울", "a", "b", "a,b"), (None, "부산", "a", "b", "a,b"), (f"u-{T0 + 5}", "서울", "c", None, "c")], key=repr
+        [(None, "서울", "a", None, "a"), (None, "부산", None, "b", "b"), (f"u-{T0 + 5}", "서울", "c", None, "c")], key=repr
     )
 
 
+def test_arrays_grow_with_the_rows_without_a_rider(spark):
+    log = [(i, None, f"e{i}", "LITE", "서울 x") for i in range(500)] + [(i * 400, "hot", f"h{i}", "LITE", "서울 x") for i in range(250)]
+    arrays = market.estimation_arrays(market.estimation_base(estimates(spark, log), DAY))
+    assert arrays.count() == 750
+    assert arrays.agg(F.sum(F.size("estimation_uuid_array"))).first()[0] <= 2 * 750
+
+
 def test_request_ids(spark, rows):
     snap = '{"nearRideEstimationSnapshot":{"rideEstimationSnapshots":[%s]}}'
     snapshots = spark.createDataFrame(

@@ -62,11 +62,13 @@ def test_forecasts_over_batches(spark, tmp_path, rows):
     events = fx.table(spark, SF_DIR, "events")
     land_in_order(events, str(tmp_path / "in"), 2)
     pages = fx.forecast_pages_from(stream_of(spark, str(tmp_path / "in"), events.schema))
-    jobs.forecast_stream(pages, str(tmp_path / "out"), str(tmp_path / "state"))
+    jobs.forecast_stream(pages, str(tmp_path / "out"), str(tmp_path / "state"), rejected=str(tmp_path / "bad"))
     got = spark.read.parquet(str(tmp_path / "out"))
     want = forecast.forecast_wide(fx.forecast_pages_from(events))
     keys = forecast.ROW_KEYS
     assert rows(got, *keys) == rows(want, *keys)
+    refused = spark.read.parquet(str(tmp_path / "bad"))
+    assert refused.count() == forecast.rejected_pages(fx.forecast_pages_from(events)).count() > 0
 
 
 def test_sessions_equal_gaps(spark, tmp_path):
@@ -79,6 +81,9 @@ def test_sessions_equal_gaps(spark, tmp_path):
     jobs.append_to_files(sessions, str(tmp_path / "out"), str(tmp_path / "state"))
     got = sorted(spark.read.parquet(str(tmp_path / "out")).select("first_view_at", "view_count").collect())
     assert [(r.first_view_at, r.view_count) for r in got] == [(start, 4), (start + dt.timedelta(seconds=899), 1)]
+    closed = spark.read.parquet(str(tmp_path / "out"))
+    left = jobs.open_sessions(events, closed, F.col("rider"), F.col("ts")).collect()
+    assert [(r.first_view_at, r.view_count) for r in left] == [(start + dt.timedelta(days=5), 1)]
 
 
 def test_copies_are_dropped_across_batches(spark, tmp_path, rows):
