@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.nested import keyed_max
 from ridelake.functions.times import date_from_compact, wall_from_micros
+from ridelake.sources.scans import scan_since
 
 # Default parameter columns (output name -> stored key) and event names.
 # One stored key is misspelt in the logs themselves.
@@ -25,15 +26,19 @@ EVENT_KEYS = ["date_kr", "event_name", "event_datetime", "user_id", "user_pseudo
 
 
 def wide_params(
-    events: DataFrame, keys: Mapping[str, str] = PARAM_KEYS, field: str = "string_value"
+    events: DataFrame,
+    keys: Mapping[str, str] = PARAM_KEYS,
+    field: str = "string_value",
+    array: str = "event_params",
+    event_keys: Sequence[str] = EVENT_KEYS,
 ) -> DataFrame:
-    """One row per logged event with its parameters as columns.
+    """One row per logged event with the entries of one of its arrays (parameters, user properties) as columns.
 
     The array is read in place, without exploding, so this is a narrow
-    projection that also runs on a stream.  Events without parameters are dropped.
+    projection that also runs on a stream.  Events whose array is empty are dropped.
     """
-    return events.where(F.size("event_params") > 0).select(
-        *EVENT_KEYS, *[keyed_max(F.col("event_params"), key, field).alias(out) for out, key in keys.items()]
+    return events.where(F.size(array) > 0).select(
+        *event_keys, *[keyed_max(F.col(array), key, field).alias(out) for out, key in keys.items()]
     )
 
 
@@ -54,7 +59,7 @@ def app_log_flatten(
     keys: Mapping[str, str] = PARAM_KEYS,
 ) -> DataFrame:
     """Wide events of one app from a day on."""
-    recent = events.where(F.col("date_kr") >= F.lit(since))
+    recent = scan_since(events, since)
     return _merge_same_events(wide_params(_selected(recent, F.col("app_id"), app_id, event_names), keys), keys)
 
 
@@ -88,7 +93,7 @@ def find_event_params(
     very many events is no heavier than any other.  With ``keep_multiplicity``
     an event is repeated once per parameter.
     """
-    scanned = events if since is None else events.where(F.col("date_kr") >= F.lit(since))
+    scanned = events if since is None else scan_since(events, since)
     scanned = scanned.where(F.size("event_params") > 0)
     groups = (
         scanned.select("user_id", "event_datetime", keyed_max(F.col("event_params"), key).alias("_value"))

@@ -30,6 +30,7 @@ VALID_GAP_MINUTES = 5
 
 VIEW_KINDS = list(labels.ESTIMATE_PREFIX)
 UUID_COLUMNS = [f"{prefix}_estimation_uuid" for prefix in labels.ESTIMATE_PREFIX.values()]
+# Column names of the estimate log that describe a view.
 VIEW_ATTRIBUTES = [
     "date_kr",
     "log_type",
@@ -227,6 +228,7 @@ def estimation_agg(base: DataFrame, with_lists: bool = True, all_offsets: bool =
 
 # --- requests ---------------------------------------------------------------
 
+# Fixed value: where the stored document keeps its estimates.
 _SNAPSHOT_PATH = "$.nearRideEstimationSnapshot.rideEstimationSnapshots[{}].{}"
 
 
@@ -318,7 +320,7 @@ def requests_of_day(inputs: MarketInputs, target: dt.date) -> DataFrame:
 
 # --- views joined to requests -----------------------------------------------
 
-# Output column -> request column.
+# Output column -> request column.
 _REQUEST_COLUMNS = {
     "ride_id": "ride_id",
     **{

@@ -1,4 +1,7 @@
-"""Explicit schemas of the inputs and outputs (nothing is inferred)."""
+"""Explicit schemas of the inputs and outputs (nothing is inferred).
+
+Fixed values: the column names and types of the landed documents and of the stored tables.
+"""
 
 from __future__ import annotations
 

@@ -207,3 +207,10 @@ def test_clocks_do_not_depend_on_the_session_zone(spark):
         assert tuple(row) == ("2024-03-10 07:00:00", 14_400, 1704067200)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_second_array_is_flattened_too(spark, rows):
+    schema = "user STRING, user_properties ARRAY<STRUCT<key: STRING, value: STRUCT<string_value: STRING>>>"
+    logged = spark.createDataFrame([("u", [("tier", ("gold",)), ("tier", ("basic",)), ("x", (None,))]), ("v", []), ("w", None)], schema)
+    got = applog.wide_params(logged, {"tier": "tier"}, "value.string_value", "user_properties", ["user"])
+    assert rows(got) == [("u", "gold")]
