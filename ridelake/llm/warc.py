@@ -130,14 +130,15 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     payload others hold revisits them.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    rows = rows.withColumn("payload_sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
+    rows = rows.withColumn("payload_sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("page_key", F.coalesce(F.col("id").cast("string"), F.lit("?")))
     # Only ids and digests meet to find the holder of each payload; the pages join its answer by id.
-    keys = rows.select("id", "payload_sha")
+    keys = rows.select("id", "page_key", "payload_sha")
     holders = keys.groupBy("payload_sha").agg(F.max("id").alias("holder"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    revisits = keys.join(holders, "payload_sha").filter(~F.col("id").eqNullSafe(F.col("holder")) & F.col("holder").isNotNull()).select(F.col("id").alias("of"), F.col("payload_sha").alias("sha"), F.col("holder").alias("refers_to")).distinct()
+    revisits = keys.join(holders, "payload_sha").filter(~F.col("id").eqNullSafe(F.col("holder")) & F.col("holder").isNotNull()).select("page_key", "payload_sha", F.col("holder").alias("refers_to")).distinct()
     total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    joined = rows.join(revisits, F.col("id").eqNullSafe(F.col("of")) & (F.col("payload_sha") == F.col("sha")), "left").select("id", "url", "html", "refers_to")
-    dealt = joined.repartition(max(1, -(-total // archive_bytes)), F.xxhash64("id", "url"))
+    # Pages are dealt into archives once, by the keys of the join, which then needs no further shuffle of them.
+    archives = max(-(-total // archive_bytes), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartition(archives, "page_key", "payload_sha").join(revisits, ["page_key", "payload_sha"], "left").select("id", "url", "html", "refers_to")
     dealt.mapInArrow(lambda batches: _members(batches, level), "member binary").select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
 
 
