@@ -19,9 +19,11 @@ escape: its payload is an index into ``escapes``.  The last word is padded with
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -94,41 +96,66 @@ def unpack(words: bytes, escapes: bytes, n: int) -> np.ndarray:
     return out[:n]
 
 
+class _Recent(dict):
+    """Ids by piece of text: the last ``most`` to twice as many pieces that were asked for, so frequent ones stay."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece) or self.make(piece)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
+#: What the byte-level pre-tokenizer cuts texts into, here for ASCII and Latin-1 letters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: Other characters, for which the two regular-expression engines might disagree.
+_FOREIGN = re.compile(rf"[^\t\n\r -~{_LETTERS}]")
+
+
+#: How byte-level vocabularies write a byte: printable ones as they are, the others from code point 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: b for b in _PRINTED} | {b: 256 + n for n, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
+
+
 class PieceEncoder:
     """The tokenizer, with the ids of frequent pieces kept.
 
-    The byte-level pre-tokenizer always cuts before a single space between two other characters, so a text's ids are those
-    of its pieces " word" one after the other.  A text where a space meets other white space is encoded whole.
+    A byte-level tokenizer cuts a text into pieces before it merges, so a text's ids are those of its pieces one after the
+    other.  Texts with characters beyond Latin-1 letters or with special tokens, and all texts of tokenizers of another
+    kind, are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-
-        class Pieces(dict):
-            def __missing__(own, piece: str) -> bytes | None:
-                found = None if piece[:1].isspace() or piece[-1:].isspace() or not piece else self.whole(f" {piece}")
-                own[piece] = found
-                return found
-
-        self.pieces = Pieces()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = _Recent(self._merge, most)
+        kind = json.loads(self.tokenizer.to_str())
+        cutter = kind["pre_tokenizer"] or {}
+        self.by_piece = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space") and not kind["normalizer"] and not kind["post_processor"]
+        special = [t["content"] for t in kind["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)) if special else "(?!)")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _merge(self, piece: str) -> bytes:
+        """Ids of one piece, straight from the tokenizer's model."""
+        shown = piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        first, *rest = text.split(" ")
-        if not first or first[-1:].isspace():
-            return self.whole(text)
-        try:
-            return b"".join([self.whole(first), *map(self.pieces.__getitem__, rest)])
-        except TypeError:
+        if not self.by_piece or _FOREIGN.search(text) or self.special.search(text):
             return self.whole(text)
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
