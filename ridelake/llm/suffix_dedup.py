@@ -55,14 +55,15 @@ def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
         length *= 2
 
 
-def window_runs(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, first byte, windows, anchor)`` of maximal runs of windows with equal anchors.
+def window_runs(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """``(text, first byte, windows, anchor)`` of maximal runs of windows with equal anchors, and the hashes of all grams.
 
     The texts lie one after the other in ``data``; ``starts`` are their first bytes and the end.
     """
     if len(data) < width:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U),)
-    least, reach, want = _gram_hashes(data, GRAM), 1, width - GRAM + 1
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U),) * 2
+    hashes = _gram_hashes(data, GRAM)
+    least, reach, want = hashes, 1, width - GRAM + 1
     while reach < want:
         step = min(reach, want - reach)
         least = np.minimum(least[:-step], least[step:])
@@ -78,7 +79,7 @@ def window_runs(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
     stop = valid.copy()
     stop[:-1] &= (least[1:] != least[:-1]) | ~valid[1:]
     end = np.flatnonzero(stop) + 1
-    return np.searchsorted(starts, begin, side="right") - 1, begin, end - begin, least[begin]
+    return np.searchsorted(starts, begin, side="right") - 1, begin, end - begin, least[begin], hashes
 
 
 def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +93,7 @@ def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
 def _anchors_of_chunk(key: tuple, table: pa.Table, width: int, n_parts: int) -> pa.Table:
     found = [(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for _, ids, data, starts in texts_of(table):
-        doc, _, _, anchor = window_runs(data, starts, width)
+        doc, _, _, anchor, _ = window_runs(data, starts, width)
         found.append(_combine(anchor, ids[doc], ids[doc]))
     anchor, low, high = _combine(*(np.concatenate(x) for x in zip(*found, strict=True)))
     part = part_of(anchor, n_parts)
@@ -119,17 +120,21 @@ def _shared_of_part(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _shared_runs(table: pa.Table, shared: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """``(row, first byte in its text, windows, anchor, string)`` of runs with a shared anchor."""
+    """``(row, first byte in its text, place of the anchor in the string, anchor, string)`` of runs with a shared anchor."""
     for rows, _, data, starts in texts_of(table):
-        doc, begin, windows, anchor = window_runs(data, starts, width)
+        doc, begin, windows, anchor, hashes = window_runs(data, starts, width)
         if not len(shared) or not len(anchor):
             continue
         signed = anchor.astype(np.int64)
         place = np.minimum(np.searchsorted(shared, signed), len(shared) - 1)
         keep = shared[place] == signed
         raw = data.tobytes()
-        for d, b, n, a in zip(doc[keep].tolist(), begin[keep].tolist(), windows[keep].tolist(), signed[keep].tolist(), strict=True):
-            yield int(rows[d]), b - int(starts[d]), n, a, raw[b : b + n + width - 1]
+        doc, begin, windows, anchor, signed = (v[keep] for v in (doc, begin, windows, anchor, signed))
+        # Every window of a run holds the anchor, so it starts in the last window's first bytes.
+        tried = np.minimum((begin + windows - 1)[:, None] + np.arange(width - GRAM + 1), len(hashes) - 1)
+        places = windows - 1 + (hashes[tried] == anchor[:, None]).argmax(axis=1)
+        for d, b, n, at, a in zip(doc.tolist(), begin.tolist(), windows.tolist(), places.tolist(), signed.tolist(), strict=True):
+            yield int(rows[d]), b - int(starts[d]), at, a, raw[b : b + n + width - 1]
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:
@@ -139,22 +144,25 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
 def _strings_of_chunk(key: tuple, docs: pa.Table, shared: pa.Table, width: int, n_parts: int) -> pa.Table:
     ids = docs["doc"].to_numpy()
     first: dict[tuple[int, bytes], int] = {}
-    for row, _, _, anchor, string in _shared_runs(docs, _flat(shared, "shared"), width):
+    places: dict[tuple[int, bytes], int] = {}
+    for row, _, at, anchor, string in _shared_runs(docs, _flat(shared, "shared"), width):
         doc = int(ids[row])
         if first.setdefault((anchor, string), doc) > doc:
             first[anchor, string] = doc
+        places[anchor, string] = at
     anchor = np.fromiter((a for a, _ in first), np.int64, len(first))
     part = part_of(anchor.astype(_U), n_parts)
     order = np.argsort(part, kind="stable")
     strings = pa.array([s for _, s in first], pa.binary()).take(pa.array(order))
-    out = lists_by_part(part[order], [("anchors", anchor[order]), ("docs", np.fromiter(first.values(), np.int64, len(first))[order]), ("strings", strings)], n_parts)
+    out = lists_by_part(part[order], [("anchors", anchor[order]), ("docs", np.fromiter(first.values(), np.int64, len(first))[order]), ("places", np.fromiter((places[k] for k in first), np.int32, len(first))[order]), ("strings", strings)], n_parts)
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
-def first_holders(strings: dict[bytes, int], width: int) -> dict[bytes, list[tuple[int, int]]]:
+def first_holders(strings: dict[bytes, int], width: int, places: dict[bytes, int] | None = None) -> dict[bytes, list[tuple[int, int]]]:
     """For each string ``(windows, smallest document)`` runs, in order; equal windows have equal documents.
 
-    ``strings`` maps distinct strings of ``width`` bytes or more to the smallest document that holds each.
+    ``strings`` maps distinct strings of ``width`` bytes or more to the smallest document that holds each.  ``places`` says
+    where each holds the anchor that all have in common.  If none holds it twice, it is one symbol for the suffix array.
     """
     if len(strings) == 1:
         return {s: [(len(s) - width + 1, doc)] for s, doc in strings.items()}
@@ -162,12 +170,21 @@ def first_holders(strings: dict[bytes, int], width: int) -> dict[bytes, list[tup
     text: list[int] = []
     owner: list[int] = []
     base: list[int] = []
+    anchor = names[0][places[names[0]] :][:GRAM] if places else b""
+    once = bool(places) and all(s.find(anchor) == places[s] and s.find(anchor, places[s] + 1) < 0 for s in names)
     for number, s in enumerate(names):
         base.append(len(text))
-        # Byte values start at 1; 0 ends a string.
-        text += [b + 1 for b in s]
+        # Byte values start at 2; 1 is the anchor, 0 ends a string.
+        if once:
+            text += map(_SYMBOL.__getitem__, s[: places[s]])
+            text.append(1)
+            text += map(_SYMBOL.__getitem__, s[places[s] + GRAM :])
+        else:
+            text += map(_SYMBOL.__getitem__, s)
         text.append(0)
-        owner += [number] * (len(s) - width + 1) + [-1] * width
+        windows = len(s) - width + 1
+        owner += [number] * windows
+        owner += [-1] * (len(text) - base[-1] - windows)
     holders = [[0] * (len(s) - width + 1) for s in names]
     docs = [strings[s] for s in names]
     last, run, least = b"", [], 0
@@ -196,6 +213,9 @@ def first_holders(strings: dict[bytes, int], width: int) -> dict[bytes, list[tup
     return out
 
 
+_SYMBOL = range(2, 258)
+
+
 def _string_key(anchor: int, string: bytes) -> int:
     return xxhash.xxh3_64_intdigest(string, anchor & (2**64 - 1)) - 2**63
 
@@ -203,8 +223,9 @@ def _string_key(anchor: int, string: bytes) -> int:
 def _holders_of_part(key: tuple, table: pa.Table, width: int) -> pa.Table:
     """Which documents hold the windows first, for each chunk's strings: runs ``key, windows, document`` in lists."""
     table = table.combine_chunks()
-    lists = {c: table[c].chunk(0) for c in ("anchors", "docs", "strings")}
+    lists = {c: table[c].chunk(0) for c in ("anchors", "docs", "places", "strings")}
     anchors, docs = lists["anchors"].flatten().to_numpy(), lists["docs"].flatten().to_numpy().tolist()
+    places = lists["places"].flatten().to_numpy().tolist()
     strings = lists["strings"].flatten()
     row = np.repeat(np.arange(table.num_rows), np.diff(lists["anchors"].offsets.to_numpy())).tolist()
     order = np.argsort(anchors, kind="stable")
@@ -212,13 +233,13 @@ def _holders_of_part(key: tuple, table: pa.Table, width: int) -> pa.Table:
     keys: list[list[int]] = [[] for _ in range(table.num_rows)]
     windows: list[list[int]] = [[] for _ in range(table.num_rows)]
     first: list[list[int]] = [[] for _ in range(table.num_rows)]
-    for places in np.split(order, cut):
-        own = [(int(i), strings[int(i)].as_py()) for i in places]
+    for group in np.split(order, cut):
+        own = [(i, strings[i].as_py()) for i in group.tolist()]
         least: dict[bytes, int] = {}
         for i, s in own:
             least[s] = min(least.get(s, docs[i]), docs[i])
-        anchor = int(anchors[places[0]])
-        found = {s: (_string_key(anchor, s), runs) for s, runs in first_holders(least, width).items()}
+        anchor = int(anchors[group[0]])
+        found = {s: (_string_key(anchor, s), runs) for s, runs in first_holders(least, width, {s: places[i] for i, s in own}).items()}
         for i, s in own:
             name, runs = found[s]
             for n, doc in runs:
@@ -284,7 +305,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def strings_of(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         return _strings_of_chunk(key, left, right, width, n_parts)
 
-    strings = texts.select("chunk", "doc", "text").groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(strings_of, "part int, anchors array<long>, docs array<long>, strings array<binary>, chunk int")
+    strings = texts.select("chunk", "doc", "text").groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(strings_of, "part int, anchors array<long>, docs array<long>, places array<int>, strings array<binary>, chunk int")
     holders = strings.groupBy("part").applyInArrow(lambda key, table: _holders_of_part(key, table, width), "chunk int, keys array<long>, windows array<int>, first array<long>")
     holders = materialize(holders, "first-holders")
 
