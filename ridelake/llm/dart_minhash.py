@@ -8,8 +8,9 @@ the weighted Jaccard similarity.  A document throws about ``k (ln k + 2)`` darts
 is still empty, its time is doubled and more darts are thrown.
 
 Candidates are verified by the exact similarity of the shingle sets.  Texts with equal shingle sets are one class from the
-start.  In a band's bucket not all pairs are formed: every member is compared with the bucket's smallest document, found
-links are joined to components, and only pairs of different components that still share a bucket are compared further.
+start.  In a band's bucket not all pairs are formed: every member is compared with the bucket's most central document and
+found links are joined to components.  Members that are still apart are compared further only where their differences from
+that document allow a link: where they share an added shingle, or lack many of its shingles and add few.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, (offsets - offsets[0]).astype(np.int64)
 
 
-def text_parts(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_parts(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, starts)`` of runs of texts of about ``most`` bytes."""
     data, starts = _texts(column)
     at = 0
@@ -189,35 +190,33 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int,
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, weighted: bool) -> Iterator[pa.RecordBatch]:
+    """Sorted shingle hashes of each text; a multiset is the set of its shingles' numbered copies."""
     for batch in batches:
         for at, end, data, starts in text_parts(batch["text"]):
             doc, key, times = shingles(data, starts, width)
+            if weighted:
+                first = np.repeat(np.cumsum(times) - times, times)
+                doc, key = np.repeat(doc, times), np.repeat(key, times)
+                key = mix(key + (np.arange(len(key)) - first).astype(_U) * _U(_BASE))
+                order = np.lexsort((key, doc))
+                doc, key = doc[order], key[order]
             edges = np.searchsorted(doc, np.arange(end - at + 1))
             keys = [key[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-            counts = [times[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch["id"].slice(at, end - at), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["id", "keys", "times"])
+            yield pa.RecordBatch.from_arrays([batch["id"].slice(at, end - at), pa.array(keys, pa.binary())], ["id", "keys"])
 
 
-def similarity(a: np.ndarray, b: np.ndarray, times_a: np.ndarray | None = None, times_b: np.ndarray | None = None) -> float:
-    """Jaccard similarity of sorted sets, or of multisets if times are given."""
-    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = b[place] == a
-    if times_a is None:
-        common = int(both.sum())
-        return common / (len(a) + len(b) - common)
-    common = int(np.minimum(times_a[both], times_b[place[both]]).sum())
-    return common / (int(times_a.sum()) + int(times_b.sum()) - common)
-
-
-def _similar(batches: Iterator[pa.RecordBatch], least: float, weighted: bool) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of two sets, what they have in common, and what the second has besides."""
     for batch in batches:
-        keep = []
+        sizes, added = [], []
         for row in range(batch.num_rows):
             a, b = (np.frombuffer(batch[c][row].as_buffer(), _U) for c in ("keys_a", "keys_b"))
-            times = [np.frombuffer(batch[c][row].as_buffer(), "<u4") for c in ("times_a", "times_b")] if weighted else []
-            keep.append(similarity(a, b, *times) >= least)
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            new = b[a[np.minimum(np.searchsorted(a, b), len(a) - 1)] != b]
+            sizes.append((len(a), len(b), len(b) - len(new)))
+            added.append(new.astype(np.int64))
+        columns = [pa.array(c, pa.int32()) for c in zip(*sizes, strict=True)] if sizes else [pa.array([], pa.int32())] * 3
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], *columns, pa.array(added, pa.list_(pa.int64()))], ["a", "b", "n_a", "n_b", "common", "added"])
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 4, weighted: bool = False) -> DataFrame:
@@ -239,39 +238,77 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     copies = worded.select("id", "same1", "same2").join(firsts, ["same1", "same2"]).filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     leaders = worded.join(firsts.select(F.col("same1").alias("s1"), F.col("same2").alias("s2"), "first"), (F.col("id") == F.col("first")) & (F.col("same1") == F.col("s1")) & (F.col("same2") == F.col("s2")), "left_semi")
     buckets = leaders.select("id", "n", F.posexplode("bands").alias("band", "value")).select("id", "n", F.xxhash64("band", "value").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub <> last").select("bucket", "hub")
-    buckets = materialize(buckets.join(shared, "bucket").distinct(), "dart-buckets")
+    shared = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size")).filter("low <> high").select("bucket", "size")
+    buckets = materialize(buckets.join(shared, "bucket").distinct(), "dart-shared")
+    # The text that copies were made from shares more bands with them than they do with each other: it is the hub.
+    central = buckets.groupBy("id").agg(F.sum("size").alias("central"))
+    buckets = materialize(buckets.join(central, "id").select("bucket", "id", "n", "central"), "dart-buckets")
+    hub_of = buckets.groupBy("bucket").agg(F.min_by(F.struct("id", "n"), F.struct(-F.col("central"), "id")).alias("hub"))
     involved = buckets.select("id").distinct()
-    sets = source.join(involved, "id", "left_semi").mapInArrow(lambda b: _sets(b, width), f"id {id_type}, keys binary, times binary")
-    if not weighted:
-        sets = sets.select("id", "keys")
-    sets = materialize(sets.distinct() if weighted else sets.dropDuplicates(["id", "keys"]), "dart-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(*[F.col(c).alias(f"{c}_a" if c != "id" else "a") for c in sets.columns])
-        right = sets.select(*[F.col(c).alias(f"{c}_b" if c != "id" else "b") for c in sets.columns])
+    sets = source.join(involved, "id", "left_semi").mapInArrow(lambda b: _sets(b, width, weighted), f"id {id_type}, keys binary")
+    sets = materialize(sets.dropDuplicates(["id", "keys"]), "dart-sets")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        left = sets.select(F.col("id").alias("a"), F.col("keys").alias("keys_a"))
+        right = sets.select(F.col("id").alias("b"), F.col("keys").alias("keys_b"))
         joined = pairs.join(left, "a").join(right, "b")
-        return materialize(joined.mapInArrow(lambda b: _similar(b, threshold, weighted), f"a {id_type}, b {id_type}"), "dart-links")
+        return joined.mapInArrow(_compare, f"a {id_type}, b {id_type}, n_a int, n_b int, common int, added array<long>")
 
-    def short_enough(small: str, large: str):
-        return F.least(small, large) >= threshold * F.greatest(small, large)
+    is_link = F.col("common") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("common"))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        return materialize(compared(pairs).filter(is_link).select("a", "b").distinct(), "dart-links")
+
+    # 1. Every member of a bucket against its hub.
+    hubs = hub_of.select("bucket", F.col("hub.id").alias("hub"))
+    starred = buckets.join(hubs, "bucket").filter("id <> hub")
+    facts = materialize(compared(starred.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()), "dart-facts")
+    links = facts.filter(is_link).select("a", "b")
+    labels = components(links)
 
-    hubs = buckets.filter("id = hub").select("bucket", F.col("n").alias("hub_n"))
-    pairs = buckets.filter("id <> hub").join(hubs, "bucket")
-    pairs = (pairs if weighted else pairs.filter(short_enough("n", "hub_n"))).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    tested = materialize(pairs, "dart-pairs")
-    links = verified(tested)
+    # 2. What shares a bucket and is still apart.  Seen from the hub h, a text x lacks d of its shingles and adds a others.
+    #    Two texts are linked only if their differences have o in common with (1 + t) o >= g_x + w_y, where
+    #    w = d + t a and g = w - (1 - t) |h| (above 0 for one of them, or both were linked to h).  So either they share
+    #    an added shingle, or o is at most the d of either: the pairs of texts that lack much and add little.
+    def labelled(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return rows.join(known.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+    everyone = labelled(buckets.select("bucket", "id"), labels)
+    mixed = everyone.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    members = starred.join(mixed, "bucket").select("hub", "id").distinct()
+    w = (F.col("n_a") - F.col("common")) + threshold * (F.col("n_b") - F.col("common"))
+    seen = facts.select(F.col("a").alias("hub"), F.col("b").alias("id"), (F.col("n_a") - F.col("common")).alias("d"), (F.col("n_b") - F.col("common")).alias("extra"), w.alias("w"), (w - (1 - threshold) * F.col("n_a")).alias("g"), "added")
+    apart = materialize(labelled(members.join(seen, ["hub", "id"]), labels), "dart-apart")
+
+    lacking = apart.select("hub", "id", "label", "d", "extra", "w", "g")
+    x = lacking.filter("g > 0").select("hub", *[F.col(c).alias(f"{c}_x") for c in lacking.columns if c != "hub"])
+    y = lacking.filter("d > extra").select("hub", *[F.col(c).alias(f"{c}_y") for c in lacking.columns if c != "hub"])
+    slack = 1e-6  # sums of floats; a pair too many is only compared
+    fits = (threshold * (F.col("d_y") - F.col("extra_y")) >= F.col("g_x") - slack) & ((1 + threshold) * F.least("d_x", "d_y") >= F.col("g_x") + F.col("w_y") - slack)
+    short = x.join(y, "hub").filter(fits & (F.col("label_x") != F.col("label_y"))).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
+
+    # Texts that share an added shingle get a hub of their own; what is apart even then is compared one with another.
+    places = apart.select("hub", "id", "label", "d", "extra", "w", "g", F.explode("added").alias("shingle")).select(F.xxhash64("hub", "shingle").alias("place"), "hub", "id", "label", "d", "extra", "w", "g").distinct()
+    shared = places.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).filter("low <> high").select("place", "size")
+    places = materialize(places.join(shared, "place"), "dart-places")
+    central = places.groupBy("id").agg(F.sum("size").alias("central"))
+    places_hub = places.join(central, "id").groupBy("place").agg(F.min_by("id", F.struct(-F.col("central"), "id")).alias("centre"))
+    second = places.join(places_hub, "place").filter("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b"))
+    second = materialize(second.union(short).distinct(), "dart-pairs")
+    links = links.unionByName(links_of(second))
     labels = components(links)
-    # What shares a bucket and is still apart: pairs of different components that no star has compared.
-    known = labels.select(F.col("node").alias("id"), "label")
-    apart = buckets.join(known, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
-    mixed = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    apart = materialize(apart.join(mixed, "bucket"), "dart-apart")
-    left = apart.select("bucket", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    right = apart.select("bucket", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    rest = left.join(right, "bucket").filter("label_a <> label_b AND a < b")
-    rest = (rest if weighted else rest.filter(short_enough("n_a", "n_b"))).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(rest)).unionByName(copies)
+    again = labelled(places.drop("label", "size"), labels)
+    mixed = again.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("place")
+    again = materialize(again.join(mixed, "place"), "dart-rest")
+    # What two texts have in common is at most the shingles that both lack and the added ones that they share.
+    left = again.select("place", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "label", "d", "extra", "w", "g")])
+    right = again.select("place", "hub", *[F.col(c).alias(f"{c}_y") for c in ("id", "label", "d", "extra", "w", "g")])
+    lack, needed = F.least("d_x", "d_y"), F.col("g_x") + F.col("w_y") - slack
+    possible = (1 + threshold) * (lack + F.least("extra_x", "extra_y")) >= needed
+    met = left.join(right, ["place", "hub"]).filter((F.col("label_x") != F.col("label_y")) & (F.col("id_x") < F.col("id_y")) & possible)
+    met = met.groupBy("hub", F.col("id_x").alias("a"), F.col("id_y").alias("b")).agg(F.count("*").alias("common"), F.max(lack).alias("lack"), F.min(needed).alias("needed"))
+    rest = met.filter((1 + threshold) * (F.col("lack") + F.col("common")) >= F.col("needed")).select("a", "b").distinct().join(second, ["a", "b"], "left_anti")
+    links = links.unionByName(links_of(rest)).unionByName(copies)
     labels = components(links)
     return signed.select("id").join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("id", F.coalesce("label", "id").alias("class_id"))
 
