@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridelake.llm import dart_minhash, decontaminate, mixing, quality_rules, token_store
 from ridelake.llm.queries import mix_levels, mix_weights, table, tokenizer_path
-from ridelake.llm.workers import share_code
+from ridelake.llm.workers import release, share_code
 from ridelake.session import staging_path
 
 
@@ -22,17 +22,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     share_code(spark)
+    release(spark, "quality-")  # what the stage before has staged: its result is written by now
     return dart_minhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat benchmark items; documents that are mostly such passages go."""
+    release(spark, "dart-", "links-", "labels-")
     items = table(spark, sf_dir, "benchmark")
     return decontaminate.clean_documents(docs, items)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target weights, each at most once."""
+    release(spark, "decontaminate-")
     drawn = mixing.mix(docs, budget_share=0.9, levels=mix_levels(), weights=mix_weights(), tokens=mixing.token_count("text"), seed=17, max_epochs=1)
     return drawn.select("row.*")
 
@@ -40,6 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A binary token store of the corpus, and one row per document read back from it."""
     share_code(spark)
+    release(spark, "mix-")
     path = staging_path(spark, "corpus-tokens")
     token_store.write_store(docs, path, tokenizer_path())
     return token_store.read_store(spark, path)

@@ -177,7 +177,7 @@ _HITS = "id {id}, text string, n_words long, runs array<struct<start: int, end:
 def _scan(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     item_automaton = automaton.value
     run_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    for batch in batches:
+    for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
         n_words, runs, items = [], [], []
         for text, old_runs, old_items in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["runs"].to_pylist(), batch["items"].to_pylist(), strict=True):
             words = words_of(text)
@@ -223,7 +223,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
         texts = []
         for text, runs in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["runs"].to_pylist(), strict=True):
             if runs:

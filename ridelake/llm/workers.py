@@ -7,6 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from ridelake.session import hadoop_path, staging_root
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -19,3 +21,12 @@ def share_code(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
+
+def release(spark: SparkSession, *labels: str) -> None:
+    """Drop this application's staged tables whose names begin with one of the labels."""
+    fs, root = hadoop_path(spark, staging_root(spark))
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            if status.getPath().getName().startswith(labels):
+                fs.delete(status.getPath(), True)
