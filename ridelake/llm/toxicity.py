@@ -1,8 +1,9 @@
 """Toxicity scores from a counterfactual-regularised logistic model.
 
 The model looks at which words, and which beginnings of words (stems of inflected words), of a vocabulary a text holds.  Besides the usual loss, it is fined for score changes between
-a labelled text and the same text with identity terms swapped: for another term of the group, and for none.  A mention of a
-group by itself therefore moves the score little, whatever the labelled texts happen to say about it.
+a labelled text and the same text with identity terms swapped: for another term of the group, and for none.  A swapped term
+takes along those of its beginnings that no other word of the text has.  A mention of a group by itself therefore moves the
+score little, whatever the labelled texts happen to say about it.
 
 Counting words, choosing the vocabulary and scoring run on all executors.  The fit itself runs over at most ``max_rows``
 labelled rows, of which only the vocabulary's words are kept.
@@ -40,10 +41,26 @@ STEMS = (4, 5, 6)
 
 def features(text: bytes | None) -> set[bytes]:
     """The words of a text and, marked by a star, the beginnings of longer ones."""
-    words = set(words_of(text))
+    return features_of(set(words_of(text)))
+
+
+def features_of(words: set[bytes]) -> set[bytes]:
     return words.union(*({w[:n] + b"*" for w in words if len(w) > n} for n in STEMS))
 
 
+def swaps_of(words: set[bytes], group: list[bytes]) -> Iterator[tuple[frozenset[bytes], frozenset[bytes]]]:
+    """``(features that leave, features that come)`` of each swap of a term for none and for each other one of its group.
+
+    ``words`` are those of a text.  Only words that begin as a term does matter, and others may be missing.
+    """
+    for term in words.intersection(group):
+        rest = features_of(words - {term})
+        own = features_of({term}) - rest
+        for other in (None, *(t for t in dict.fromkeys(group) if t not in words)):
+            new = features_of({other}) - rest if other is not None else set()
+            yield frozenset(own - new), frozenset(new - own)
+
+
 class Model:
     """A bias and a weight per feature; ``score`` is the probability of label 1."""
 
@@ -60,11 +77,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _beginnings(groups: list[list[bytes]]) -> set[bytes]:
+    """How the words begin that can give a feature of a term."""
+    return {t[: min(STEMS)] for group in groups for t in group}
+
+
 def fit(rows: list[tuple[list[bytes], int]], vocabulary: list[bytes], groups: list[list[str]], *, swap_fine: float = 5.0, ridge: float = 1e-3, steps: int = 400) -> Model:
-    """Fit to ``(words held, label)``.
+    """Fit to ``(features held, label)``.
 
-    The fine is ``swap_fine`` times the mean square of the change in the log-odds over all swaps.  Without rows, or with one
-    label only, there is just a bias.
+    Features beyond the vocabulary only tell which beginnings the other words of a text give; those that matter are the words
+    that begin as a term does.  The fine is ``swap_fine`` times the mean square of the whole change in the log-odds over all
+    swaps.  Without rows, or with one label only, there is just a bias.
     """
     labels = np.array([label for _, label in rows], float)
     rate = (labels.sum() + 0.5) / (len(labels) + 1)
@@ -75,27 +98,29 @@ def fit(rows: list[tuple[list[bytes], int]], vocabulary: list[bytes], groups: li
     held = [[index[w] for w in words if w in index] for words, _ in rows]
     row = np.repeat(np.arange(len(rows)), [len(h) for h in held])
     column = np.array([i for h in held for i in h], int)
-    # Each swap is a pair (feature that leaves, feature that comes or -1 for none), counted over the rows.
-    swaps: dict[tuple[int, int], int] = {}
-    for group in groups:
-        terms = [index[t.encode()] for t in group if t.encode() in index]
-        for h in held:
-            for term in set(terms) & set(h):
-                for other in (-1, *(t for t in terms if t not in h)):
-                    swaps[term, other] = swaps.get((term, other), 0) + 1
-    leave = np.array([a for a, _ in swaps], int)
-    come = np.array([b for _, b in swaps], int)
+    # A swap is the sets of features that leave and that come, counted over the rows.
+    swaps: dict[tuple[frozenset[int], frozenset[int]], int] = {}
+    encoded = [[t.encode() for t in group] for group in groups]
+    near = _beginnings(encoded)
+    for words, _ in rows:
+        whole = {w for w in words if not w.endswith(b"*") and w[: min(STEMS)] in near}
+        for group in encoded:
+            for change in swaps_of(whole, group):
+                known = tuple(frozenset(index[f] for f in part if f in index) for part in change)
+                swaps[known] = swaps.get(known, 0) + 1
+    moves = sorted((s, f, sign) for s, change in enumerate(swaps) for sign, part in zip((-1, 1), change, strict=True) for f in part)
+    swap, moved = np.array([s for s, _, _ in moves], int), np.array([f for _, f, _ in moves], int)
+    sign = np.array([x for _, _, x in moves], float)
     share = np.array(list(swaps.values()), float) / max(1, sum(swaps.values()))
     n, size = len(rows), len(vocabulary)
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
         error = (_sigmoid(b + np.bincount(row, w[column], n)) - labels) / n
         g = np.bincount(column, error[row], size) + ridge * w
-        if len(leave):
-            change = np.where(come >= 0, w[come], 0) - w[leave]
+        if len(moves):
+            change = np.bincount(swap, sign * w[moved], len(share))
             pull = 2 * swap_fine * share * change
-            g -= np.bincount(leave, pull, size)
-            g += np.bincount(come[come >= 0], pull[come >= 0], size)
+            g += np.bincount(moved, sign * pull[swap], size)
         return g, float(error.sum())
 
     # Adam: the features' frequencies differ by orders of magnitude.
@@ -141,7 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "d
     z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1) + 1e-12)
     known = counts.filter((F.col("n") >= 5) & (z >= min_z)).orderBy(z.desc(), "word").limit(max_features)
     vocabulary = sorted({bytes(r["word"]) for r in known.select("word").collect()} | set(terms))
-    inside = F.filter("words", lambda w: w.isin(vocabulary))
+    # Words that share a beginning with a term decide what a swap changes; their number a text is small.
+    near = sorted(_beginnings([terms]))
+    inside = F.filter("words", lambda w: w.isin(vocabulary) | (~F.endswith(w, F.lit(b"*")) & F.substring(w, 1, min(STEMS)).isin(near)))
     rows = [([bytes(w) for w in r["held"]], r["label"]) for r in sample.select("label", inside.alias("held")).collect()]
     return fit(sorted(rows), vocabulary, groups, **options)
 

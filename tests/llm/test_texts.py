@@ -1,6 +1,7 @@
 """Operators on document texts, against brute force, on messy and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -264,6 +265,41 @@ def test_toxicity_learns_words_and_stems_but_not_groups(sc):
     assert nothing.score(b"x") == nothing.score(None)
 
 
+def test_toxicity_fines_the_whole_swap(sc):
+    rng = random.Random(6)
+    rows = []
+    for i in range(600):
+        toxic = i % 2
+        words = prose(rng, 30).split()
+        # Nothing but the mentions of a group correlates with the label.
+        if rng.random() < (0.5 if toxic else 0.1):
+            words.insert(7, "muslim")
+        rows.append((i, " ".join(words), toxic))
+    docs = sc.createDataFrame([(i, t) for i, t, _ in rows], "doc_id BIGINT, text STRING")
+    labels = sc.createDataFrame([(i, y) for i, _, y in rows], "doc_id BIGINT, toxic INT")
+    fair = toxicity.train(docs, labels, F.lit(True), min_z=3.0)
+    free = toxicity.train(docs, labels, F.lit(True), min_z=3.0, swap_fine=0.0)
+    assert {b"musl*", b"musli*"} <= fair.weights.keys()
+
+    def odds(model, text):
+        p = model.score(text)
+        return math.log(p / (1 - p))
+
+    def change(model, term):
+        return odds(model, b"the " + term + b" stone of the river") - odds(model, b"the stone of the river")
+
+    assert change(free, b"muslim") > 1.5
+    assert all(abs(change(fair, term.encode())) < 0.3 for term in toxicity.IDENTITY_GROUPS[0])
+
+
+def test_toxicity_swaps_follow_the_words_of_a_text():
+    got = set(toxicity.swaps_of({b"muslim", b"muslims", b"river"}, [b"muslim", b"hindu"]))
+    # "muslims" still gives both beginnings, and "muslim*".
+    assert got == {(frozenset({b"muslim"}), frozenset()), (frozenset({b"muslim"}), frozenset({b"hindu", b"hind*"}))}
+    alone = set(toxicity.swaps_of({b"muslim", b"river"}, [b"muslim", b"hindu"]))
+    assert alone == {(frozenset({b"muslim", b"musl*", b"musli*"}), frozenset(n)) for n in ((), (b"hindu", b"hind*"))}
+
+
 # --- mixing ---
 
 
