@@ -220,6 +220,19 @@ def test_fuzzy_passages(make, messy):
     assert passage_chains.fuzzy_passages(make([])).isEmpty()
 
 
+def test_fuzzy_passages_ask_all_earlier_holders(make):
+    rng = random.Random(12)
+    passage = prose(rng, 60).split()
+    # The first holders have 15 words each, too few for a passage; the whole passage comes later.
+    parts = [" ".join(passage[k : k + 15]) for k in range(0, 50, 5)]
+    rows = [(i, f"{prose(rng, 70)} {part} {prose(rng, 70)}") for i, part in enumerate(parts * 2, 1)]
+    whole = [(i, f"{prose(rng, 50)} {' '.join(passage)} {prose(rng, 40)}") for i in (100, 101, 102)]
+    got = {r.id: {p.other for p in r.passages} for r in passage_chains.fuzzy_passages(make([*rows, *whole]), chunk_bytes=4_000).collect()}
+    assert len(got) == len(rows) + 3
+    assert 100 in got[101] and got[102] & {100, 101} and not got[100]
+    assert not any(got[i] for i, _ in rows)
+
+
 @pytest.mark.parametrize("seed", range(100))
 def test_chains_are_optimal(seed):
     rng = random.Random(seed)
