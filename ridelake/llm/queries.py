@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import dart_minhash, decontaminate, line_dedup, mixing, passage_chains, quality_rules, suffix_dedup, token_store, toxicity, warc
+from ridelake.llm import (
+    dart_minhash, decontaminate, length_index, line_dedup, mixing, passage_chains, quality_rules, sentence_pieces, suffix_dedup, token_store, toxicity, variants, warc,
+)
 from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
@@ -111,7 +113,40 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
-_QUERIES: list[Query] = [op1_passage_chains, op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op9_suffix_dedup, op10_mixing]
+def piece_model_path() -> str:
+    """The model that the piece query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model_path()
+    coded = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.spelled_words(table(spark, sf_dir, "documents")))
+
+
+def op13_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "length-index")
+    length_index.build_index(table(spark, sf_dir, "documents"), path)
+    found = length_index.search(spark, path, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+_QUERIES: list[Query] = [
+    op1_passage_chains, op2_toxicity, op3_decontaminate, op4_dart_minhash, op5_line_dedup, op6_token_store, op7_warc, op8_quality_rules, op9_suffix_dedup, op10_mixing,
+    op11_sentence_pieces, op12_variants, op13_length_index,
+]
 
 
 def queries() -> dict[str, Query]:
