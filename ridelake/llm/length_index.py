@@ -133,7 +133,7 @@ def _segment(ids: pa.Array, texts: pa.StringArray, n_docs: int, n_terms: int) ->
     return pa.RecordBatch.from_arrays([*lists, *[pa.array([v.tobytes()], pa.binary()) for v in whole]], names)
 
 
-def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 16_000_000) -> None:
+def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 6_000_000) -> None:
     """Index every row of ``docs``.
 
     Null and empty texts, and texts without a term, are in no posting and do not count.  Rows with equal ids are documents of
@@ -153,7 +153,7 @@ def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
                 yield segment
 
     id_type = rows.schema["id"].dataType.simpleString()
-    rows.mapInArrow(run, f"ids array<{id_type}>, {_SEGMENT}").write.option("compression", "zstd").option("maxRecordsPerFile", 4).parquet(f"{path}/segments")
+    rows.mapInArrow(run, f"ids array<{id_type}>, {_SEGMENT}").write.option("compression", "zstd").option("maxRecordsPerFile", 8).parquet(f"{path}/segments")
 
 
 class _Best:
