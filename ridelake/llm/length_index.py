@@ -32,6 +32,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LENGTH_SHARE, LENGTH_BASE = 25, 75
 SCALE, TF_FACTOR, LENGTH_FACTOR = 1_000_000_000, 1000, 12
 
+#: Documents of the strata that are visited first; each further wave takes four times as many.
+FIRST_WAVE = 256
+
 _BYTES = np.arange(256)
 _IN_TERM = (_BYTES >= 128) | ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
 _FOLDED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -214,7 +217,7 @@ class _Segment:
         docs_of = np.diff(self.stratum_starts)[order]
         scores = np.zeros(n_docs, np.int64)
         local = _Best(best.k)
-        at, most = 0, 256
+        at, most = 0, FIRST_WAVE
         while at < n_strata:
             least = max(best.least, local.least)
             stop = at + int(np.searchsorted(np.cumsum(docs_of[at:]), most)) + 1

@@ -94,6 +94,44 @@ SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens, CAST(epoc
 """
 
 
+# DuckDB has no crc32: a byte's remainder by rule, and the checksum as a fold over the bytes of the UTF-8 text.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_BYTES_OF = "list_transform(range(0, strlen({s})), lambda i: CAST('0x' || substr(hex(encode({s})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))"
+OP12 = rf"""
+WITH rest AS (SELECT list_transform(range(0, 256), lambda b: list_reduce(range(0, 8), lambda c, k: {_CRC_STEP}, b)) AS r),
+run AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+long AS (SELECT run, CAST(doc_id AS VARCHAR) || ':' || run AS s, count(*) AS times FROM run WHERE length(run) >= 7 GROUP BY ALL),
+summed AS (SELECT run, times, xor(list_reduce({_BYTES_OF.format(s="s")}, lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM long, rest),
+spelled AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, times FROM summed),
+w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+hole AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+without AS (SELECT word, n, i, substr(word, 1, CAST(i AS INTEGER) - 1) || substr(word, CAST(i AS INTEGER) + 1) AS cut FROM hole),
+pair AS (
+  SELECT a.word AS u, b.word AS v, b.n AS n FROM without a JOIN without b ON a.cut = b.cut AND a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, w.word, w.n FROM without a JOIN w ON a.cut = w.word
+  UNION SELECT w.word, a.word, a.n FROM without a JOIN w ON a.cut = w.word),
+best AS (SELECT u, count(*) AS n_near, max(n) AS best_n, min(v ORDER BY v) FILTER (WHERE n = most) AS best FROM (SELECT *, max(n) OVER (PARTITION BY u) AS most FROM pair) GROUP BY u),
+judged AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM w LEFT JOIN best ON u = word),
+path AS (SELECT word, word AS here, 0 AS step FROM judged UNION ALL SELECT path.word, j.form, step + 1 FROM path JOIN judged j ON path.here = j.word WHERE j.form IS NOT NULL),
+last AS (SELECT word, arg_max(here, step) AS root FROM path GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN last USING (word)
+""".replace("WITH rest", "WITH RECURSIVE rest")
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13 = rf"""
+WITH doc AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS all_terms FROM doc WHERE len(terms) > 0),
+place AS (SELECT doc_id, unnest(terms) AS term, 100 - 25 + (25 * len(terms)::BIGINT * total.docs) // all_terms AS m FROM doc, total),
+tf AS (SELECT doc_id, term, m, count(*) AS tf FROM place GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weight AS (SELECT item_id, term, times, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w FROM asked JOIN df USING (term), total),
+score AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM weight JOIN tf USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM score WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
 def _crc_of_sources() -> str:
     """DuckDB has no crc32: the checksums of the tables' source names, as rows."""
     import zlib
@@ -102,4 +140,4 @@ def _crc_of_sources() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op8_quality_rules": OP8, "op10_mixing": OP10.replace("{crc}", _crc_of_sources())}
+    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op8_quality_rules": OP8, "op10_mixing": OP10.replace("{crc}", _crc_of_sources()), "op12_variants": OP12, "op13_length_index": OP13}
