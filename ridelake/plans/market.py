@@ -20,7 +20,7 @@ from ridelake.functions.times import seconds_between, trailing_window, wall_from
 from ridelake.operators.calendar import fill_days
 from ridelake.operators.groups import first_rows
 from ridelake.operators.joins import alternative_key_join, left_join_spreading_nulls
-from ridelake.operators.segments import time_segment, with_neighbours
+from ridelake.operators.segments import with_neighbours
 from ridelake.session import materialize
 from ridelake.sources.scans import scan_trailing
 
@@ -141,7 +141,6 @@ def estimation_base(estimates: DataFrame, target: dt.date, days_back: int = 1) -
         typed,
         ["rider_id"],
         ["time_ms", "type_order", "estimation_uuid"],
-        time_segment(F.col("time_ms")),
         previous={"_prev_time": "time_ms", "_prev_region": "_own_region"},
     )
     snapped = F.when(F.col("time_ms") == F.col("_prev_time") + 1, F.col("time_ms") - 1).otherwise(F.col("time_ms"))
@@ -277,7 +276,6 @@ def request_uuid_filled(requests: DataFrame) -> DataFrame:
         requests,
         ["rider_id"],
         ["time_ms", "ride_id", "estimation_uuid"],
-        time_segment(F.col("time_ms")),
         last_seen={f"_last_{name}": name for name in UUID_COLUMNS},
     )
     has_none = F.col(UUID_COLUMNS[0]).isNull() & F.col(UUID_COLUMNS[1]).isNull() & F.col(UUID_COLUMNS[2]).isNull()
@@ -392,7 +390,6 @@ def valid_view(joined: DataFrame, gap_minutes: int = VALID_GAP_MINUTES) -> DataF
             "matched_vehicle_type",
             *[f"request_{name}" for name in UUID_COLUMNS],
         ],
-        time_segment(F.col("time_ms")),
         following={"lead_estimate_time_kr": "estimate_time_kr"},
     )
     minutes = seconds_between(F.col("lead_estimate_time_kr"), F.col("estimate_time_kr")) / F.lit(60)
@@ -476,13 +473,10 @@ def count_valid_views(base: DataFrame, requests: DataFrame, gap_minutes: int = V
         "rider_id", "revised_time_ms", "date_kr", "origin_region", "_valid_request"
     )
     timed = with_neighbours(
-        views,
+        materialize(views, "views"),
         ["rider_id"],
         ["revised_time_ms", "date_kr", "origin_region"],
-        time_segment(F.col("revised_time_ms")),
         following={"_next_ms": "revised_time_ms"},
-        # Same view times, without the request flags.
-        outline=base.select("rider_id", "revised_time_ms", "date_kr", "origin_region"),
     )
     gap_seconds = F.floor(F.col("_next_ms") / 1000) - F.floor(F.col("revised_time_ms") / 1000)
     is_valid = F.col("_valid_request") | F.col("_next_ms").isNull() | (gap_seconds >= gap_minutes * 60)

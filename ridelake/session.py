@@ -54,6 +54,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files and frames that ``df`` reads; those of unknown size are not counted."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    return sum(size for size in sizes if size < unknown)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """``(file system, path)`` handles for table maintenance on any supported storage."""
     jvm = spark.sparkContext._jvm

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from ridelake.catalog import fixtures as fx
 from ridelake.catalog.queries import queries
@@ -19,9 +20,23 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def staged(monkeypatch):
+    """The plans of everything that is written to files while a query is built."""
+    seen, write = [], DataFrameWriter.parquet
+
+    def recorded(writer, *args, **kwargs):
+        seen.append(physical(writer._df))
+        return write(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    return seen
+
+
 @pytest.mark.parametrize("name", BATCH)
-def test_no_python_no_cross_join_no_single_task_window(spark, name):
-    plan = physical(queries()[name](spark, SF_DIR))
+def test_no_python_no_cross_join_no_single_task_window(spark, name, staged):
+    last = physical(queries()[name](spark, SF_DIR))
+    plan = "\n\n".join([*staged, last])
     for word in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
     # A window over everything would show as an empty partition specification.
@@ -57,10 +72,11 @@ def test_final_joins_move_aggregates_only(spark):
     assert "FileScan" not in final
 
 
-def test_requests_meet_views_as_one_row_per_id(spark):
+def test_requests_meet_views_as_one_row_per_id(spark, staged):
     inputs = fx.market_inputs(spark, SF_DIR)
     base = market.estimation_base(inputs.estimates, fx.TARGET_DATE)
-    plan = physical(market.count_valid_views(base, market.requests_of_day(inputs, fx.TARGET_DATE)))
+    last = physical(market.count_valid_views(base, market.requests_of_day(inputs, fx.TARGET_DATE)))
+    plan = "\n\n".join([*staged, last])
     # bool_or is planned as max; it combines before the shuffle.
     assert "partial_max(coalesce(is_valid_5_last" in plan
     assert "collect_list" not in plan
