@@ -80,6 +80,48 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(target, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it is missing."""
+    fs, target = hadoop_path(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    fs, target = hadoop_path(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename; ``target`` must not exist."""
+    fs, old = hadoop_path(spark, source)
+    new = hadoop_path(spark, target)[1]
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file; readers see the old text or the new one."""
+    fs, target = hadoop_path(spark, path)
+    fresh = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
+    out = fs.create(fresh, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fresh, target, options)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = hadoop_path(spark, path)
+    stream = fs.open(target)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def release_staging(spark: SparkSession) -> None:
     """Drop every table this application staged (call when its results are consumed)."""
     delete_path(spark, staging_root(spark))

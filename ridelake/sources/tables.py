@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 
 from ridelake.operators.quality import is_day_loaded, require
 from ridelake.session import delete_path, path_exists, staging_path
+from ridelake.sources.key_days import KeyDays, forget, has_index, is_one_of, note_days, noted_by_other, same, store_schema, stored_schema
 
 # Fixed value: start of the first load, 2020-11-01 00:00 in the market's zone (epoch seconds).
 FIRST_LOAD_START = 1604156400
@@ -54,8 +54,7 @@ def overwrite_table(df: DataFrame, path: str, day: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def overwrite_days(df: DataFrame, path: str, day: str) -> None:
-    """Replace exactly the days present in ``df``; other days keep their files."""
+def _replace_days(df: DataFrame, path: str, day: str) -> None:
     spark = df.sparkSession
     (
         _by_day(df, day)
@@ -67,6 +66,16 @@ def overwrite_days(df: DataFrame, path: str, day: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def overwrite_days(df: DataFrame, path: str, day: str) -> None:
+    """Replace exactly the days present in ``df``; other days keep their files.
+
+    ``df`` is read once more where the table has a key index, to note its days.
+    """
+    spark = df.sparkSession
+    noted_by_other(spark, path, df.schema, _days_of(df, day) if has_index(spark, path) else [])
+    _replace_days(df, path, day)
+
+
 def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr") -> None:
     """Replace one day.  An empty result empties that day."""
     spark = df.sparkSession
@@ -79,6 +88,11 @@ def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr
 
 
 def drop_day(spark: SparkSession, path: str, target: dt.date | None, day: str) -> None:
+    noted_by_other(spark, path, T.StructType(), [target])
+    _remove_day(spark, path, target, day)
+
+
+def _remove_day(spark: SparkSession, path: str, target: dt.date | None, day: str) -> None:
     value = target.isoformat() if target else "__HIVE_DEFAULT_PARTITION__"
     delete_path(spark, f"{path}/{day}={value}")
     spark.catalog.refreshByPath(path)
@@ -104,11 +118,6 @@ def refresh_day(
     return "loaded"
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Equal keys, where NULL equals NULL."""
-    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
-
-
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -124,12 +133,12 @@ def merged(
     """
     keys = _keys(key)
     asked = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    kept = target.join(asked, _same(keys, [f"_new_{k}" for k in keys]), "left_anti").select(*target.columns)
+    kept = target.join(asked, same(keys, [f"_new_{k}" for k in keys]), "left_anti").select(*target.columns)
     stored_only = [c for c in target.columns if c not in source.columns]
     if not coalesce_null and not stored_only:
         return kept.unionByName(source.select(*target.columns))
     stored = target.select(*[F.col(c).alias(f"_old_{c}") for c in target.columns])
-    both = source.join(stored, _same(keys, [f"_old_{k}" for k in keys]), "left")
+    both = source.join(stored, same(keys, [f"_old_{k}" for k in keys]), "left")
 
     def final(name: str) -> Column:
         if name in stored_only:
@@ -147,16 +156,24 @@ def _require_one_row_per_key(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _stored_table(spark: SparkSession, path: str, incoming: T.StructType, day_name: str) -> DataFrame:
-    """The table with its own columns and, after them, those that only the new rows have."""
-    try:
-        own = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        own = T.StructType()  # the folder is there, but all its days are empty
+    """The table with its own columns and, after them, those that only the new rows have.
+
+    The columns are on record after the first upsert, so no file is opened for them.
+    """
+    own = stored_schema(spark, path)
+    if own is None:
+        try:
+            own = spark.read.option("mergeSchema", "true").parquet(path).schema
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            own = T.StructType()  # the folder is there, but all its days are empty
     fields = {f.name: f for f in own.fields} | {f.name: f for f in incoming.fields if f.name == day_name}
     fields |= {f.name: f for f in incoming.fields if f.name not in fields}
-    return spark.read.schema(T.StructType(list(fields.values()))).parquet(path)
+    schema = T.StructType(list(fields.values()))
+    if stored_schema(spark, path) != schema:
+        store_schema(spark, path, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def upsert_table(
@@ -171,9 +188,10 @@ def upsert_table(
     """Upsert rows into a table partitioned by ``day_name`` (derived by ``day``).
 
     Returns ``"empty"``, ``"created"`` or ``"merged"``.  Only partitions that lose or gain a row are
-    rewritten, and a row whose day moves leaves its old partition.  Several source rows of one key are an
-    error.  Columns of the table that the source lacks keep their values; new columns are added.
-    ``day_in_key``: the day follows from the key, so rows never move and the search for old days is left out.
+    read and rewritten, and a row whose day moves leaves its old partition: an index next to the data says
+    which day holds a key (``key_days``).  Several source rows of one key are an error.  Columns of the table
+    that the source lacks keep their values; new columns are added.
+    ``day_in_key``: the day follows from the key, so rows never move and there is no index.
     """
     spark, keys = source.sparkSession, _keys(key)
     day = F.col(day) if isinstance(day, str) else day
@@ -181,29 +199,36 @@ def upsert_table(
         if incoming.isEmpty():
             return "empty"
         _require_one_row_per_key(incoming, keys)
+        index = None if day_in_key else KeyDays(spark, path, keys, day_name)
         if not path_exists(spark, path):
             _by_day(incoming, day_name).write.partitionBy(day_name).parquet(path)
+            store_schema(spark, path, incoming.schema)
+            if index:
+                index.write_all(incoming)
             return "created"
 
         stored = _stored_table(spark, path, incoming.schema, day_name)
-        touched = incoming.select(day_name)
-        if not day_in_key:
-            asked = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-            replaced = stored.join(asked, _same(keys, [f"_new_{k}" for k in keys]), "left_semi")
-            touched = touched.union(replaced.select(day_name))
-        affected = _days_of(touched, day_name)
+        affected = set(_days_of(incoming, day_name))
+        if index:
+            affected |= set(index.open(stored).days_of(incoming))
         # Literal days prune the scan to the affected partitions.
-        current = stored.where(_is_one_of(day_name, affected))
+        current = stored.where(is_one_of(day_name, affected))
         result = merged(current, incoming, keys, coalesce_null)
         if coalesce_null:
             # The day follows the value that is finally stored.
             result = result.withColumn(day_name, F.to_date(day))
         with staged(result, "merged") as ready:
-            emptied = set(affected) - set(_days_of(ready, day_name))
-            overwrite_days(ready, path, day_name)
-            # A failure before this loop ends is repaired by running the same upsert again.
-            for value in emptied:
-                drop_day(spark, path, value, day_name)
+            final = set(_days_of(ready, day_name))
+            note = note_days(spark, path, list(affected | final)) if index else None
+            _replace_days(ready, path, day_name)
+            # A failure before this block ends is repaired by running the same upsert again.
+            for value in affected - final:
+                _remove_day(spark, path, value, day_name)
+            if index:
+                asked = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+                moved = ready.join(asked, same(keys, [f"_new_{k}" for k in keys]), "left_semi")
+                index.replace(moved if coalesce_null else incoming)
+                forget(spark, [note])
         spark.catalog.refreshByPath(path)
         return "merged"
 
@@ -213,11 +238,6 @@ def _days_of(df: DataFrame, day: str) -> list[dt.date | None]:
     return [row[0] for row in df.select(day).distinct().collect()]
 
 
-def _is_one_of(day: str, values: Sequence[dt.date | None]) -> Column:
-    known = F.col(day).isin([v for v in values if v is not None])
-    return known | F.col(day).isNull() if None in values else known
-
-
 def load_start(spark: SparkSession, path: str, requested_start: int) -> int:
     """Start of a load's search window: the fixed first start while the table is missing."""
     return requested_start if path_exists(spark, path) else FIRST_LOAD_START
