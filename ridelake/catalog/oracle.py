@@ -37,6 +37,19 @@ _REGION_OF = (
 _PLUS = "replace({}, 'PREMIUM', 'PLUS')"
 
 CTES: dict[str, str] = {
+    "landed": """
+        SELECT event_id, ts, batch
+        FROM events, (SELECT unnest(range(3)) AS batch)
+        WHERE event_id % 3 = batch OR (batch = 1 AND event_id % 30 = 0) OR (batch = 2 AND event_id % 20 = 1)""",
+    "border": """
+        SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 DAY AS w
+        FROM landed GROUP BY batch""",
+    "labelled": """
+        SELECT batch, event_id,
+               CASE WHEN ts < w THEN 'late'
+                    WHEN row_number() OVER (PARTITION BY event_id, coalesce(ts < w, FALSE) ORDER BY batch) = 1 THEN 'kept'
+                    ELSE 'copy' END AS outcome
+        FROM landed JOIN border USING (batch)""",
     # --- fixtures ---
     "ride_base": f"""
         SELECT o_orderkey AS ride_id, {_DAY.format('o_orderkey')} AS date_kr,
@@ -563,6 +576,10 @@ _BODIES: dict[str, str] = {
     "stream_daily_counts": f"""
         SELECT {_ts("date_trunc('day', ts)")} AS day_start, event_type, count(*) AS event_count
         FROM events GROUP BY ALL""",
+    "stream_late_rows": """
+        SELECT outcome, event_id, CAST(NULL AS BIGINT) AS n FROM labelled WHERE outcome <> 'copy'
+        UNION ALL
+        SELECT 'copies', batch, count(*) FILTER (WHERE outcome = 'copy') FROM labelled GROUP BY batch""",
     "stream_dedupe": "SELECT event_id, user_id, event_type FROM events",
     "stream_forecast": f"SELECT {_FORECAST_COLUMNS} FROM forecast",
 }

@@ -18,8 +18,10 @@ from ridelake.operators.rolling import rolling_power
 from ridelake.plans import applog, desk, forecast, market, reports
 from ridelake.session import materialize, staging_path
 from ridelake.sources import tables
+from ridelake.sources.live import read_live
 from ridelake.sources.scans import quarantined_json, read_landed_json, run_sql, scan_shard
 from ridelake.sources.scans import search_targets as targets_to_fetch
+from ridelake.streaming import complete
 from ridelake.streaming import jobs as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -487,14 +489,38 @@ def stream_upsert(spark, sf_dir):
     return _show_ticket(spark.read.parquet(path).select(*_ticket_rows(first).columns))
 
 
+def _land_in_turns(spark: SparkSession, sf_dir: str, turns: list[Column], name: str) -> DataFrame:
+    """The events as a stream of one micro-batch for each condition, in this order."""
+    landed = staging_path(spark, name)
+    events = fx.table(spark, sf_dir, "events")
+    for turn in turns:
+        events.where(turn).coalesce(1).write.mode("append").parquet(landed)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+
+
 @query
 def stream_sessions(spark, sf_dir):
+    """Every third event comes with the first batch, so later ones widen and join stored sessions."""
+    turns = [F.col("event_id") % 3 == n for n in (1, 0, 2)]
+    events = _land_in_turns(spark, sf_dir, turns, "session-events")
     out, state = staging_path(spark, "sessions"), staging_path(spark, "sessions-state")
-    sessions = streaming.session_stream(_event_stream(spark, sf_dir), F.col("user_id"), F.col("ts"))
-    streaming.append_to_files(sessions, out, state)
-    closed = spark.read.schema(sessions.schema).parquet(out)
-    events = fx.table(spark, sf_dir, "events")
-    return closed.unionByName(streaming.open_sessions(events, closed, F.col("user_id"), F.col("ts")))
+    complete.sessions_table(events, F.col("user_id"), F.col("ts"), out, state)
+    return read_live(spark, out, complete.SESSIONS)
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Three batches with copies and late rows: every row is kept, late, or a counted copy."""
+    e = F.col("event_id")
+    turns = [e % 3 == 0, (e % 3 == 1) | (e % 30 == 0), (e % 3 == 2) | (e % 20 == 1)]
+    events = _land_in_turns(spark, sf_dir, turns, "late-events")
+    out, state = staging_path(spark, "late"), staging_path(spark, "late-state")
+    complete.dedupe_with_late(events, "event_id", "ts", out, state, dt.timedelta(days=10))
+    nothing = F.lit(None).cast("bigint")
+    kept = complete.kept_rows(spark, out, events.schema).select(F.lit("kept").alias("outcome"), "event_id", nothing.alias("n"))
+    late = complete.late_rows(spark, out, events.schema).select(F.lit("late").alias("outcome"), "event_id", nothing.alias("n"))
+    copies = complete.batch_counts(spark, out).select(F.lit("copies").alias("outcome"), F.col("batch_number").alias("event_id"), F.col("n_copies").alias("n"))
+    return kept.unionByName(late).unionByName(copies)
 
 
 @query
@@ -502,7 +528,7 @@ def stream_daily_counts(spark, sf_dir):
     out, state = staging_path(spark, "daily"), staging_path(spark, "daily-state")
     counts = streaming.daily_count_stream(_event_stream(spark, sf_dir), F.col("ts"), "event_type")
     streaming.keep_latest(counts, out, state)
-    return spark.read.schema(counts.schema).parquet(out)
+    return read_live(spark, out, counts.schema)
 
 
 @query

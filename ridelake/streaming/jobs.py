@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ridelake.plans.applog import wide_params
 from ridelake.plans.desk import dedupe_last_by_id
 from ridelake.plans.forecast import ROW_KEYS, checked_pages, forecast_wide, rejected_pages
+from ridelake.sources.live import Live, live, publish, query_id
 from ridelake.sources.tables import upsert_table
 
 # Fixed value: a gap of exactly five minutes ends a session, and session windows
@@ -39,15 +40,24 @@ def append_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict
 
 
 def keep_latest(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> None:
-    """Replace ``path`` by the whole current result; for aggregates of bounded size."""
+    """Replace the result by the whole current one; for aggregates of bounded size.
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Read it with ``sources.live.read_live``: there is a result at any time, the last one that was written whole.
+    """
+    spark = stream.sparkSession
+
+    def replace(batch: DataFrame, number: int) -> None:
+        of = query_id(spark, checkpoint)
+        if live(spark, path).has(of, number):
+            return
+        folder = f"result-{of[:8]}-{number}"
+        batch.write.mode("overwrite").parquet(f"{path}/{folder}")
+        publish(spark, path, Live(of, number, {"result": folder}))
 
-    _for_each_batch(stream, replace, checkpoint, "complete", trigger)
+    for_each_batch(stream, replace, checkpoint, "complete", trigger)
 
 
-def _for_each_batch(stream, action, checkpoint: str, mode: str, trigger: dict | None) -> None:
+def for_each_batch(stream, action, checkpoint: str, mode: str, trigger: dict | None) -> None:
     (
         stream.writeStream.foreachBatch(action)
         .outputMode(mode)
@@ -84,7 +94,7 @@ def upsert_stream(
             batch = batch.withColumn("page", F.struct(F.col(batch_order), F.col("page")))
         upsert_table(dedupe_last_by_id(normalise(batch)), path, day)
 
-    _for_each_batch(pages, load, checkpoint, "append", trigger)
+    for_each_batch(pages, load, checkpoint, "append", trigger)
 
 
 def forecast_stream(
@@ -103,7 +113,7 @@ def forecast_stream(
         wide = forecast_wide(batch if rejected else checked_pages(batch))
         upsert_table(wide, path, "updated_at_kr", ROW_KEYS, day_name="updated_day", day_in_key=True)
 
-    _for_each_batch(pages, load, checkpoint, "append", trigger)
+    for_each_batch(pages, load, checkpoint, "append", trigger)
 
 
 def _event_time(clock: Column) -> Column:
@@ -117,7 +127,9 @@ def session_stream(
     """Series of views per rider, closed by a gap of five minutes or more.
 
     Without a session flag, the number of closed series equals the number of
-    valid views of the batch job.  Times are cut to the second first.
+    valid views of the batch job.  Times are cut to the second first.  Only
+    closed series come out, and views behind the watermark are dropped;
+    ``complete.sessions_table`` has all of them.
     """
     timed = events.select(
         rider.cast("string").alias("rider_id"), F.date_trunc("second", _event_time(clock)).alias("view_at")
@@ -130,27 +142,6 @@ def session_stream(
     )
 
 
-def open_sessions(
-    events: DataFrame, closed: DataFrame, rider: Column, clock: Column, gap: str = SESSION_GAP
-) -> DataFrame:
-    """The sessions that the stream has not closed yet, by a batch pass over the same events.
-
-    They are the sessions of the events after each rider's last closed session.
-    """
-    timed = events.select(
-        rider.cast("string").alias("rider_id"), F.date_trunc("second", _event_time(clock)).alias("view_at")
-    )
-    until = closed.groupBy(F.col("rider_id").alias("_rider")).agg(F.max("last_view_at").alias("_until"))
-    rest = timed.join(until, F.col("rider_id").eqNullSafe(F.col("_rider")), "left").where(
-        F.col("_until").isNull() | (F.col("view_at") > F.col("_until"))
-    )
-    return (
-        rest.groupBy("rider_id", F.session_window("view_at", gap))
-        .agg(F.count(F.lit(1)).alias("view_count"), F.max("view_at").alias("last_view_at"))
-        .select("rider_id", F.col("session_window.start").alias("first_view_at"), "last_view_at", "view_count")
-    )
-
-
 def daily_count_stream(events: DataFrame, clock: Column, kind: str, lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Events per calendar day and kind."""
     return (
@@ -163,7 +154,10 @@ def daily_count_stream(events: DataFrame, clock: Column, kind: str, lateness: st
 
 
 def dedupe_stream(events: DataFrame, key: str, clock: Column, lateness: str = ALLOWED_LATENESS) -> DataFrame:
-    """First arrival of each key; copies are remembered for as long as rows may be late."""
+    """First arrival of each key; copies are remembered for as long as rows may be late.
+
+    Rows behind the watermark are dropped; ``complete.dedupe_with_late`` keeps them in a table.
+    """
     return (
         events.withColumn("_at", _event_time(clock))
         .withWatermark("_at", lateness)

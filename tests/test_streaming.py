@@ -9,7 +9,8 @@ from ridelake import schemas
 from ridelake.catalog import fixtures as fx
 from ridelake.plans import desk, forecast
 from ridelake.plans.applog import wide_params
-from ridelake.streaming import jobs
+from ridelake.sources.live import Live, live, publish, read_live
+from ridelake.streaming import complete, jobs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -81,9 +82,6 @@ def test_sessions_equal_gaps(spark, tmp_path):
     jobs.append_to_files(sessions, str(tmp_path / "out"), str(tmp_path / "state"))
     got = sorted(spark.read.parquet(str(tmp_path / "out")).select("first_view_at", "view_count").collect())
     assert [(r.first_view_at, r.view_count) for r in got] == [(start, 4), (start + dt.timedelta(seconds=899), 1)]
-    closed = spark.read.parquet(str(tmp_path / "out"))
-    left = jobs.open_sessions(events, closed, F.col("rider"), F.col("ts")).collect()
-    assert [(r.first_view_at, r.view_count) for r in left] == [(start + dt.timedelta(days=5), 1)]
 
 
 def test_copies_are_dropped_across_batches(spark, tmp_path, rows):
@@ -101,6 +99,90 @@ def test_daily_counts_over_batches(spark, tmp_path, rows):
     land_in_order(events, str(tmp_path / "in"), 3)
     counts = jobs.daily_count_stream(stream_of(spark, str(tmp_path / "in"), events.schema), F.col("ts"), "event_type")
     jobs.keep_latest(counts, str(tmp_path / "out"), str(tmp_path / "state"))
-    got = spark.read.parquet(str(tmp_path / "out")).select(F.to_date("day_start").alias("d"), "event_type", "event_count")
+    got = read_live(spark, str(tmp_path / "out"), counts.schema).select(F.to_date("day_start").alias("d"), "event_type", "event_count")
     want = events.groupBy(F.to_date("ts").alias("d"), "event_type").agg(F.count(F.lit(1)).alias("event_count"))
     assert rows(got) == rows(want)
+
+
+def land(spark, path, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+VIEWS = "rider STRING, ts TIMESTAMP_NTZ"
+
+
+def sessions_of(spark, path):
+    found = read_live(spark, path, complete.SESSIONS).collect()
+    return sorted(((r.rider_id, r.first_view_at, r.last_view_at, r.view_count) for r in found), key=repr)
+
+
+def test_late_views_join_sessions(spark, tmp_path):
+    """Every order of arrival gives the sessions of all views; a late one joins two, also over midnight and days back."""
+    base = dt.datetime(2024, 1, 1, 23, 50)
+    at = [base + dt.timedelta(minutes=m) for m in (0, 4, 8, 12, 16, 30, 34, 60 * 24 * 5)]
+    turns = [[0, 2, 4, 7], [], [6, 1], [3, 5]]  # 1 and 3 close the gaps of eight minutes
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for turn in turns:
+        land(spark, path, [(r, at[n]) for n in turn for r in ("u", None)] + [("v", None)], VIEWS)
+        complete.sessions_table(stream_of(spark, path, spark.createDataFrame([], VIEWS).schema), F.col("rider"), F.col("ts"), out, state)
+    want = [(r, at[0], at[4], 5) for r in ("u", None)] + [(r, at[5], at[6], 2) for r in ("u", None)] + [(r, at[7], at[7], 1) for r in ("u", None)]
+    assert sessions_of(spark, out) == sorted(want, key=repr)
+    assert sorted(live(spark, out).parts) == ["2024-01-02", "2024-01-06"]
+
+
+def test_a_batch_counts_once(spark, tmp_path):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    land(spark, path, [("u", dt.datetime(2024, 1, 1))], VIEWS)
+    events = stream_of(spark, path, spark.createDataFrame([], VIEWS).schema)
+    complete.sessions_table(events, F.col("rider"), F.col("ts"), out, state)
+    # The commit of the stream is lost after that of the table: the batch runs again.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    complete.sessions_table(events, F.col("rider"), F.col("ts"), out, state)
+    assert [r[3] for r in sessions_of(spark, out)] == [1]
+
+
+def test_sessions_read_recent_days_only(spark, tmp_path):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    events = spark.createDataFrame([], VIEWS).schema
+    for day in (1, 20, 21):
+        land(spark, path, [("u", dt.datetime(2024, 1, day, 12)), ("w", dt.datetime(2024, 1, day, 13))], VIEWS)
+        if day == 21:  # the first day's files cannot be read any more
+            for file in (tmp_path / "out").glob("*/day=2024-01-01/*.parquet"):
+                file.write_bytes(b"nothing")
+        complete.sessions_table(stream_of(spark, path, events), F.col("rider"), F.col("ts"), out, state)
+    recent = read_live(spark, out, complete.SESSIONS, ["2024-01-20", "2024-01-21"])
+    assert recent.count() == 4
+
+
+def test_late_rows_have_a_table(spark, tmp_path, rows):
+    schema = "k BIGINT, ts TIMESTAMP_NTZ, v STRING"
+    day = lambda n: dt.datetime(2024, 1, n)
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [
+        [(1, day(10), "a"), (1, day(10), "a"), (2, day(9), "b"), (None, day(9), "n"), (8, None, "c")],
+        [(2, day(9), "again"), (3, day(8), "late"), (None, day(9), "n2"), (8, None, "c"), (4, day(20), "d")],
+        [(2, day(10), "behind"), (4, day(19), "copy"), (5, day(19), "e")],
+    ]
+    for batch in batches:
+        land(spark, path, batch, schema)
+    complete.dedupe_with_late(stream_of(spark, path, spark.createDataFrame([], schema).schema), "k", "ts", out, state)
+    stream_schema = spark.createDataFrame([], schema).schema
+    assert rows(complete.kept_rows(spark, out, stream_schema), "v") == [("a",), ("b",), ("c",), ("d",), ("e",), ("n",)]
+    assert rows(complete.late_rows(spark, out, stream_schema), "v") == [("behind",), ("late",)]
+    assert rows(complete.batch_counts(spark, out)) == [(0, 5, 4, 0, 1), (1, 5, 1, 1, 3), (2, 3, 1, 1, 1)]
+    assert sum(r.n_rows for r in complete.batch_counts(spark, out).collect()) == sum(map(len, batches))
+
+
+def test_readers_always_have_a_result(spark, tmp_path, rows):
+    path = str(tmp_path / "r")
+    schema = spark.range(0).schema
+    assert read_live(spark, path, schema).isEmpty()
+    for n in range(4):
+        before = read_live(spark, path, schema)
+        spark.range(n + 1).write.parquet(f"{path}/v{n}")
+        assert before.count() == n  # written, not yet published
+        publish(spark, path, Live("q", n, {"result": f"v{n}"}))
+        assert before.count() == n  # who has listed the old one can still read it
+    assert read_live(spark, path, schema).count() == 4 and live(spark, path).has("q", 3) and not live(spark, path).has("other", 3)
+    assert sorted(p.name for p in (tmp_path / "r").iterdir() if p.name.startswith("v")) == ["v2", "v3"]
