@@ -380,9 +380,9 @@ _BODIES: dict[str, str] = {
         FROM demand""",
     "landed_ndjson": "SELECT event_id AS id, event_type AS kind FROM events WHERE event_id % 50 NOT IN (7, 8, 9)",
     "quarantined_ndjson": """
-        SELECT CASE WHEN event_id % 50 = 8 THEN 'no declared field' ELSE 'unparsable' END AS reason,
-               CASE event_id % 50 WHEN 7 THEN '{broken ' || event_id
-                                  WHEN 9 THEN '{"id":"oops","kind":"k' || event_id || '"}' END AS text
+        SELECT CASE event_id % 50 WHEN 7 THEN 'unparsable' WHEN 8 THEN 'no declared field' ELSE 'wrong type: id' END AS reason,
+               CASE event_id % 50 WHEN 7 THEN '{broken ' || event_id WHEN 8 THEN '{"other":' || event_id || '}'
+                                  ELSE '{"id":"oops","kind":"k' || event_id || '"}' END AS text
         FROM events WHERE event_id % 50 IN (7, 8, 9)""",
     "upsert_partial_columns": """
         SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'c' || c_custkey END AS name,

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.functions.times import day_suffix, trailing_window
 from ridelake.session import path_exists
@@ -29,27 +30,54 @@ def scan_shard(spark: SparkSession, path: str, shard: dt.date | str, schema: str
     return table.where(F.col("suffix") == name)
 
 
-_BROKEN, _FILE = "_corrupt_record", "_landed_file"
-NOT_JSON, NO_FIELD = "unparsable", "no declared field"
+_TEXT, _FILE, _BLOCK, _ORDER, _FAULT, _PARSED, _BROKEN = "_text", "_landed_file", "_block", "_order", "_fault", "_parsed", "_corrupt_record"
+NOT_JSON, NO_FIELD, WRONG_TYPE = "unparsable", "no declared field", "wrong type: "
 
 
 def _landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool) -> DataFrame:
-    """Every landed document: declared columns, its text if Spark could not read all of it, and its file."""
-    documents = (
-        spark.read.schema(f"{schema}, {_BROKEN} STRING")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("multiLine", str(multi_line).lower())
-        .json(path)
+    """Every landed document as it stands: its text and place, what its declared fields hold, and why it is not accepted.
+
+    The text is read first and parsed afterwards, so nothing depends on what a JSON reader makes of it.  A document
+    that is an array holds one record for each element, and is accepted or not as a whole.
+    """
+    texts = spark.read.text(path, wholetext=multi_line).select(
+        F.col("value").alias(_TEXT),
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_block_start").alias(_BLOCK),
+        F.monotonically_increasing_id().alias(_ORDER),
     )
-    return documents.withColumn(_FILE, F.col("_metadata.file_path"))
+    declared = T.StructType(T.StructType.fromDDL(schema).fields + [T.StructField(_BROKEN, T.StringType())])
+    documents = texts.where(F.col(_TEXT).rlike("[^\\s]"))
+    # In brackets, whatever follows a document on its line makes it unparsable or a second element.
+    alone = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), _TEXT, F.lit("]"))), "$", "array<variant>")
+    elements = F.transform(F.try_variant_get(alone[0], "$", "array<variant>"), lambda v: F.to_json(v))
+    records = F.when(F.size(alone) == 1, F.coalesce(elements, F.array(_TEXT)))
+
+    def read(text: Column) -> Column:
+        return F.struct(F.from_json(text, declared, {"columnNameOfCorruptRecord": _BROKEN}).alias("row"), F.try_parse_json(text).alias("doc"))
 
+    parsed = documents.withColumn(_PARSED, F.transform(records, read))
+    faults = F.filter(F.transform(_PARSED, lambda r: _fault(r["row"], r["doc"], declared)), lambda f: f.isNotNull())
+    return parsed.withColumn(_FAULT, F.when(F.col(_PARSED).isNull(), F.lit(NOT_JSON)).otherwise(F.try_element_at(faults, F.lit(1))))
 
-def _fault(documents: DataFrame) -> Column:
-    """Why a landed document is not accepted; NULL if it is."""
-    declared = [c for c in documents.columns if c not in (_BROKEN, _FILE)]
-    any_field = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in declared])
-    return F.when(F.col(_BROKEN).isNotNull(), F.lit(NOT_JSON)).when(~any_field, F.lit(NO_FIELD))
+
+def _fault(row: Column, doc: Column, declared: T.StructType) -> Column:
+    """Why one record is not accepted; NULL if it is.
+
+    Each declared field is looked up in the document itself: what is there and not NULL must have become a value.
+    """
+    names = [f.name for f in declared.fields if f.name != _BROKEN]
+
+    def there(name: str) -> Column:
+        found = F.try_variant_get(doc, "$['" + name + "']", "variant")
+        return found.isNotNull() & ~F.is_variant_null(found)
+
+    fault = F.when(doc.isNull(), F.lit(NOT_JSON))
+    for name in names:
+        fault = fault.when(there(name) & row[name].isNull(), F.lit(WRONG_TYPE + name))
+    any_field = reduce(lambda a, b: a | b, [row[name].isNotNull() for name in names])
+    # A field whose inner part has a wrong type is broken although it has a value.
+    return fault.when(row[_BROKEN].isNotNull(), F.lit(WRONG_TYPE + "inside a field")).when(~any_field, F.lit(NO_FIELD))
 
 
 def read_landed_json(
@@ -59,29 +87,37 @@ def read_landed_json(
 
     Line-delimited by default, so large files are split between tasks.  A document is accepted if it parses, all
     its declared fields have their type, and it has one of them.  ``quarantined_json`` lists all others; with
-    ``strict`` the first of them fails the job.
+    ``strict`` the first of them fails the job.  Blank lines and empty files are no documents.
     """
-    return _accepted(_landed(spark, path, schema, multi_line), strict).drop(_BROKEN, _FILE)
+    return _accepted(_landed(spark, path, schema, multi_line), strict).drop(_FILE)
 
 
 def _accepted(documents: DataFrame, strict: bool) -> DataFrame:
-    fault = _fault(documents)
+    """Records of the accepted documents, with their file."""
     if strict:
-        text = F.concat(F.lit("landed document rejected: "), fault, F.lit(" in "), F.col(_FILE))
-        return documents.where(F.when(fault.isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
-    return documents.where(fault.isNull())
+        text = F.concat(F.lit("landed document rejected: "), F.col(_FAULT), F.lit(" in "), F.col(_FILE))
+        kept = documents.where(F.when(F.col(_FAULT).isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
+    else:
+        kept = documents.where(F.col(_FAULT).isNull())
+    rows = kept.select(_FILE, F.explode(_PARSED).alias("_record")).select(F.col("_record.row.*"), _FILE)
+    return rows.drop(_BROKEN)
 
 
 def quarantined_json(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False) -> DataFrame:
-    """``file_name, reason, text`` of every document that ``read_landed_json`` does not accept.
+    """``file_name, block_start, document_order, reason, text`` of every document that ``read_landed_json`` does not accept.
 
-    Accepted and quarantined documents together are all that have landed.  ``text`` is NULL for a document
-    that parses but has none of the declared fields.
+    Accepted and quarantined documents together are all that have landed, and ``text`` is a document as it landed.
+    ``document_order`` ascends along a file; ``block_start`` is where in it the split begins that was read.
     """
-    documents = _landed(spark, path, schema, multi_line)
-    return documents.withColumn("reason", _fault(documents)).where(F.col("reason").isNotNull()).select(
-        F.regexp_extract(_FILE, "([^/]*)$", 1).alias("file_name"), "reason", F.col(_BROKEN).alias("text")
-    )
+    documents = _landed(spark, path, schema, multi_line).where(F.col(_FAULT).isNotNull())
+    name = F.regexp_extract(_FILE, "([^/]*)$", 1)
+    return documents.select(name.alias("file_name"), F.col(_BLOCK).alias("block_start"), F.col(_ORDER).alias("document_order"), F.col(_FAULT).alias("reason"), F.col(_TEXT).alias("text"))
+
+
+def accepted_texts(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = False) -> DataFrame:
+    """``file_name, text`` of the accepted documents, as they landed."""
+    documents = _landed(spark, path, schema, multi_line).where(F.col(_FAULT).isNull())
+    return documents.select(F.regexp_extract(_FILE, "([^/]*)$", 1).alias("file_name"), F.col(_TEXT).alias("text"))
 
 
 def read_pages(
@@ -99,7 +135,7 @@ def read_pages(
     return documents.select(
         F.regexp_replace(_FILE, "[0-9]+[^0-9/]*$", "").alias("load"),
         (F.coalesce("page", page) if "page" in documents.columns else page).alias("page"),
-        *[name for name in documents.columns if name not in ("page", "load", _BROKEN, _FILE)],
+        *[name for name in documents.columns if name not in ("page", "load", _FILE)],
     )
 
 

@@ -45,7 +45,7 @@ def test_ticket_page(spark, tmp_path):
 
     assert pages.count() == 1
     bad = scans.quarantined_json(spark, str(tmp_path / "t"), TICKETS.page_schema, multi_line=True)
-    assert [tuple(r) for r in bad.collect()] == [("tickets-0004.json", scans.NOT_JSON, "{broken")]
+    assert [tuple(r) for r in bad.select("file_name", "block_start", "reason", "text").collect()] == [("tickets-0004.json", 0, scans.NOT_JSON, "{broken")]
     with pytest.raises(Exception, match="rejected"):
         scans.read_pages(spark, str(tmp_path / "t"), TICKETS.page_schema, strict=True).collect()
 
@@ -57,7 +57,7 @@ def test_line_delimited_load(spark, tmp_path, rows):
     assert rows(accepted) == sorted([(1, "a"), (2, None)], key=repr)
     refused = scans.quarantined_json(spark, str(tmp_path), "id BIGINT, v STRING")
     assert rows(refused, "reason", "text") == sorted(
-        [(scans.NOT_JSON, "{oops"), (scans.NO_FIELD, None), (scans.NOT_JSON, '{"id": "no number"}')], key=repr
+        [(scans.NOT_JSON, "{oops"), (scans.NO_FIELD, '{"other": 3}'), (scans.WRONG_TYPE + "id", '{"id": "no number"}')], key=repr
     )
     assert accepted.count() + refused.count() == len(lines)
 
@@ -94,6 +94,28 @@ def test_last_occurrence_wins_across_pages(spark, rows):
     assert rows(desk.dedupe_last_by_id(records)) == [(1, "c"), (2, "d")]
 
 
+def test_nothing_that_landed_is_lost(spark, tmp_path):
+    """Accepted and quarantined texts are the landed documents byte for byte, with the reason and in file order."""
+    good = [b'{"id":1,"kind":"a"}', b'[{"id":5},{"kind":"z"}]', b'  {"id":2}\t', b'{"id":null,"kind":"q"}', b'{"kind":{"a":1}}', b'{"id":11,"kind":"\xff\xfe"}', b'{"id":8,"sub":{"n":3}}']
+    bad = {
+        b'{"id":1} trailing': "unparsable", b'{"id":1} {"id":2}': "unparsable", b'{"id":1},{"id":2}': "unparsable", b"nonsense": "unparsable", b"[": "unparsable",
+        b'[{"id":5},{"id":"x"}]': "wrong type: id", b'{"id":99999999999999999999999}': "wrong type: id", b'{"id":1.5}': "wrong type: id",
+        b'{"id":7,"sub":{"n":"bad"}}': "wrong type: inside a field", b"17": "wrong type: inside a field",
+        b'{"other":3}': "no declared field", b'{"id":null,"kind":null}': "no declared field", b"{}": "no declared field",
+    }
+    landed = [line for pair in zip(good + good, bad, strict=False) for line in pair]
+    (tmp_path / "a.json").write_bytes(b"\n".join([*landed, b"", b"  "]))
+    (tmp_path / "empty.json").write_bytes(b"")
+    schema = "id BIGINT, kind STRING, sub STRUCT<n: INT>"
+    accepted = scans.accepted_texts(spark, str(tmp_path), schema).select(F.col("text").cast("binary")).collect()
+    refused = scans.quarantined_json(spark, str(tmp_path), schema).orderBy("document_order").select(F.col("text").cast("binary"), "reason", "file_name", "block_start").collect()
+    assert sorted([bytes(r[0]) for r in accepted] + [bytes(r[0]) for r in refused]) == sorted(landed)
+    assert [(bytes(r[0]), r[1]) for r in refused] == list(bad.items())
+    assert {r[2:] for r in refused} == {("a.json", 0)}
+    got = scans.read_landed_json(spark, str(tmp_path), schema)
+    assert got.columns == ["id", "kind", "sub"] and got.count() == sum(2 if x.startswith(b"[") else 1 for x in landed if x not in bad)
+
+
 def test_pages_stop_at_the_first_empty_one(spark, rows):
     pages = spark.createDataFrame([(1, [1]), (2, [2]), (3, []), (4, [4])], "page BIGINT, users ARRAY<INT>")
     assert rows(desk.usable_pages(pages, "users"), "page") == [(1,), (2,)]
