@@ -19,7 +19,7 @@ from ridelake.plans import applog, desk, forecast, market, reports
 from ridelake.session import materialize, staging_path
 from ridelake.sources import tables
 from ridelake.sources.live import read_live
-from ridelake.sources.scans import quarantined_json, read_landed_json, run_sql, scan_shard
+from ridelake.sources.scans import quarantined_json, read_landed_json, run_sql, scan_shard, scan_trailing
 from ridelake.sources.scans import search_targets as targets_to_fetch
 from ridelake.streaming import complete
 from ridelake.streaming import jobs as streaming
@@ -123,7 +123,8 @@ def _requests(spark, sf_dir):
 
 
 def _final(spark, sf_dir):
-    return market.request_final(market.request_uuid_filled(_requests(spark, sf_dir)), fx.ride_base(spark, sf_dir))
+    asked = scan_trailing(fx.ride_request_ext(spark, sf_dir), fx.TARGET_DATE)
+    return market.request_final(market.request_uuid_filled(_requests(spark, sf_dir)), fx.ride_base(spark, sf_dir), asked)
 
 
 def _joined(spark, sf_dir):

@@ -39,6 +39,35 @@ def left_join_spreading_nulls(
     )
 
 
+#: Bits of a key set; an eighth of it is the most bytes that are ever broadcast.
+KEY_BITS = 2**25
+
+
+def key_set(df: DataFrame, key: str, bits: int = KEY_BITS) -> DataFrame:
+    """The keys of ``df`` as bitmaps of their hashes, one row of 4 KiB for each 32,768 bits that are in use.
+
+    Its size is bounded by ``bits / 8`` bytes however many keys there are, so it may always be broadcast.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    places = df.where(F.col(key).isNotNull()).select(at.alias("_at"))
+    return places.groupBy(F.bitmap_bucket_number("_at").alias("_bitmap")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")
+    )
+
+
+def possibly_in(df: DataFrame, key: str, keys: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """Rows of ``df`` whose key may be in a ``key_set``: all that are, and of others about (keys / bits).
+
+    The rows are filtered where they are read, before anything moves.  ``bits`` must be those of the set.
+    """
+    at = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(bits))
+    placed = df.withColumn("_at", at)
+    met = placed.join(F.broadcast(keys), F.bitmap_bucket_number("_at") == F.col("_bitmap"))
+    position = F.bitmap_bit_position("_at")
+    octet = F.conv(F.hex(F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return met.where(F.getbit(octet, (position % 8).cast("int")) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def left_join_by_parts(left: DataFrame, right: DataFrame, on: Sequence[str], added: Mapping[str, str]) -> DataFrame:
     """Left join on equally named columns for a ``right`` side that may repeat one key very often.
 

@@ -19,7 +19,7 @@ from ridelake.functions.nested import joined_text, offset, variant_scalar
 from ridelake.functions.times import seconds_between, trailing_window, wall_from_millis
 from ridelake.operators.calendar import fill_days
 from ridelake.operators.groups import first_rows
-from ridelake.operators.joins import alternative_key_join, left_join_spreading_nulls
+from ridelake.operators.joins import alternative_key_join, key_set, left_join_spreading_nulls, possibly_in
 from ridelake.operators.segments import with_neighbours
 from ridelake.session import materialize
 from ridelake.sources.scans import scan_trailing
@@ -236,10 +236,12 @@ def ride_request(requests: DataFrame, snapshots: DataFrame, target: dt.date, day
 
     The id is the request's own when it was made for that type, else the one in
     the first or second snapshot stored with the ride.  A ride's JSON is parsed
-    once, after the join.
+    once, after the join.  Only snapshots of requested rides move: the others are
+    left where they are read.
     """
     asked = scan_trailing(requests, target, days_back).where(F.col("ride_type").isin(labels.RIDE_TYPES))
-    joined = left_join_spreading_nulls(asked, snapshots, {"ride_id": "ride_id"}, ["data"])
+    wanted = possibly_in(snapshots.select("ride_id", "data"), "ride_id", key_set(asked, "ride_id"))
+    joined = left_join_spreading_nulls(asked, wanted, {"ride_id": "ride_id"}, ["data"])
     parsed = joined.withColumn("_doc", F.try_parse_json("data")).drop("data")
     parsed = parsed.select(
         "*",
@@ -286,12 +288,19 @@ def request_uuid_filled(requests: DataFrame) -> DataFrame:
     )
 
 
-def request_final(filled: DataFrame, rides: DataFrame) -> DataFrame:
+_OUTCOME = ["is_valid_5_last", "session_type", "status", "accepted_at_kr", "type"]
+
+
+def request_final(filled: DataFrame, rides: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """Requests with the session, status and matched type of their ride.
 
     A ride may be stored under any day, so all of ``rides`` is searched.  Where
     rides are known to lie near the request, pass a trailing scan of them.
+    ``asked`` is a frame with the ``ride_id`` of all requests, cheaper to read than
+    ``filled``: with it, rides that nobody asks for are left where they are read.
     """
+    if asked is not None:
+        rides = possibly_in(rides.select("ride_id", *_OUTCOME), "ride_id", key_set(asked, "ride_id"))
     outcome = rides.select(
         "ride_id",
         "is_valid_5_last",
@@ -311,9 +320,8 @@ def request_final(filled: DataFrame, rides: DataFrame) -> DataFrame:
 
 
 def requests_of_day(inputs: MarketInputs, target: dt.date) -> DataFrame:
-    return request_final(
-        request_uuid_filled(ride_request(inputs.requests, inputs.snapshots, target)), inputs.rides
-    )
+    filled = request_uuid_filled(ride_request(inputs.requests, inputs.snapshots, target))
+    return request_final(filled, inputs.rides, scan_trailing(inputs.requests, target))
 
 
 # --- views joined to requests -----------------------------------------------

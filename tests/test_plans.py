@@ -10,6 +10,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 from ridelake.catalog import fixtures as fx
 from ridelake.catalog.queries import queries
 from ridelake.operators.groups import keep_last
+from ridelake.operators.joins import key_set, possibly_in
 from ridelake.plans import market
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -80,3 +81,28 @@ def test_requests_meet_views_as_one_row_per_id(spark, staged):
     # bool_or is planned as max; it combines before the shuffle.
     assert "partial_max(coalesce(is_valid_5_last" in plan
     assert "collect_list" not in plan
+
+
+def test_snapshots_of_other_rides_do_not_move(spark):
+    """The stored documents meet the requested ids before their first exchange."""
+    inputs = fx.market_inputs(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = physical(market.ride_request(inputs.requests, inputs.snapshots, fx.TARGET_DATE))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    side = plan[plan.index("Exchange hashpartitioning(_r_ride_id") :]
+    before = side[: side.index("Scan")]
+    assert "getbit" in before and "BroadcastHashJoin" in before and "data#" in before
+    assert before.count("hashpartitioning(_r_") == 1
+
+
+def test_key_set_keeps_all_and_little_else(spark):
+    keys = spark.range(0, 20_000, 7).select(F.when(F.col("id") % 700 != 0, F.col("id")).alias("k"))
+    rows = spark.range(200_000).select(F.col("id").alias("k"), F.lit("x").alias("a.b"))
+    bits = 2**18
+    got = possibly_in(rows, "k", key_set(keys, "k", bits), bits)
+    assert got.columns == ["k", "a.b"]
+    assert keys.dropna().join(got, "k", "left_anti").isEmpty()
+    wanted = keys.dropna().count()
+    assert got.count() - wanted < 3 * 200_000 * wanted / bits
+    assert key_set(keys, "k", bits).agg(F.sum(F.octet_length("_bits"))).first()[0] <= bits / 8
+    assert possibly_in(rows, "k", key_set(keys.limit(0), "k", bits), bits).isEmpty()
