@@ -392,6 +392,34 @@ _BODIES: dict[str, str] = {
                CASE WHEN event_id % 4 = 0 THEN -1 ELSE CAST(floor(value) AS BIGINT) END AS reading FROM events""",
     "refresh_day": f"""
         SELECT ride_id, {_day('date_kr')} AS date_kr, type FROM ride_base WHERE date_kr = DATE '2022-05-01'""",
+    "refresh_changed": f"""
+        SELECT {_day('date_kr')} AS date_kr, sum(calls) AS calls, sum(dropoffs) AS dropoffs, '30,2,0' AS refreshed_days
+        FROM (SELECT date_kr, (is_valid_5_last IS NOT NULL)::INTEGER AS calls, (status = 'DROPPED_OFF')::INTEGER AS dropoffs FROM ride_base
+              UNION ALL
+              SELECT date_kr, (is_valid_5_last IS NOT NULL)::INTEGER, (status = 'DROPPED_OFF')::INTEGER FROM ride_base
+              WHERE date_kr = DATE '2022-05-27' AND ride_id % 2 = 0)
+        WHERE date_kr <> DATE '2022-05-05'
+        GROUP BY date_kr""",
+    "day_quality_sql": f"""
+        SELECT {_day("DATE '2022-05-01'")} AS date_kr, check_name, observed, CAST(passed AS VARCHAR) AS passed
+        FROM (SELECT unnest([
+                  {{'check_name': 'rides loaded', 'observed': count(*), 'passed': count(*) > 0}},
+                  {{'check_name': 'distinct ride ids', 'observed': count(DISTINCT ride_id), 'passed': count(DISTINCT ride_id) = count(*)}},
+                  {{'check_name': 'rides without a session', 'observed': count(*) FILTER (WHERE is_valid_5_last IS NULL),
+                    'passed': count(*) FILTER (WHERE is_valid_5_last IS NULL) <= 0.1 * count(*)}},
+                  {{'check_name': 'negative credit', 'observed': count(*) FILTER (WHERE credit_withdrawal_amount < 0),
+                    'passed': count(*) FILTER (WHERE credit_withdrawal_amount < 0) = 0}}], recursive := TRUE)
+              FROM ride_base WHERE date_kr = DATE '2022-05-01')""",
+    "active_drivers_approx": f"""
+        SELECT region, {_PLUS.format('ride_type')} AS driver_type, count(DISTINCT driver_id) AS exact_count, 'true' AS within_two_percent
+        FROM activity
+        WHERE session_hours >= 1 AND session_dropoffs > 0 AND date_kr BETWEEN DATE '2022-05-06' AND DATE '2022-05-15'
+        GROUP BY ALL""",
+    "stream_page_end": """
+        SELECT user_id AS id, CASE WHEN event_id % 3 <> 0 THEN 'x' || event_id END AS external_id,
+               CASE user_id % 2 WHEN 0 THEN 'end-user' ELSE 'agent' END AS role
+        FROM events WHERE event_id // 100 IN (0, 1) OR (event_id // 100 > 3 AND event_id // 100 % 2 = 0)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id // 100 > 3 DESC, event_id DESC) = 1""",
     "demand_daily_filled": f"""
         SELECT {_day('spine.d')} AS date_kr, origin_region, driver_type, coalesce(call_count_total, 0) AS call_count_total,
                coalesce(call_count_valid_session, 0) AS call_count_valid_session, coalesce(dropoff_count, 0) AS dropoff_count,
@@ -532,17 +560,18 @@ _BODIES: dict[str, str] = {
         FROM ride_base GROUP BY ride_base.date_kr""",
     "purchases_latest_first": f"""
         SELECT 'u' || o_custkey AS user_id, p_name AS item, {_day('max(o_orderdate)')} AS last_purchase_date
+               , row_number() OVER (ORDER BY 'u' || o_custkey, max(o_orderdate) DESC, p_name) AS position
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
         GROUP BY o_custkey, p_name""",
     "merchant_purchase_counts": """
         SELECT s_suppkey AS market_id, s_name AS market_name,
                count(DISTINCT CASE WHEN l_discount > 0 AND l_extendedprice > 0 THEN l_orderkey * 10 + l_linenumber END)
-                   AS purchase_cnt
+                   AS purchase_cnt, row_number() OVER (ORDER BY s_suppkey) AS position
         FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey
         WHERE s_name LIKE '%1%' OR s_name LIKE '%7%'
-        GROUP BY ALL""",
+        GROUP BY s_suppkey, s_name""",
     "age_bucket_messages": """
-        SELECT * FROM (
+        SELECT *, row_number() OVER (ORDER BY msg_cnt DESC, age_div DESC, gender) AS position FROM (
             SELECT CASE c_custkey % 2 WHEN 0 THEN 'M' ELSE 'F' END AS gender,
                    CASE WHEN age < 20 THEN '20대 미만' WHEN age < 30 THEN '20대 이상 30대 미만'
                         WHEN age < 40 THEN '30대 이상 40대 미만' WHEN age < 50 THEN '40대 이상 50대 미만'
@@ -586,5 +615,4 @@ _BODIES: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    bodies = {**_BODIES, "demand_daily_sql": _BODIES["demand_daily"]}
-    return {name: _with(body) for name, body in bodies.items()}
+    return {name: _with(body) for name, body in _BODIES.items()}

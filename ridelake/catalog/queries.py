@@ -17,7 +17,7 @@ from ridelake.operators import quality
 from ridelake.operators.rolling import rolling_power
 from ridelake.plans import applog, desk, forecast, market, reports
 from ridelake.session import materialize, staging_path
-from ridelake.sources import tables
+from ridelake.sources import changes, tables
 from ridelake.sources.live import read_live
 from ridelake.sources.scans import quarantined_json, read_landed_json, run_sql, scan_shard, scan_trailing
 from ridelake.sources.scans import search_targets as targets_to_fetch
@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_EVENT_DAY = dt.date(2024, 1, 1)
 RUN_AT_UTC = dt.datetime(2022, 5, 1, 16, 50)
 TEAM, TEAM_SIZE = [3, 5], 4
-DEMAND_SQL = str(Path(__file__).parent.parent / "sql" / "demand_daily.sql")
+QUALITY_SQL = str(Path(__file__).parent.parent / "sql" / "day_quality.sql")
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -104,10 +104,10 @@ def demand_daily(spark, sf_dir):
 
 
 @query
-def demand_daily_sql(spark, sf_dir):
+def day_quality_sql(spark, sf_dir):
+    """Parameterised SQL from a file."""
     fx.ride_base(spark, sf_dir).createOrReplaceTempView("ride_base")
-    last = fx.TARGET_DATE + dt.timedelta(days=29)
-    return run_sql(spark, DEMAND_SQL, target_date=last, days_back=29, report_start=market.REPORT_START)
+    return run_sql(spark, QUALITY_SQL, target_date=fx.TARGET_DATE, most_missing=0.1)
 
 
 def _base(spark, sf_dir):
@@ -212,6 +212,26 @@ def driver_hours_region(spark, sf_dir):
     return market.driver_hours_region(_hours(spark, sf_dir))
 
 
+@query
+def active_drivers_approx(spark, sf_dir):
+    """Drivers of any ten days from stored daily sketches, beside the exact count."""
+    sessions = fx.driver_working_session_info(spark, sf_dir)
+    path = staging_path(spark, "driver-sketches")
+    tables.overwrite_table(market.driver_sketches(sessions), path, "date_kr")
+    first, last = fx.TARGET_DATE + dt.timedelta(days=5), fx.TARGET_DATE + dt.timedelta(days=14)
+    found = market.active_drivers_approx(spark.read.parquet(path), first, last)
+    qualifying = (F.col("session_duration_hour") >= 1) & (F.col("session_dropoff_count") > 0)
+    exact = (
+        sessions.where(F.col("session_start_date_kr").between(F.lit(first), F.lit(last)) & qualifying)
+        .groupBy(F.col("service_region").alias("region"), labels.driver_type(F.col("vehicle_ride_type")).alias("driver_type"))
+        .agg(F.count_distinct("driver_id").alias("exact_count"))
+    )
+    error = F.abs(F.col("driver_active_count") - F.col("exact_count"))
+    return found.join(exact, ["region", "driver_type"]).select(
+        "region", "driver_type", "exact_count", (error <= 0.02 * F.col("exact_count")).alias("within_two_percent")
+    )
+
+
 @query
 def net_revenue(spark, sf_dir):
     return market.net_revenue(fx.raw_ride_receipt(spark, sf_dir), _last_day(), 29)
@@ -388,11 +408,31 @@ def refresh_day(spark, sf_dir):
     one_day = rides.where(F.col("date_kr") == F.lit(fx.TARGET_DATE))
     tables.overwrite_day(one_day, path, fx.TARGET_DATE)
     tables.overwrite_day(one_day.limit(0), path, fx.TARGET_DATE)
-    tables.refresh_day(rides, path, fx.TARGET_DATE)
+    one_status = {"types": (F.size(F.collect_set("type")), 3)}
+    tables.refresh_day(rides, path, fx.TARGET_DATE, expected=one_status)
     tables.refresh_day(rides.limit(0), path, fx.TARGET_DATE)
     return spark.read.parquet(path).select(*rides.columns)
 
 
+@query
+def refresh_changed(spark, sf_dir):
+    """Demand by day, refreshed after a ride came late, another day vanished, and nothing else changed."""
+    rides = fx.ride_base(spark, sf_dir)
+    path = staging_path(spark, "demand")
+
+    def demand(changed: DataFrame) -> DataFrame:
+        return market.demand_daily(changed, _last_day(), days_back=29)
+
+    first = changes.refresh_changed(rides, path, demand)
+    late, gone = fx.TARGET_DATE + dt.timedelta(days=26), fx.TARGET_DATE + dt.timedelta(days=4)
+    more = rides.where((F.col("date_kr") == F.lit(late)) & (F.col("ride_id") % 2 == 0))
+    second = changes.refresh_changed(rides.where(F.col("date_kr") != F.lit(gone)).unionAll(more), path, demand)
+    third = changes.refresh_changed(rides.where(F.col("date_kr") != F.lit(gone)).unionAll(more).repartition(3), path, demand)
+    counts = [len(first), len(second), len(third)]
+    stored = spark.read.parquet(path).groupBy("date_kr").agg(F.sum("call_count_total").alias("calls"), F.sum("dropoff_count").alias("dropoffs"))
+    return stored.withColumn("refreshed_days", F.lit(",".join(map(str, counts))))
+
+
 @query
 def demand_daily_filled(spark, sf_dir):
     """Demand with two days taken out and filled in again."""
@@ -440,18 +480,18 @@ def text_and_clock_labels(spark, sf_dir):
 
 @query
 def purchases_latest_first(spark, sf_dir):
-    return reports.purchases_latest_first(fx.purchases(spark, sf_dir))
+    return reports.purchases_latest_first(fx.purchases(spark, sf_dir), positions=True)
 
 
 @query
 def merchant_purchase_counts(spark, sf_dir):
-    return reports.merchant_purchase_counts(fx.merchants(spark, sf_dir), fx.card_usages(spark, sf_dir), ["1", "7"])
+    return reports.merchant_purchase_counts(fx.merchants(spark, sf_dir), fx.card_usages(spark, sf_dir), ["1", "7"], positions=True)
 
 
 @query
 def age_bucket_messages(spark, sf_dir):
     return reports.age_bucket_messages(
-        fx.age_profiles(spark, sf_dir), fx.trade_users(spark, sf_dir), fx.community_messages(spark, sf_dir)
+        fx.age_profiles(spark, sf_dir), fx.trade_users(spark, sf_dir), fx.community_messages(spark, sf_dir), positions=True
     )
 
 
@@ -532,6 +572,24 @@ def stream_daily_counts(spark, sf_dir):
     return read_live(spark, out, counts.schema)
 
 
+@query
+def stream_page_end(spark, sf_dir):
+    """Load ``a`` ends at its empty page 2 in the first batch; its later pages come in the second, with load ``b``."""
+    pages, page = fx.user_pages(spark, sf_dir), F.col("page")
+    nobody = F.array().cast(pages.schema["users"].dataType)
+    first = pages.where(page < 3).withColumn("users", F.when(page == 2, nobody).otherwise(F.col("users")))
+    rest, other = pages.where(page > 2), pages.where((page > 3) & (page % 2 == 0))
+    landed = staging_path(spark, "ended")
+    first.withColumn("load", F.lit("a")).coalesce(1).write.mode("append").parquet(landed)
+    second = rest.withColumn("load", F.lit("a")).unionByName(other.withColumn("load", F.lit("b")))
+    second.coalesce(1).write.mode("append").parquet(landed)
+    schema = first.withColumn("load", F.lit("a")).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    path, state, ends = (staging_path(spark, f"ended-{name}") for name in ("users", "state", "ends"))
+    streaming.upsert_stream(stream, desk.user_normalize, path, state, batch_order="load", entries="users", ends=ends)
+    return spark.read.parquet(path).select("id", "external_id", "role")
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     events = _event_stream(spark, sf_dir)

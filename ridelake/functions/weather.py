@@ -5,24 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Rain text -> bucket rank; any other text has the default rank.
-RAIN_RANK = {"강수없음": 1, "1.0mm 미만": 2, "30.0~50.0mm": 4, "50.0mm 이상": 5}
-DEFAULT_RAIN_RANK = 3
-# Bucket labels in rank order.
-RAIN_LABELS = ["01_강수없음", "02_1mm 미만", "03_1mm 이상 30mm 미만", "04_30mm 이상 50mm 미만", "05_50mm 이상"]
-
-
-def rain_rank(text: Column) -> Column:
-    rank = F.lit(DEFAULT_RAIN_RANK)
-    for name, value in RAIN_RANK.items():
-        rank = F.when(text == name, value).otherwise(rank)
-    return rank
-
-
-def rain_label(rank: Column) -> Column:
-    """Label of a rank; a missing rank falls into the default bucket."""
-    labels = F.array(*[F.lit(label) for label in RAIN_LABELS])
-    return F.get(labels, F.coalesce(rank, F.lit(DEFAULT_RAIN_RANK)) - 1)
+# Rain text -> bucket; any other or missing text falls into the other bucket.  Buckets sort by amount.
+RAIN_BUCKET = {
+    "강수없음": "01_강수없음",
+    "1.0mm 미만": "02_1mm 미만",
+    "30.0~50.0mm": "04_30mm 이상 50mm 미만",
+    "50.0mm 이상": "05_50mm 이상",
+}
+OTHER_RAIN_BUCKET = "03_1mm 이상 30mm 미만"
+
+
+def rain_bucket(text: Column) -> Column:
+    known = F.create_map(*[F.lit(part) for pair in RAIN_BUCKET.items() for part in pair])
+    return F.coalesce(F.try_element_at(known, text), F.lit(OTHER_RAIN_BUCKET))
 
 
 def is_above_zero(number: Column) -> Column:

@@ -53,7 +53,7 @@ def with_neighbours(
         **{f"_next_{out}": src for out, src in following.items()},
         **{f"_seen_{out}": src for out, src in last_seen.items()},
     }
-    ranges = ranges or _ranges_for(df)
+    ranges = ranges or ranges_for(df)
     staged = materialize(
         df.repartitionByRange(ranges, *keys, *order).withColumn(_SEG, F.spark_partition_id()), "ranges"
     )
@@ -83,7 +83,7 @@ def with_neighbours(
     return dealt.select(*df.columns, _EDGE, *found).where(F.col(_EDGE) == 0).drop(_EDGE).unionByName(keyless)
 
 
-def _ranges_for(df: DataFrame) -> int:
+def ranges_for(df: DataFrame) -> int:
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(stored_bytes(df) / RANGE_BYTES))
 

@@ -87,16 +87,26 @@ def user_normalize(pages: DataFrame, request_type: str = "incremental") -> DataF
     )
 
 
-def usable_pages(pages: DataFrame, field: str) -> DataFrame:
+def _load_of(pages: DataFrame) -> Column:
+    return F.col("load").cast("string") if "load" in pages.columns else F.lit("")
+
+
+def page_ends(pages: DataFrame, field: str) -> DataFrame:
+    """``_load, _end``: the number of the first empty page of every load that has one."""
+    size = F.coalesce(F.size(F.col(field)), F.lit(0))
+    ends = pages.where(size <= 0).groupBy(_load_of(pages).alias("_load"))
+    return ends.agg(F.min(F.col("page").cast("bigint")).alias("_end"))
+
+
+def usable_pages(pages: DataFrame, field: str, ends: DataFrame | None = None) -> DataFrame:
     """Pages before the first empty one of their load; pages without a number are kept.
 
     A load stops at an empty page, and one that starts with it loads nothing.  Loads are told apart by a
-    column ``load`` if there is one.  What is joined is one number per load that has an empty page.
+    column ``load`` if there is one.  What is joined is one number per load that has an empty page: of
+    these pages, or of all that have come so far, given as ``ends``.
     """
-    size = F.coalesce(F.size(F.col(field)), F.lit(0))
-    load = F.col("load") if "load" in pages.columns else F.lit("")
-    ends = pages.where(size <= 0).groupBy(load.alias("_load")).agg(F.min("page").alias("_end"))
-    known = pages.withColumn("_of", load).join(ends, F.col("_of").eqNullSafe(F.col("_load")), "left")
+    ends = page_ends(pages, field) if ends is None else ends
+    known = pages.withColumn("_of", _load_of(pages)).join(ends, F.col("_of").eqNullSafe(F.col("_load")), "left")
     return known.where(F.col("_end").isNull() | F.col("page").isNull() | (F.col("page") < F.col("_end"))).select(*pages.columns)
 
 

@@ -73,7 +73,7 @@ def widen_items(items: DataFrame) -> DataFrame:
         {
             "_thunder": ("LGT", real),
             "precipitation": ("PTY", whole),
-            "_rain": ("RN1", weather.rain_rank(text)),
+            "_rain": ("RN1", weather.rain_bucket(text)),
             "sky_condition": ("SKY", whole),
             "temperatures": ("T1H", whole),
             "_humidity": ("REH", whole),
@@ -85,7 +85,7 @@ def widen_items(items: DataFrame) -> DataFrame:
         wall_from_parts(F.col("fcstDate"), F.col("fcstTime")).alias("forecast_at_kr"),
         weather.is_above_zero(F.col("_thunder")).alias("is_thunder"),
         "precipitation",
-        weather.rain_label(F.col("_rain")).alias("rain"),
+        F.coalesce("_rain", F.lit(weather.OTHER_RAIN_BUCKET)).alias("rain"),
         "sky_condition",
         "temperatures",
         weather.percentage(F.col("_humidity")).alias("humidity_rate"),

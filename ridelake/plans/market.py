@@ -21,6 +21,7 @@ from ridelake.operators.calendar import fill_days
 from ridelake.operators.groups import first_rows
 from ridelake.operators.joins import alternative_key_join, key_set, left_join_spreading_nulls, possibly_in
 from ridelake.operators.segments import with_neighbours
+from ridelake.operators.sketches import distinct_sketches, merged_counts
 from ridelake.session import materialize
 from ridelake.sources.scans import scan_trailing
 
@@ -598,6 +599,24 @@ def active_drivers(sessions: DataFrame, target: dt.date, days_back: int = 1) ->
     )
 
 
+def driver_sketches(sessions: DataFrame) -> DataFrame:
+    """A sketch of the drivers of ``active_drivers`` for each date, region and type; store it by day."""
+    qualifying = (F.col("session_duration_hour") >= 1) & (F.col("session_dropoff_count") > 0)
+    rows = sessions.where(qualifying).select(
+        F.col("session_start_date_kr").alias("date_kr"),
+        F.col("service_region").alias("region"),
+        labels.driver_type(F.col("vehicle_ride_type")).alias("driver_type"),
+        "driver_id",
+    )
+    return distinct_sketches(rows, ["date_kr", "region", "driver_type"], F.col("driver_id"))
+
+
+def active_drivers_approx(sketches: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Drivers active on any day of ``[first, last]`` per region and type, from the stored sketches."""
+    days = sketches.where(F.col("date_kr").between(F.lit(first), F.lit(last)))
+    return merged_counts(days, ["region", "driver_type"], "driver_active_count")
+
+
 # --- revenue ----------------------------------------------------------------
 
 

@@ -7,11 +7,11 @@ staged copy, so a table is never overwritten by a plan that still reads it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,18 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete_path(spark, path)
 
 
+@contextmanager
+def staged_and_measured(df: DataFrame, label: str, measures: Mapping[str, Column]) -> Iterator[tuple[DataFrame, dict]]:
+    """``staged`` with aggregates of the rows that were observed while they were written, so without another scan.
+
+    An aggregate must not be DISTINCT.
+    """
+    observation = Observation(label)
+    observed = df.observe(observation, *[column.alias(name) for name, column in measures.items()])
+    with staged(observed, label) as ready:
+        yield ready, observation.get
+
+
 def _by_day(df: DataFrame, day: str) -> DataFrame:
     """Rows of a day together, in tasks of even size: Spark splits heavy days and merges light ones by bytes."""
     return df.hint("rebalance", day)
@@ -78,13 +90,26 @@ def overwrite_days(df: DataFrame, path: str, day: str) -> None:
 
 def overwrite_day(df: DataFrame, path: str, target: dt.date, day: str = "date_kr") -> None:
     """Replace one day.  An empty result empties that day."""
+    _publish_day(df, path, target, day, {})
+
+
+#: Name of the row count among the measures of a day.
+ROW_COUNT = "row_count"
+
+
+def _publish_day(df: DataFrame, path: str, target: dt.date, day: str, expected: Mapping[str, tuple[Column, object]]) -> None:
+    """Stage one day, and publish it if what was observed while writing is as expected."""
     spark = df.sparkSession
     rows = df.where(F.col(day) == F.lit(target))
-    with staged(rows, "day") as ready:
-        if ready.isEmpty():
-            drop_day(spark, path, target, day)
-        else:
+    measures = {ROW_COUNT: F.count(F.lit(1)), **{name: column for name, (column, _) in expected.items()}}
+    with staged_and_measured(rows, "day", measures) as (ready, found):
+        wrong = [f"{name} is {found.get(name)} and not {value}" for name, (_, value) in expected.items() if found.get(name) != value]
+        if wrong:
+            raise ValueError(f"{target} was not published: " + "; ".join(wrong))
+        if found.get(ROW_COUNT):
             overwrite_days(ready, path, day)
+        else:
+            drop_day(spark, path, target, day)
 
 
 def drop_day(spark: SparkSession, path: str, target: dt.date | None, day: str) -> None:
@@ -104,17 +129,20 @@ def refresh_day(
     target: dt.date,
     day: str = "date_kr",
     checks: DataFrame | None = None,
+    expected: Mapping[str, tuple[Column, object]] | None = None,
 ) -> str:
     """Load one day unless it is there already: ``"skipped"`` or ``"loaded"``.
 
-    ``checks`` (rows of ``operators.quality``) must all pass before anything is written.
+    ``checks`` (rows of ``operators.quality``) must all pass before anything is written.  ``expected`` names
+    aggregates of the day's rows with the values they must have: they are observed while the day is staged, so
+    the source is read once, and a day that fails is not published.
     """
     spark = source.sparkSession
     if checks is not None:
         require(checks)
     if path_exists(spark, path) and is_day_loaded(spark.read.schema(source.schema).parquet(path), target, day):
         return "skipped"
-    overwrite_day(source, path, target, day)
+    _publish_day(source, path, target, day, expected or {})
     return "loaded"
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.plans.applog import wide_params
-from ridelake.plans.desk import dedupe_last_by_id
+from ridelake.plans.desk import dedupe_last_by_id, page_ends, usable_pages
 from ridelake.plans.forecast import ROW_KEYS, checked_pages, forecast_wide, rejected_pages
+from ridelake.session import path_exists
 from ridelake.sources.live import Live, live, publish, query_id
 from ridelake.sources.tables import upsert_table
 
@@ -81,14 +82,30 @@ def upsert_stream(
     day: str = "created_at",
     batch_order: str | None = None,
     trigger: dict | None = None,
+    entries: str | None = None,
+    ends: str | None = None,
 ) -> None:
     """Upsert every micro-batch of landed pages into a table.
 
     ``batch_order`` names a page column that orders pages across loads.
     Repeating a batch after a failure gives the same table.
+
+    ``entries`` names the page column that holds the records; a load then stops at its first empty page,
+    also for pages of later batches.  Where a load has ended is kept in the folder ``ends``, one number
+    per load.  Pages that came before the empty one was known stay loaded.
     """
+    if (entries is None) != (ends is None):
+        raise ValueError("the page end needs the records' column and a folder to remember it")
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int) -> None:
+        if entries:
+            own = page_ends(batch, entries)
+            if not own.isEmpty():
+                own.write.mode("overwrite").parquet(f"{ends}/batch={batch_id}")
+            spark = batch.sparkSession
+            if path_exists(spark, ends):
+                stored = spark.read.schema("_load STRING, _end BIGINT").parquet(ends)
+                batch = usable_pages(batch, entries, stored.groupBy("_load").agg(F.min("_end").alias("_end")))
         if batch_order:
             # Later loads come last: shift the page number by the load number.
             batch = batch.withColumn("page", F.struct(F.col(batch_order), F.col("page")))

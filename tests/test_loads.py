@@ -79,28 +79,22 @@ def test_forecast_load_and_targets(spark, tmp_path, rows):
     assert rows(spark.read.parquet(table), "h3_l7") == [("d",)]
 
 
-def test_metric_refresh_from_sql(spark, tmp_path):
-    from ridelake.catalog.queries import DEMAND_SQL
-    from ridelake.plans import market
+def test_refresh_from_sql(spark, tmp_path):
+    from ridelake.catalog.queries import QUALITY_SQL
 
     fx.ride_base(spark, "/root/testdata/sf0.001").createOrReplaceTempView("ride_base")
-    target, path = dt.date(2022, 5, 3), str(tmp_path / "demand")
-    report = scans.run_sql(spark, DEMAND_SQL, target_date=target, days_back=0, report_start=market.REPORT_START)
+    target, path = dt.date(2022, 5, 3), str(tmp_path / "quality")
+    report = scans.run_sql(spark, QUALITY_SQL, target_date=target, most_missing=0.5)
     assert tables.refresh_day(report, path, target) == "loaded"
     assert tables.refresh_day(report, path, target) == "skipped"
-    assert spark.read.parquet(path).count() == report.count() > 0
+    assert spark.read.parquet(path).count() == report.count() == 4
 
 
-def test_sql_and_plan_share_the_calendar(spark, rows):
-    from ridelake.catalog.queries import DEMAND_SQL
+def test_demand_starts_with_the_calendar(spark):
     from ridelake.plans import market
 
     early = fx.ride_base(spark, "/root/testdata/sf0.001").withColumn("date_kr", F.date_sub("date_kr", 170))
-    early.createOrReplaceTempView("ride_base")
-    last = dt.date(2021, 12, 1)
-    want = market.demand_daily(early, last, days_back=29)
-    got = scans.run_sql(spark, DEMAND_SQL, target_date=last, days_back=29, report_start=market.REPORT_START)
-    assert rows(got, "date_kr", "origin_region", "driver_type", "call_count_total") == rows(want, "date_kr", "origin_region", "driver_type", "call_count_total")
+    want = market.demand_daily(early, dt.date(2021, 12, 1), days_back=29)
     assert want.agg(F.min("date_kr")).first()[0] == market.REPORT_START
 
 
