@@ -20,17 +20,20 @@ escape: its payload is an index into ``escapes``.  The last word is padded with
 from __future__ import annotations
 
 import json
+import math
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ridelake.session import stored_bytes
+
 #: Values per word and their bits by selector, as the published code has them (selector 0 is used for escapes here).
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -111,11 +114,50 @@ class _Recent(dict):
         return found
 
 
-#: What the byte-level pre-tokenizer cuts texts into, here for ASCII and Latin-1 letters.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
-#: Other characters, for which the two regular-expression engines might disagree.
-_FOREIGN = re.compile(rf"[^\t\n\r -~{_LETTERS}]")
+# What the byte-level pre-tokenizer cuts texts by.  Classes of bytes, for ASCII and Latin-1 letters; texts
+# with anything else are encoded whole.
+_SPACE, _LETTER, _DIGIT, _OTHER, _FOREIGN = range(5)
+_LETTER_LEAD = 0xC3  # of U+00C0 to U+00FF in UTF-8; two of them are no letters
+_NO_LETTERS = (0x97, 0xB7)
+_CLASS = np.full(256, _FOREIGN, np.uint8)
+_CLASS[33:127] = _OTHER
+_CLASS[[9, 10, 13, 32]] = _SPACE
+_CLASS[48:58] = _DIGIT
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), _LETTER_LEAD]] = _LETTER
+_CONTRACTIONS = [b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d"]
+
+
+def piece_starts(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin, for texts without foreign bytes that lie between ``edges``.
+
+    A piece is a run of one class, with a space in front if there is one.  The last character of several spaces stands
+    apart from those before it unless the text ends there, and so does an apostrophe with the letters of a contraction.
+    """
+    n = len(data)
+    kind = np.full(n + 2, _FOREIGN, np.uint8)  # a place before and after, of no class
+    kind[1:-1] = _CLASS[data]
+    here, before, after = kind[1:-1], kind[:-2].copy(), kind[2:].copy()
+    first = edges[:-1][edges[:-1] < edges[1:]]
+    last = edges[1:][edges[:-1] < edges[1:]] - 1
+    before[first], after[last] = _FOREIGN, _FOREIGN
+    blank_before = np.zeros(n, bool)
+    blank_before[1:] = data[:-1] == 32
+    blank_before[first] = False
+    is_space = here == _SPACE
+    begins = np.where(is_space, (before != _SPACE) | ((after != _SPACE) & (after != _FOREIGN)), (before != here) & ~blank_before)
+    quotes = np.flatnonzero((data == 39) & begins & (after == _LETTER))
+    if len(quotes):
+        padded = np.r_[data, np.zeros(3, np.uint8)]
+        ends_at = last[np.searchsorted(last, quotes)] + 1
+        for known in _CONTRACTIONS:
+            same = quotes + len(known) <= ends_at
+            for k, byte in enumerate(known):
+                same &= padded[quotes + k] == byte
+            found = quotes[same]
+            begins[found + 1] = False
+            rest = found + len(known)
+            begins[rest[rest < ends_at[same]]] = True
+    return np.flatnonzero(begins)
 
 
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from code point 256 on.
@@ -127,11 +169,12 @@ class PieceEncoder:
     """The tokenizer, with the ids of frequent pieces kept.
 
     A byte-level tokenizer cuts a text into pieces before it merges, so a text's ids are those of its pieces one after the
-    other.  Texts with characters beyond Latin-1 letters or with special tokens, and all texts of tokenizers of another
-    kind, are encoded whole.
+    other.  The pieces of a block of texts are cut together, each distinct one is looked up once, and its ids are put
+    wherever it stands.  Texts with characters beyond Latin-1 letters or with special tokens, and all texts of tokenizers
+    of another kind, are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -140,8 +183,7 @@ class PieceEncoder:
         kind = json.loads(self.tokenizer.to_str())
         cutter = kind["pre_tokenizer"] or {}
         self.by_piece = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space") and not kind["normalizer"] and not kind["post_processor"]
-        special = [t["content"] for t in kind["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special)) if special else "(?!)")
+        self.special = [t["content"] for t in kind["added_tokens"]]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -152,11 +194,56 @@ class PieceEncoder:
         return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not self.by_piece or _FOREIGN.search(text) or self.special.search(text):
-            return self.whole(text)
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
-
+        """Ids of one text as little-endian unsigned 32-bit integers."""
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.StringArray) -> list[bytes]:
+        """``encode`` of every text; null ones are empty."""
+        plain = self._plain(texts) if self.by_piece else np.zeros(len(texts), bool)
+        out = [b""] * len(texts)
+        rows = np.flatnonzero(plain)
+        if len(rows):
+            own = texts.take(pa.array(rows))
+            data, edges = _bytes_of(own)
+            starts = piece_starts(data, edges)
+            cuts = np.r_[starts, len(data)].astype(np.int32)
+            coded = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
+            known = pa.array([*map(self.pieces.__getitem__, coded.dictionary.to_pylist())], pa.binary())
+            joined = known.take(coded.indices)
+            ids, ends = _bytes_of(joined)
+            at = ends[np.searchsorted(starts, edges)].tolist()
+            raw = memoryview(ids)
+            for row, begin, end in zip(rows.tolist(), at, at[1:], strict=False):
+                out[row] = bytes(raw[begin:end])
+        for row in np.flatnonzero(~plain).tolist():
+            text = texts[row].as_py()
+            out[row] = self.whole(text) if text else b""
+        return out
+
+    def _plain(self, texts: pa.StringArray) -> np.ndarray:
+        """Whether a text can be cut into pieces here."""
+        data, edges = _bytes_of(texts)
+        odd = _CLASS[data] == _FOREIGN
+        for byte in _NO_LETTERS:
+            odd[1:] |= (data[1:] == byte) & (data[:-1] == _LETTER_LEAD)
+        before = np.searchsorted(np.flatnonzero(odd), edges)
+        plain = before[1:] == before[:-1]
+        for token in self.special:
+            plain &= ~pa.compute.fill_null(pa.compute.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        return plain
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts or binaries, and where each begins, with the end."""
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    edges = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+    return data, edges - edges[0]
+
+
+#: Bytes of text whose pieces are looked up together, and of stored input for each range of ids.
+TEXT_BYTES, RANGE_BYTES = 8_000_000, 32 * 1024 * 1024
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -181,13 +268,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, bloc
 
     for batch in batches:
         id_type = batch["id"].type
-        for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids = (encoder.encode(text) if text else b"") + end
-            docs.append(doc)
-            parts.append(ids)
-            size += len(ids) // 4
-            if size >= block_ids:
-                yield flush(id_type)
+        sizes = np.diff(_bytes_of(batch["text"])[1])
+        part = (np.cumsum(sizes) - sizes) // TEXT_BYTES
+        cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, batch.num_rows].tolist()
+        for at, to in zip(cuts, cuts[1:], strict=False):
+            rows = batch.slice(at, to - at)
+            for doc, ids in zip(rows["id"].to_pylist(), encoder.encode_all(rows["text"]), strict=True):
+                docs.append(doc)
+                parts.append(ids + end)
+                size += len(ids) // 4 + 1
+                if size >= block_ids:
+                    yield flush(id_type)
     if docs:
         yield flush(id_type)
 
@@ -199,7 +290,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
     the order of their texts.  ``tokenizer`` must be readable on every executor.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").drop("tie")
+    # As many ranges as the bytes need, however few partitions the session shuffles into by default.
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(stored_bytes(rows) / RANGE_BYTES))
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(ranges, "id", "tie").sortWithinPartitions("id", "tie", "text").drop("tie")
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"shard int, block int, before long, n_ids long, doc_ids array<{id_type}>, lens binary, words binary, escapes binary"
     ordered.mapInArrow(lambda batches: _blocks(batches, tokenizer, end_id, block_ids), schema).write.option("compression", "zstd").parquet(path)
