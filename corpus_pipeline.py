@@ -1,6 +1,10 @@
 """A training corpus from ``documents``: the stages in order, each a DataFrame in and a DataFrame out.
 
-``run`` applies them to the table.  All stages but the last return the columns of ``documents``.
+``run`` applies them to the table.  All stages but the last return the columns of their input, whatever they are called.
+What a stage returns is lazy and may be read at any time: its staged tables stay until ``session.release_staging``.
+
+Null and empty texts fail the quality rules and go there; very long texts are treated whole; repeated rows and equal texts
+fall to the near-duplicate stage; rows without an id are nobody's copies; an empty table stays empty in every stage.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ridelake.llm import dart_minhash, decontaminate, mixing, quality_rules, token_store
 from ridelake.llm.queries import mix_levels, mix_weights, table, tokenizer_path
-from ridelake.llm.workers import release, share_code
+from ridelake.llm.workers import share_code
 from ridelake.session import staging_path
 
 
@@ -22,20 +26,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     share_code(spark)
-    release(spark, "quality-")  # what the stage before has staged: its result is written by now
     return dart_minhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat benchmark items; documents that are mostly such passages go."""
-    release(spark, "dart-", "links-", "labels-")
     items = table(spark, sf_dir, "benchmark")
     return decontaminate.clean_documents(docs, items)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target weights, each at most once."""
-    release(spark, "decontaminate-")
     drawn = mixing.mix(docs, budget_share=0.9, levels=mix_levels(), weights=mix_weights(), tokens=mixing.token_count("text"), seed=17, max_epochs=1)
     return drawn.select("row.*")
 
@@ -43,7 +44,6 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A binary token store of the corpus, and one row per document read back from it."""
     share_code(spark)
-    release(spark, "mix-")
     path = staging_path(spark, "corpus-tokens")
     token_store.write_store(docs, path, tokenizer_path())
     return token_store.read_store(spark, path)
@@ -51,7 +51,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_deduplicated", near_deduplicated), ("decontaminated", decontaminated), ("mixed", mixed), ("token_ids", token_ids)]
 
-#: The near-duplicate stage and the binary output have no SQL; the pipeline is tested against a brute-force version.
+#: The near-duplicate stage and the binary output have no SQL.  The tests hold the near-duplicate stage against all pairs and
+#: the others against plain versions of their decisions, on small tables.
 ORACLE_SQL = None
 
 
