@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.session import materialize
+from ridelake.llm.workers import materialize
 
 
 def components(links: DataFrame) -> DataFrame:

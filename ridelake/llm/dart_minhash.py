@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ridelake.llm.components import components
 from ridelake.llm.decontaminate import _FOLD, _WORD_BYTE
-from ridelake.session import materialize
+from ridelake.llm.workers import materialize
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.session import materialize
+from ridelake.llm.workers import materialize
 
 #: Bytes that belong to words: digits, letters and everything beyond ASCII.
 _WORD_BYTE = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -171,9 +171,6 @@ class ItemAutomaton:
                     items.add(item_id)
 
 
-_HITS = "id {id}, text string, n_words long, runs array<struct<start: int, end: int>>, items array<string>"
-
-
 def _scan(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     item_automaton = automaton.value
     run_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -211,12 +208,11 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     rows = items.select(F.coalesce(F.col(item_id_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("item_text")).filter(F.length("item_text") > 0)
     total = rows.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
-    id_type = docs.schema[id_col].dataType.simpleString()
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("runs"), F.expr("cast(array() as array<string>)").alias("items"))
     for shard in range(shards):
         own = rows.filter(F.pmod(F.xxhash64("item", "item_text"), F.lit(shards)) == shard).collect()
         automaton = docs.sparkSession.sparkContext.broadcast(ItemAutomaton([(r["item"], r["item_text"].encode()) for r in own], window))
-        found = found.mapInArrow(lambda batches, automaton=automaton: _scan(automaton, batches), _HITS.format(id=id_type))
+        found = found.mapInArrow(lambda batches, automaton=automaton: _scan(automaton, batches), found.schema)
         if shard + 1 < shards:
             found = materialize(found, "decontaminate")
     return found
@@ -250,8 +246,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, *, text_col: str = "text"
     hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     long_runs = F.filter("runs", lambda r: r["end"] - r["start"] > max_run)
     kept = found.filter(hit <= F.lit(max_coverage) * F.col("n_words")).select("id", "text", long_runs.alias("runs"))
-    id_type = found.schema["id"].dataType.simpleString()
-    cut = kept.mapInArrow(_cut, f"id {id_type}, text string, runs array<struct<start: int, end: int>>")
+    cut = kept.mapInArrow(_cut, kept.schema)
     n_chars = F.when(F.size("runs") > 0, F.length("text")).otherwise(F.col("id.n_chars")) if "n_chars" in rest else None
     shown = {c: F.col("text") if c == text_col else n_chars.cast(docs.schema[c].dataType) if c == "n_chars" else F.col(f"id.`{c}`") for c in docs.columns}
     return cut.select(*[column.alias(c) for c, column in shown.items()])

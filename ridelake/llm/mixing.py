@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.session import materialize
+from ridelake.llm.workers import materialize
 
 _BIG = "decimal(38,0)"
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.session import materialize
+from ridelake.llm.workers import materialize
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
