@@ -174,7 +174,7 @@ class PieceEncoder:
     of another kind, are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -243,7 +243,7 @@ def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes of text whose pieces are looked up together, and of stored input for each range of ids.
-TEXT_BYTES, RANGE_BYTES = 8_000_000, 32 * 1024 * 1024
+TEXT_BYTES, RANGE_BYTES = 4_000_000, 32 * 1024 * 1024
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -281,6 +281,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, bloc
                     yield flush(id_type)
     if docs:
         yield flush(id_type)
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds little
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, block_ids: int = 65_536) -> None:
