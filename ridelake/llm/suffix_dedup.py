@@ -7,7 +7,8 @@ equal anchors, so an anchor that only one document holds decides nothing, and wi
 2. Each chunk sends its distinct anchors, with the smallest and largest document that holds them.  Anchors of two documents
    are shared, and each chunk learns which of its own are.
 3. For a shared anchor, neighbouring windows form one string.  Each chunk sends its distinct strings with the smallest
-   document.  The strings of an anchor get one suffix array; windows that are equal are neighbours in it, and the smallest
+   document.  Windows whose hash occurs once are in one document only; strings are trimmed to what lies between the others.
+   The trimmed strings of an anchor get one suffix array; windows that are equal are neighbours in it, and the smallest
    document of each run of equal windows is the one that keeps them.
 4. Each chunk learns the first documents of the windows in its strings and cuts what belongs to earlier ones.
 
@@ -220,34 +221,101 @@ def _string_key(anchor: int, string: bytes) -> int:
     return xxhash.xxh3_64_intdigest(string, anchor & (2**64 - 1)) - 2**63
 
 
-def _holders_of_part(key: tuple, table: pa.Table, width: int) -> pa.Table:
+def _contested(strings: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first, end)`` of each string's windows between its first and last one whose hash another place has too.
+
+    ``first = end = 0`` where no window has.  Windows of different hashes differ, so what is outside is held once.
+    """
+    offsets = np.frombuffer(strings.buffers()[1], np.int32, len(strings) + 1, strings.offset * 4).astype(np.int64)
+    data = np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    windows = np.diff(offsets) - width + 1
+    hashes = _gram_hashes(data, width)
+    edges = np.r_[0, np.cumsum(windows)]
+    owner = np.repeat(np.arange(len(strings)), windows)
+    inside = np.arange(edges[-1]) - edges[owner]
+    hashes = hashes[offsets[owner] + inside]
+    order = np.argsort(hashes, kind="stable")
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.zeros(len(hashes), bool)
+    twice[order[1:][equal]] = True
+    twice[order[:-1][equal]] = True
+    first, end = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int64)
+    at = np.flatnonzero(twice)
+    if len(at):
+        names, begin = np.unique(owner[at], return_index=True)
+        first[names] = inside[at[begin]]
+        end[names] = inside[at[np.r_[begin[1:], len(at)] - 1]] + 1
+    return first, end
+
+
+def _runs_of_group(names: list[bytes], docs: list[int], places: list[int], first: list[int], end: list[int], width: int) -> list[list[tuple[int, int]]]:
+    """``first_holders`` of an anchor's distinct strings; only their contested windows go into the suffix array."""
+    least: dict[bytes, int] = {}
+    at: dict[bytes, int] = {}
+    inner = [s[a : b + width - 1] if b else b"" for s, a, b in zip(names, first, end, strict=True)]
+    for s, doc, place, a in zip(inner, docs, places, first, strict=True):
+        if s:
+            least[s] = min(least.get(s, doc), doc)
+            at[s] = place - a
+    found = first_holders(least, width, at) if least else {}
+    out = []
+    for s, cut, doc, a, b in zip(names, inner, docs, first, end, strict=True):
+        after = len(s) - width + 1 - b
+        out.append([(n, holder) for n, holder in ((a, doc), *found.get(cut, []), (after, doc)) if n])
+    return out
+
+
+def _holders_of_part(key: tuple, table: pa.Table, width: int, block: int = 2_000_000) -> pa.Table:
     """Which documents hold the windows first, for each chunk's strings: runs ``key, windows, document`` in lists."""
     table = table.combine_chunks()
     lists = {c: table[c].chunk(0) for c in ("anchors", "docs", "places", "strings")}
-    anchors, docs = lists["anchors"].flatten().to_numpy(), lists["docs"].flatten().to_numpy().tolist()
-    places = lists["places"].flatten().to_numpy().tolist()
+    anchors, docs, places = (lists[c].flatten().to_numpy() for c in ("anchors", "docs", "places"))
     strings = lists["strings"].flatten()
-    row = np.repeat(np.arange(table.num_rows), np.diff(lists["anchors"].offsets.to_numpy())).tolist()
+    row = np.repeat(np.arange(table.num_rows), np.diff(lists["anchors"].offsets.to_numpy()))
     order = np.argsort(anchors, kind="stable")
     cut = np.flatnonzero(np.diff(anchors[order])) + 1
+    groups = np.split(order, cut) if len(order) else []
+    lengths = pa.compute.binary_length(strings).to_numpy()
     keys: list[list[int]] = [[] for _ in range(table.num_rows)]
     windows: list[list[int]] = [[] for _ in range(table.num_rows)]
-    first: list[list[int]] = [[] for _ in range(table.num_rows)]
-    for group in np.split(order, cut):
-        own = [(i, strings[i].as_py()) for i in group.tolist()]
-        least: dict[bytes, int] = {}
-        for i, s in own:
-            least[s] = min(least.get(s, docs[i]), docs[i])
-        anchor = int(anchors[group[0]])
-        found = {s: (_string_key(anchor, s), runs) for s, runs in first_holders(least, width, {s: places[i] for i, s in own}).items()}
-        for i, s in own:
-            name, runs = found[s]
-            for n, doc in runs:
-                keys[row[i]].append(name)
-                windows[row[i]].append(n)
-                first[row[i]].append(doc)
+    holders: list[list[int]] = [[] for _ in range(table.num_rows)]
+
+    def settle(some: list[np.ndarray]) -> None:
+        """The groups of some anchors, hashed together."""
+        own = [{} for _ in some]  # the anchor's distinct strings: smallest document, place, rows that hold it
+        for group, found in zip(some, own, strict=True):
+            for s, doc, place, r in zip(strings.take(pa.array(group)).to_pylist(), docs[group].tolist(), places[group].tolist(), row[group].tolist(), strict=True):
+                if s in found:
+                    found[s][0] = min(found[s][0], doc)
+                    found[s][2].append(r)
+                else:
+                    found[s] = [doc, place, [r]]
+        first, end = _contested(pa.array([s for found in own for s in found], pa.binary()), width)
+        at = 0
+        for group, found in zip(some, own, strict=True):
+            anchor, till = int(anchors[group[0]]), at + len(found)
+            names, facts = list(found), list(found.values())
+            runs = _runs_of_group(names, [f[0] for f in facts], [f[1] for f in facts], first[at:till].tolist(), end[at:till].tolist(), width)
+            at = till
+            for s, fact, mine in zip(names, facts, runs, strict=True):
+                name = _string_key(anchor, s)
+                for r in fact[2]:
+                    keys[r] += [name] * len(mine)
+                    windows[r] += [n for n, _ in mine]
+                    holders[r] += [doc for _, doc in mine]
+
+    waiting, size = [], 0
+    for group in groups:
+        waiting.append(group)
+        size += int(lengths[group].sum())
+        if size >= block:
+            settle(waiting)
+            waiting, size = [], 0
+    if waiting:
+        settle(waiting)
     lists_of = lambda v, t: pa.array(v, pa.list_(t))
-    return pa.table([table["chunk"], lists_of(keys, pa.int64()), lists_of(windows, pa.int32()), lists_of(first, pa.int64())], ["chunk", "keys", "windows", "first"])
+    return pa.table([table["chunk"], lists_of(keys, pa.int64()), lists_of(windows, pa.int32()), lists_of(holders, pa.int64())], ["chunk", "keys", "windows", "first"])
 
 
 def _cut_chunk(key: tuple, docs: pa.Table, shared: pa.Table, holders: pa.Table, width: int) -> pa.Table:
