@@ -10,7 +10,8 @@ is still empty, its time is doubled and more darts are thrown.
 Candidates are verified by the exact similarity of the shingle sets.  Texts with equal shingle sets are one class from the
 start.  In a band's bucket not all pairs are formed: every member is compared with the bucket's most central document and
 found links are joined to components.  Members that are still apart are compared further only where their differences from
-that document allow a link: where they share an added shingle, or lack many of its shingles and add few.
+that document allow a link: where they share an added shingle, or lack many of its shingles and add few.  Shared added
+shingles are looked at from the rarest on, and only as long as what is left of them suffices for a link.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.llm.components import components
@@ -297,17 +298,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     second = materialize(second.union(short).distinct(), "dart-pairs")
     links = links.unionByName(links_of(second))
     labels = components(links)
-    again = labelled(places.drop("label", "size"), labels)
+    again = labelled(places.drop("label"), labels)
     mixed = again.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("place")
-    again = materialize(again.join(mixed, "place"), "dart-rest")
-    # What two texts have in common is at most the shingles that both lack and the added ones that they share.
-    left = again.select("place", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "label", "d", "extra", "w", "g")])
-    right = again.select("place", "hub", *[F.col(c).alias(f"{c}_y") for c in ("id", "label", "d", "extra", "w", "g")])
-    lack, needed = F.least("d_x", "d_y"), F.col("g_x") + F.col("w_y") - slack
-    possible = (1 + threshold) * (lack + F.least("extra_x", "extra_y")) >= needed
-    met = left.join(right, ["place", "hub"]).filter((F.col("label_x") != F.col("label_y")) & (F.col("id_x") < F.col("id_y")) & possible)
-    met = met.groupBy("hub", F.col("id_x").alias("a"), F.col("id_y").alias("b")).agg(F.count("*").alias("common"), F.max(lack).alias("lack"), F.min(needed).alias("needed"))
-    rest = met.filter((1 + threshold) * (F.col("lack") + F.col("common")) >= F.col("needed")).select("a", "b").distinct().join(second, ["a", "b"], "left_anti")
+    again = again.join(mixed, "place")
+    # What two texts have in common is at most the shingles that both lack and the added ones that they share.  Places are
+    # ordered by size: at the first place of a pair, it shares at most as many as either text has from there on (`left`).
+    # Whatever its partner, x must share at least g_x - t d_x added shingles, so its last places cannot be a pair's first.
+    ranked = again.withColumn("left", F.row_number().over(Window.partitionBy("hub", "id").orderBy(F.desc("size"), F.desc("place"))))
+    again = materialize(ranked.filter(F.col("left") >= F.col("g") - threshold * F.col("d") - slack), "dart-rest")
+    # Of the texts that are linked to a place's centre, no two are asked about.
+    centre_label = again.join(places_hub, "place").filter("id = centre").select("place", F.col("label").alias("central"))
+    left = again.join(centre_label, "place", "left").filter("central IS NULL OR label <> central")
+    left = left.select("place", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "label", "d", "left", "w", "g")])
+    right = again.select("place", "hub", *[F.col(c).alias(f"{c}_y") for c in ("id", "label", "d", "left", "w", "g")])
+    possible = (1 + threshold) * (F.least("d_x", "d_y") + F.least("left_x", "left_y")) >= F.col("g_x") + F.col("w_y") - slack
+    met = left.join(right, ["place", "hub"]).filter((F.col("label_x") != F.col("label_y")) & possible)
+    rest = met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct().join(second, ["a", "b"], "left_anti")
     links = links.unionByName(links_of(rest)).unionByName(copies)
     labels = components(links)
     return signed.select("id").join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("id", F.coalesce("label", "id").alias("class_id"))

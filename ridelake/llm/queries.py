@@ -55,7 +55,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes = dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    classes = dart_minhash.near_duplicates(table(spark, sf_dir, "documents"), weighted=True)
     return classes.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
 
 
