@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ridelake.llm.components import components
 from ridelake.llm.decontaminate import _FOLD, _WORD_BYTE
 from ridelake.llm.workers import materialize
+from ridelake.operators.joins import key_set, possibly_in
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -246,7 +247,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     buckets = materialize(buckets.join(central, "id").select("bucket", "id", "n", "central"), "dart-buckets")
     hub_of = buckets.groupBy("bucket").agg(F.min_by(F.struct("id", "n"), F.struct(-F.col("central"), "id")).alias("hub"))
     involved = buckets.select("id").distinct()
-    sets = source.join(involved, "id", "left_semi").mapInArrow(lambda b: _sets(b, width, weighted), f"id {id_type}, keys binary")
+    # Most texts share no bucket: a bounded bitmap of ids leaves them where they are read.
+    sets = possibly_in(source, "id", key_set(involved, "id")).join(involved, "id", "left_semi").mapInArrow(lambda b: _sets(b, width, weighted), f"id {id_type}, keys binary")
     sets = materialize(sets.dropDuplicates(["id", "keys"]), "dart-sets")
 
     def compared(pairs: DataFrame) -> DataFrame:
