@@ -274,60 +274,64 @@ def _holders_of_part(key: tuple, table: pa.Table, width: int, block: int = 2_000
     strings = lists["strings"].flatten()
     row = np.repeat(np.arange(table.num_rows), np.diff(lists["anchors"].offsets.to_numpy()))
     order = np.argsort(anchors, kind="stable")
-    cut = np.flatnonzero(np.diff(anchors[order])) + 1
-    groups = np.split(order, cut) if len(order) else []
-    lengths = pa.compute.binary_length(strings).to_numpy()
+    last = np.flatnonzero(np.r_[anchors[order][1:] != anchors[order][:-1], True]) + 1 if len(order) else order
+    total = np.r_[0, np.cumsum(pa.compute.binary_length(strings).to_numpy()[order])]
     keys: list[list[int]] = [[] for _ in range(table.num_rows)]
     windows: list[list[int]] = [[] for _ in range(table.num_rows)]
     holders: list[list[int]] = [[] for _ in range(table.num_rows)]
 
-    def settle(some: list[np.ndarray]) -> None:
-        """The groups of some anchors, hashed together."""
-        own = [{} for _ in some]  # the anchor's distinct strings: smallest document, place, rows that hold it
-        for group, found in zip(some, own, strict=True):
-            for s, doc, place, r in zip(strings.take(pa.array(group)).to_pylist(), docs[group].tolist(), places[group].tolist(), row[group].tolist(), strict=True):
-                if s in found:
-                    found[s][0] = min(found[s][0], doc)
-                    found[s][2].append(r)
-                else:
-                    found[s] = [doc, place, [r]]
-        first, end = _contested(pa.array([s for found in own for s in found], pa.binary()), width)
-        at = 0
-        for group, found in zip(some, own, strict=True):
-            anchor, till = int(anchors[group[0]]), at + len(found)
-            names, facts = list(found), list(found.values())
-            runs = _runs_of_group(names, [f[0] for f in facts], [f[1] for f in facts], first[at:till].tolist(), end[at:till].tolist(), width)
-            at = till
-            for s, fact, mine in zip(names, facts, runs, strict=True):
+    def settle(at: np.ndarray) -> None:
+        """The strings of some anchors, all of each; those of anchors with several distinct strings are hashed together."""
+        own: dict[int, dict[bytes, list]] = {}  # by anchor its distinct strings: smallest document, place, rows that hold it
+        facts = (strings.take(pa.array(at)).to_pylist(), anchors[at].tolist(), docs[at].tolist(), places[at].tolist(), row[at].tolist())
+        for s, anchor, doc, place, r in zip(*facts, strict=True):
+            found = own.setdefault(anchor, {})
+            if s in found:
+                found[s][0] = min(found[s][0], doc)
+                found[s][2].append(r)
+            else:
+                found[s] = [doc, place, [r]]
+        several = pa.array([s for found in own.values() if len(found) > 1 for s in found], pa.binary())
+        first, end = (v.tolist() for v in _contested(several, width)) if len(several) else ([], [])
+        done = 0
+        for anchor, found in own.items():
+            names, mine = list(found), list(found.values())
+            till = done + len(found) if len(found) > 1 else done
+            if any(end[done:till]):
+                runs = _runs_of_group(names, [f[0] for f in mine], [f[1] for f in mine], first[done:till], end[done:till], width)
+            else:
+                runs = [[(len(s) - width + 1, f[0])] for s, f in found.items()]
+            done = till
+            for s, fact, of in zip(names, mine, runs, strict=True):
                 name = _string_key(anchor, s)
                 for r in fact[2]:
-                    keys[r] += [name] * len(mine)
-                    windows[r] += [n for n, _ in mine]
-                    holders[r] += [doc for _, doc in mine]
-
-    waiting, size = [], 0
-    for group in groups:
-        waiting.append(group)
-        size += int(lengths[group].sum())
-        if size >= block:
-            settle(waiting)
-            waiting, size = [], 0
-    if waiting:
-        settle(waiting)
+                    for n, doc in of:
+                        keys[r].append(name)
+                        windows[r].append(n)
+                        holders[r].append(doc)
+
+    begin = 0
+    while begin < len(order):
+        full = np.searchsorted(total[last], total[begin] + block)
+        till = int(last[min(full, len(last) - 1)])
+        settle(order[begin:till])
+        begin = till
     lists_of = lambda v, t: pa.array(v, pa.list_(t))
     return pa.table([table["chunk"], lists_of(keys, pa.int64()), lists_of(windows, pa.int32()), lists_of(holders, pa.int64())], ["chunk", "keys", "windows", "first"])
 
 
 def _cut_chunk(key: tuple, docs: pa.Table, shared: pa.Table, holders: pa.Table, width: int) -> pa.Table:
-    names, counts, first = (holders[c].combine_chunks().flatten().to_pylist() if holders.num_rows else [] for c in ("keys", "windows", "first"))
-    runs: dict[int, list[tuple[int, int]]] = {}
-    for name, n, doc in zip(names, counts, first, strict=True):
-        runs.setdefault(name, []).append((n, doc))
+    names, counts, first = (holders[c].combine_chunks().flatten().to_numpy() if holders.num_rows else np.zeros(0, np.int64) for c in ("keys", "windows", "first"))
+    # A string's runs follow each other, and each string of the chunk is answered once.
+    start = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
+    runs = dict(zip(names[start].tolist(), zip(start.tolist(), [*start[1:].tolist(), len(names)], strict=False), strict=False))
+    counts, first = counts.tolist(), first.tolist()
     ids = docs["doc"].to_numpy()
     spans: dict[int, list[list[int]]] = {}
     for row, begin, _, anchor, string in _shared_runs(docs, _flat(shared, "shared"), width):
         own, at = int(ids[row]), begin
-        for n, doc in runs[_string_key(anchor, string)]:
+        for k in range(*runs[_string_key(anchor, string)]):
+            n, doc = counts[k], first[k]
             if doc < own:
                 mine = spans.setdefault(row, [])
                 if mine and at <= mine[-1][1]:
