@@ -4,8 +4,8 @@ Every string of ``width`` bytes (a window) contains an anchor: its ``GRAM``-byte
 equal anchors, so an anchor that only one document holds decides nothing, and windows of different anchors never meet.
 
 1. Documents are dealt into chunks by a hash of the id, and the text is bucketed by chunk once.
-2. Each chunk sends its distinct anchors, with the smallest and largest document that holds them.  Anchors of two documents
-   are shared, and each chunk learns which of its own are.
+2. Each chunk sends its distinct anchors, and whether several documents of it hold them.  Anchors of two documents are
+   shared, and each chunk learns which of its own are.
 3. For a shared anchor, neighbouring windows form one string.  Each chunk sends its distinct strings with the smallest
    document.  Windows whose hash occurs once are in one document only; strings are trimmed to what lies between the others.
    The trimmed strings of an anchor get one suffix array; windows that are equal are neighbours in it, and the smallest
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.chunks import bucketed_texts, lists_by_part, part_of, texts_of
+from ridelake.llm.chunks import LAST, bucketed_texts, lists_by_part, part_of, texts_of
 from ridelake.llm.dart_minhash import mix
 from ridelake.llm.suffix_array import suffix_array
 from ridelake.session import materialize
@@ -83,11 +83,19 @@ def window_runs(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
     return np.searchsorted(starts, begin, side="right") - 1, begin, end - begin, least[begin], hashes
 
 
+#: What a chunk says of an anchor: only rows without an id hold it (one document over all chunks), one document, or several.
+_NO_ID, _ONE, _SEVERAL = 0, 1, 2
+
+
+def _first_of_equal(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+
+
 def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Smallest ``low`` and largest ``high`` of equal keys."""
     order = np.argsort(key, kind="stable")
     key, low, high = key[order], low[order], high[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    first = _first_of_equal(key)
     return key[first], np.minimum.reduceat(low, first) if len(key) else low, np.maximum.reduceat(high, first) if len(key) else high
 
 
@@ -97,25 +105,30 @@ def _anchors_of_chunk(key: tuple, table: pa.Table, width: int, n_parts: int) ->
         doc, _, _, anchor, _ = window_runs(data, starts, width)
         found.append(_combine(anchor, ids[doc], ids[doc]))
     anchor, low, high = _combine(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    held = np.where(low < high, _SEVERAL, np.where(low < LAST, _ONE, _NO_ID)).astype(np.int8)
     part = part_of(anchor, n_parts)
     order = np.argsort(part, kind="stable")
-    out = lists_by_part(part[order], [("anchors", anchor[order].astype(np.int64)), ("low", low[order]), ("high", high[order])], n_parts)
+    out = lists_by_part(part[order], [("anchors", anchor[order].astype(np.int64)), ("held", held[order])], n_parts)
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
 def _shared_of_part(key: tuple, table: pa.Table) -> pa.Table:
-    """The anchors that two documents hold, for each chunk that has them."""
+    """The anchors that two documents hold, for each chunk that has them.
+
+    A document with an id is in one chunk, so an anchor of two chunks has two documents unless both hold it in rows without.
+    """
     table = table.combine_chunks()
-    lists = {c: table[c].chunk(0) for c in ("anchors", "low", "high")}
-    flat = {c: v.flatten().to_numpy() for c, v in lists.items()}
+    lists = {c: table[c].chunk(0) for c in ("anchors", "held")}
+    anchors, held = lists["anchors"].flatten().to_numpy(), lists["held"].flatten().to_numpy()
     owner = np.repeat(np.arange(table.num_rows), np.diff(lists["anchors"].offsets.to_numpy()))
-    anchor, low, high = _combine(flat["anchors"], flat["low"], flat["high"])
-    shared = anchor[low < high]
+    order = np.argsort(anchors, kind="stable")
+    first = _first_of_equal(anchors[order])
+    most = np.maximum.reduceat(held[order], first) if len(first) else held
+    chunks = np.diff(np.r_[first, len(anchors)])
+    shared = np.repeat((most == _SEVERAL) | ((chunks > 1) & (most == _ONE)), chunks)
     inside = np.zeros(len(owner), bool)
-    if len(shared):
-        place = np.minimum(np.searchsorted(shared, flat["anchors"]), len(shared) - 1)
-        inside = shared[place] == flat["anchors"]
-    out = lists_by_part(owner[inside], [("shared", flat["anchors"][inside])], table.num_rows)
+    inside[order[shared]] = True
+    out = lists_by_part(owner[inside], [("shared", anchors[inside])], table.num_rows)
     chunk = table["chunk"].to_numpy()[out["part"].to_numpy()]
     return pa.table([pa.array(chunk, pa.int32()), out["shared"]], ["chunk", "shared"])
 
@@ -370,7 +383,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def one(key: tuple, table: pa.Table) -> pa.Table:
         return _anchors_of_chunk(key, table, width, n_parts)
 
-    anchors = texts.select("chunk", "doc", "text").groupBy("chunk").applyInArrow(one, "part int, anchors array<long>, low array<long>, high array<long>, chunk int")
+    anchors = texts.select("chunk", "doc", "text").groupBy("chunk").applyInArrow(one, "part int, anchors array<long>, held array<tinyint>, chunk int")
     shared = anchors.groupBy("part").applyInArrow(_shared_of_part, "chunk int, shared array<long>")
     shared = materialize(shared, "shared-anchors")
 
