@@ -530,22 +530,24 @@ def stream_upsert(spark, sf_dir):
     return _show_ticket(spark.read.parquet(path).select(*_ticket_rows(first).columns))
 
 
-def _land_in_turns(spark: SparkSession, sf_dir: str, turns: list[Column], name: str) -> DataFrame:
-    """The events as a stream of one micro-batch for each condition, in this order."""
-    landed = staging_path(spark, name)
-    events = fx.table(spark, sf_dir, "events")
+def load_in_turns(turns: list[DataFrame], landed: str, load: Callable[[DataFrame], None]) -> None:
+    """Land one frame after the other, each in its own parts, and load what is new: one micro-batch for each, in this order."""
     for turn in turns:
-        events.where(turn).coalesce(1).write.mode("append").parquet(landed)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        turn.write.mode("append").parquet(landed)
+        load(turn.sparkSession.readStream.schema(turn.schema).parquet(landed))
+
+
+def _event_turns(spark: SparkSession, sf_dir: str, turns: list[Column]) -> list[DataFrame]:
+    events = fx.table(spark, sf_dir, "events")
+    return [events.where(turn) for turn in turns]
 
 
 @query
 def stream_sessions(spark, sf_dir):
     """Every third event comes with the first batch, so later ones widen and join stored sessions."""
     turns = [F.col("event_id") % 3 == n for n in (1, 0, 2)]
-    events = _land_in_turns(spark, sf_dir, turns, "session-events")
-    out, state = staging_path(spark, "sessions"), staging_path(spark, "sessions-state")
-    complete.sessions_table(events, F.col("user_id"), F.col("ts"), out, state)
+    landed, out, state = (staging_path(spark, name) for name in ("session-events", "sessions", "sessions-state"))
+    load_in_turns(_event_turns(spark, sf_dir, turns), landed, lambda events: complete.sessions_table(events, F.col("user_id"), F.col("ts"), out, state))
     return read_live(spark, out, complete.SESSIONS)
 
 
@@ -554,9 +556,9 @@ def stream_late_rows(spark, sf_dir):
     """Three batches with copies and late rows: every row is kept, late, or a counted copy."""
     e = F.col("event_id")
     turns = [e % 3 == 0, (e % 3 == 1) | (e % 30 == 0), (e % 3 == 2) | (e % 20 == 1)]
-    events = _land_in_turns(spark, sf_dir, turns, "late-events")
-    out, state = staging_path(spark, "late"), staging_path(spark, "late-state")
-    complete.dedupe_with_late(events, "event_id", "ts", out, state, dt.timedelta(days=10))
+    landed, out, state = (staging_path(spark, name) for name in ("late-events", "late", "late-state"))
+    load_in_turns(_event_turns(spark, sf_dir, turns), landed, lambda events: complete.dedupe_with_late(events, "event_id", "ts", out, state, dt.timedelta(days=10)))
+    events = fx.table(spark, sf_dir, "events")
     nothing = F.lit(None).cast("bigint")
     kept = complete.kept_rows(spark, out, events.schema).select(F.lit("kept").alias("outcome"), "event_id", nothing.alias("n"))
     late = complete.late_rows(spark, out, events.schema).select(F.lit("late").alias("outcome"), "event_id", nothing.alias("n"))
@@ -579,14 +581,9 @@ def stream_page_end(spark, sf_dir):
     nobody = F.array().cast(pages.schema["users"].dataType)
     first = pages.where(page < 3).withColumn("users", F.when(page == 2, nobody).otherwise(F.col("users")))
     rest, other = pages.where(page > 2), pages.where((page > 3) & (page % 2 == 0))
-    landed = staging_path(spark, "ended")
-    first.withColumn("load", F.lit("a")).coalesce(1).write.mode("append").parquet(landed)
-    second = rest.withColumn("load", F.lit("a")).unionByName(other.withColumn("load", F.lit("b")))
-    second.coalesce(1).write.mode("append").parquet(landed)
-    schema = first.withColumn("load", F.lit("a")).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
-    path, state, ends = (staging_path(spark, f"ended-{name}") for name in ("users", "state", "ends"))
-    streaming.upsert_stream(stream, desk.user_normalize, path, state, batch_order="load", entries="users", ends=ends)
+    turns = [first.withColumn("load", F.lit("a")), rest.withColumn("load", F.lit("a")).unionByName(other.withColumn("load", F.lit("b")))]
+    landed, path, state, ends = (staging_path(spark, f"ended-{name}") for name in ("pages", "users", "state", "ends"))
+    load_in_turns(turns, landed, lambda pages: streaming.upsert_stream(pages, desk.user_normalize, path, state, batch_order="load", entries="users", ends=ends))
     return spark.read.parquet(path).select("id", "external_id", "role")
 
 

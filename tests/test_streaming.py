@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.catalog import fixtures as fx
+from ridelake.catalog.queries import load_in_turns
 from ridelake.plans import desk, forecast
 from ridelake.plans.applog import wide_params
 from ridelake.sources.live import Live, live, publish, read_live
@@ -186,3 +187,15 @@ def test_readers_always_have_a_result(spark, tmp_path, rows):
         assert before.count() == n  # who has listed the old one can still read it
     assert read_live(spark, path, schema).count() == 4 and live(spark, path).has("q", 3) and not live(spark, path).has("other", 3)
     assert sorted(p.name for p in (tmp_path / "r").iterdir() if p.name.startswith("v")) == ["v2", "v3"]
+
+
+def test_turns_land_in_all_their_parts(spark, tmp_path):
+    landed, state, seen = str(tmp_path / "in"), str(tmp_path / "state"), []
+    turns = [spark.range(0, 100, 1, 3), spark.range(100, 130, 1, 2)]
+    files = lambda: len([*(tmp_path / "in").glob("*.parquet")])
+
+    def load(stream):
+        jobs.for_each_batch(stream, lambda batch, n: seen.append((n, files(), batch.count(), batch.agg(F.min("id")).first()[0])), state, "append", None)
+
+    load_in_turns(turns, landed, load)
+    assert seen == [(0, 3, 100, 0), (1, 5, 30, 100)]
