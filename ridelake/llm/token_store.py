@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -99,19 +100,41 @@ def unpack(words: bytes, escapes: bytes, n: int) -> np.ndarray:
     return out[:n]
 
 
-class _Recent(dict):
-    """Ids by piece of text: the last ``most`` to twice as many pieces that were asked for, so frequent ones stay."""
+#: Pieces are seldom longer than some words; beyond so many bytes only those of the last block are kept.
+RECENT_BYTES = 64_000_000
 
-    def __init__(self, make: Callable[[str], bytes], most: int):
-        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece) or self.make(piece)
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = found
-        return found
+class _Recent:
+    """Ids by piece of text, in columns: the ``most`` pieces that were asked for last, and all of the last block."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.block = make, most, 0
+        self.names, self.ids, self.used = pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros(0, np.int32)
+
+    def of(self, pieces: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """A table of ids and the place of each of the distinct ``pieces`` in it."""
+        self.block += 1
+        at = pa.compute.index_in(pieces, value_set=self.names)
+        new = pieces.filter(at.is_null())
+        self.used[at.drop_null().to_numpy()] = self.block
+        if len(self.names) + len(new) > self.most or self.names.nbytes > RECENT_BYTES:
+            # The longest unused go first; those of this block stay.
+            asked = int((self.used == self.block).sum())
+            room = asked if self.names.nbytes > RECENT_BYTES else min(max(self.most - len(new), asked), len(self.used))
+            kept = np.sort(np.argsort(-self.used, kind="stable")[:room])
+            self.names, self.ids, self.used = self.names.take(pa.array(kept)), self.ids.take(pa.array(kept)), self.used[kept]
+            place = np.full(int(kept.max(initial=-1)) + 1, -1)
+            place[kept] = np.arange(len(kept))
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            moved = np.zeros(len(at), np.int32)
+            moved[known] = place[at.drop_null().to_numpy()]
+            at = pa.array(moved, mask=~known)
+        places = at.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        places[at.is_null().to_numpy(zero_copy_only=False)] = len(self.names) + np.arange(len(new))
+        made = pa.array([*map(self.make, new.to_pylist())], pa.binary())
+        self.names, self.ids = pa.concat_arrays([self.names, new]), pa.concat_arrays([self.ids, made])
+        self.used = np.r_[self.used, np.full(len(new), self.block, np.int32)]
+        return self.ids, places
 
 
 # What the byte-level pre-tokenizer cuts texts by.  Classes of bytes, for ASCII and Latin-1 letters; texts
@@ -174,7 +197,7 @@ class PieceEncoder:
     of another kind, are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 100_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -191,7 +214,8 @@ class PieceEncoder:
     def _merge(self, piece: str) -> bytes:
         """Ids of one piece, straight from the tokenizer's model."""
         shown = piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of one text as little-endian unsigned 32-bit integers."""
@@ -208,8 +232,8 @@ class PieceEncoder:
             starts = piece_starts(data, edges)
             cuts = np.r_[starts, len(data)].astype(np.int32)
             coded = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
-            known = pa.array([*map(self.pieces.__getitem__, coded.dictionary.to_pylist())], pa.binary())
-            joined = known.take(coded.indices)
+            known, places = self.pieces.of(coded.dictionary)
+            joined = known.take(pa.array(places[coded.indices.to_numpy()]))
             ids, ends = _bytes_of(joined)
             at = ends[np.searchsorted(starts, edges)].tolist()
             raw = memoryview(ids)

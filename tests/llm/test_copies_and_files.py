@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import prose
@@ -123,6 +124,37 @@ def test_pieces_give_the_ids_of_the_whole_text():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, repr(text)
 
 
+def test_recent_pieces_are_made_once(monkeypatch):
+    made = []
+
+    def make(piece):
+        made.append(piece)
+        return piece.encode() * 2
+
+    def ask(recent, names):
+        ids, places = recent.of(pa.array(names, pa.string()))
+        assert ids.take(pa.array(places)).to_pylist() == [n.encode() * 2 for n in names]
+
+    rng, recent = random.Random(3), token_store._Recent(make, 6)
+    for _ in range(200):
+        ask(recent, rng.sample("abcdefghijkl", rng.randrange(0, 9)))
+        assert len(recent.names) == len(recent.ids) == len(recent.used) <= 9 and len({*recent.names.to_pylist()}) == len(recent.names)
+    made.clear()
+    for names in ("abcd", "ef", "abef", "gh", "abgh"):  # c and d are the longest unused
+        ask(recent, names)
+    assert made.count("a") <= 1 and made.count("g") <= 1
+    monkeypatch.setattr(token_store, "RECENT_BYTES", 3)
+    ask(recent, "xya")
+    assert sorted(recent.names.to_pylist()) == ["a", "x", "y"]
+    made.clear()
+    many, large = [f"w{n}" for n in range(250_000)], token_store.PieceEncoder(queries.tokenizer_path()).pieces
+    monkeypatch.setattr(token_store, "RECENT_BYTES", 64_000_000)
+    large.make = make
+    for _ in range(2):
+        large.of(pa.array(many))
+    assert len(made) == len(many)
+
+
 def test_store_round_trip(sc, make, messy, tmp_path):
     path = str(tmp_path / "store")
     token_store.write_store(make(messy), path, queries.tokenizer_path(), block_ids=500)
