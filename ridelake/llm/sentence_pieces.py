@@ -146,7 +146,7 @@ def _parts(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
             yield batch.slice(at, end - at)
 
 
-def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8_000_000) -> DataFrame:
+def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1_000_000) -> DataFrame:
     """``id, ids`` of every whole text, exactly as the library encodes it, without begin and end ids.
 
     A null or empty text has no ids.  Ids are carried as they are: null and repeated ones are rows of their own, an empty
@@ -166,7 +166,7 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, schema)
 
 
-def decode(rows: DataFrame, model: str, *, id_col: str = "id", ids_col: str = "ids", block_ids: int = 2_000_000) -> DataFrame:
+def decode(rows: DataFrame, model: str, *, id_col: str = "id", ids_col: str = "ids", block_ids: int = 250_000) -> DataFrame:
     """``id, ids, text``: the library's text of every list of ids.
 
     A null or empty list gives the empty text.  Ids outside the vocabulary are an error, as in the library.

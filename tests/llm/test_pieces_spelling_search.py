@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -259,3 +262,24 @@ def test_ids_of_any_type(sc):
     docs = sc.createDataFrame([("b", "same text"), ("a", "same text"), (None, "same text"), ("c", None)], "doc_id STRING, text STRING")
     assert found_in(sc, docs, padded([(1, "text")]))[0][2] == "a"
     assert [r[2] for r in found_in(sc, docs, padded([(1, "text")]))] == ["a", "b", None]
+
+
+def test_a_block_of_texts_stays_small():
+    """What encoding and decoding 10 MB of one batch adds to a worker, at the usual block sizes."""
+    code = """
+import inspect, random, resource, numpy as np, pyarrow as pa
+from ridelake.llm import queries, sentence_pieces as sp
+table, rng = sp.PieceTable(queries.piece_model_path()), random.Random(1)
+texts = pa.array([" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 10))) for _ in range(300)) for _ in range(5000)])
+usual = [inspect.signature(f).parameters[n].default for f, n in ((sp.encode, "block_bytes"), (sp.decode, "block_ids"))]
+table.decode(table.encode(["warm"]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for part in sp._parts(pa.RecordBatch.from_arrays([texts], ["text"]), np.diff(sp._edges(texts)), usual[0]):
+    ids = table.encode(part["text"].to_pylist())
+    for own in sp._parts(pa.RecordBatch.from_arrays([ids], ["ids"]), np.diff(ids.offsets.to_numpy()), usual[1]):
+        table.decode(own["ids"])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1000)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, env={**os.environ, "PYTHONPATH": os.pathsep.join([root, *sys.path])}, check=True)
+    assert int(found.stdout) < 250
