@@ -24,16 +24,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.llm.chunks import LAST, bucketed_texts, lists_by_part, part_of, texts_of
-from ridelake.llm.dart_minhash import mix
+from ridelake.llm.dart_minhash import _powers, mix
 from ridelake.llm.suffix_array import suffix_array
 from ridelake.session import materialize
 
 GRAM = 24
+#: Bytes of text that are hashed together: their arrays stay in a core's cache.
+PART_BYTES = 125_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -101,7 +102,7 @@ def _combine(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
 
 def _anchors_of_chunk(key: tuple, table: pa.Table, width: int, n_parts: int) -> pa.Table:
     found = [(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for _, ids, data, starts in texts_of(table):
+    for _, ids, data, starts in texts_of(table, PART_BYTES):
         doc, _, _, anchor, _ = window_runs(data, starts, width)
         found.append(_combine(anchor, ids[doc], ids[doc]))
     anchor, low, high = _combine(*(np.concatenate(x) for x in zip(*found, strict=True)))
@@ -133,22 +134,48 @@ def _shared_of_part(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([pa.array(chunk, pa.int32()), out["shared"]], ["chunk", "shared"])
 
 
-def _shared_runs(table: pa.Table, shared: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """``(row, first byte in its text, place of the anchor in the string, anchor, string)`` of runs with a shared anchor."""
-    for rows, _, data, starts in texts_of(table):
+def _shared_runs(table: pa.Table, shared: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Bytes of parts of a chunk, and of their runs with a shared anchor ``(row, first byte in its text, windows, first byte of
+    the string, its end, place of the anchor in it, anchor)``."""
+    for rows, _, data, starts in texts_of(table, PART_BYTES):
         doc, begin, windows, anchor, hashes = window_runs(data, starts, width)
         if not len(shared) or not len(anchor):
             continue
         signed = anchor.astype(np.int64)
         place = np.minimum(np.searchsorted(shared, signed), len(shared) - 1)
         keep = shared[place] == signed
-        raw = data.tobytes()
         doc, begin, windows, anchor, signed = (v[keep] for v in (doc, begin, windows, anchor, signed))
         # Every window of a run holds the anchor, so it starts in the last window's first bytes.
         tried = np.minimum((begin + windows - 1)[:, None] + np.arange(width - GRAM + 1), len(hashes) - 1)
         places = windows - 1 + (hashes[tried] == anchor[:, None]).argmax(axis=1)
-        for d, b, n, at, a in zip(doc.tolist(), begin.tolist(), windows.tolist(), places.tolist(), signed.tolist(), strict=True):
-            yield int(rows[d]), b - int(starts[d]), at, a, raw[b : b + n + width - 1]
+        yield data, rows[doc], begin - starts[doc], windows, begin, begin + windows + width - 1, places, signed
+
+
+def _slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The strings ``data[begin:end]``."""
+    edges = np.r_[0, np.cumsum(end - begin)]
+    own = data[np.arange(edges[-1]) + np.repeat(begin - edges[:-1], end - begin)]
+    return pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(edges), pa.py_buffer(own)])
+
+
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    """``n`` powers or more; those for parts of the usual size are kept."""
+    if n > 1 << 22:
+        return _powers(base, n)
+    if len(_TABLES.get(base, ())) < n:
+        _TABLES[base] = _powers(base, 1 << (n - 1).bit_length())
+    return _TABLES[base]
+
+
+def _string_keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Hash of each string ``data[begin:end]`` with its anchor: a difference of prefix sums, moved to power 0."""
+    prefix = np.zeros(len(data) + 1, _U)
+    np.cumsum(_BYTE[data] * _power_table(_BASE, len(data))[: len(data)], dtype=_U, out=prefix[1:])
+    own = (prefix[end] - prefix[begin]) * _power_table(pow(_BASE, -1, 1 << 64), len(data))[begin]
+    return mix(mix(own + (end - begin).astype(_U)) ^ anchor.astype(_U)).astype(np.int64)
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:
@@ -157,18 +184,21 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
 
 def _strings_of_chunk(key: tuple, docs: pa.Table, shared: pa.Table, width: int, n_parts: int) -> pa.Table:
     ids = docs["doc"].to_numpy()
-    first: dict[tuple[int, bytes], int] = {}
-    places: dict[tuple[int, bytes], int] = {}
-    for row, _, at, anchor, string in _shared_runs(docs, _flat(shared, "shared"), width):
-        doc = int(ids[row])
-        if first.setdefault((anchor, string), doc) > doc:
-            first[anchor, string] = doc
-        places[anchor, string] = at
-    anchor = np.fromiter((a for a, _ in first), np.int64, len(first))
+    found = [(pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for data, row, _, _, begin, end, at, own in _shared_runs(docs, _flat(shared, "shared"), width):
+        found.append((_slices(data, begin, end), ids[row], at, own))
+    coded = pa.concat_arrays([f[0] for f in found]).dictionary_encode()
+    doc, at, own = (np.concatenate(v) for v in list(zip(*found, strict=True))[1:])
+    del found
+    name, n = coded.indices.to_numpy(), len(coded.dictionary)
+    # Equal strings have the same anchor at the same place.
+    anchor, places, first = np.zeros(n, np.int64), np.zeros(n, np.int32), np.full(n, LAST)
+    anchor[name], places[name] = own, at
+    np.minimum.at(first, name, doc)
     part = part_of(anchor.astype(_U), n_parts)
     order = np.argsort(part, kind="stable")
-    strings = pa.array([s for _, s in first], pa.binary()).take(pa.array(order))
-    out = lists_by_part(part[order], [("anchors", anchor[order]), ("docs", np.fromiter(first.values(), np.int64, len(first))[order]), ("places", np.fromiter((places[k] for k in first), np.int32, len(first))[order]), ("strings", strings)], n_parts)
+    strings = coded.dictionary.take(pa.array(order)).cast(pa.binary())
+    out = lists_by_part(part[order], [("anchors", anchor[order]), ("docs", first[order]), ("places", places[order]), ("strings", strings)], n_parts)
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
@@ -230,8 +260,10 @@ def first_holders(strings: dict[bytes, int], width: int, places: dict[bytes, int
 _SYMBOL = range(2, 258)
 
 
-def _string_key(anchor: int, string: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(string, anchor & (2**64 - 1)) - 2**63
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the strings, and where each begins, with the end."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int32, len(strings) + 1, strings.offset * 4).astype(np.int64)
+    return np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def _contested(strings: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,9 +271,7 @@ def _contested(strings: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
     ``first = end = 0`` where no window has.  Windows of different hashes differ, so what is outside is held once.
     """
-    offsets = np.frombuffer(strings.buffers()[1], np.int32, len(strings) + 1, strings.offset * 4).astype(np.int64)
-    data = np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets -= offsets[0]
+    data, offsets = _bytes_of(strings)
     windows = np.diff(offsets) - width + 1
     hashes = _gram_hashes(data, width)
     edges = np.r_[0, np.cumsum(windows)]
@@ -295,15 +325,18 @@ def _holders_of_part(key: tuple, table: pa.Table, width: int, block: int = 2_000
 
     def settle(at: np.ndarray) -> None:
         """The strings of some anchors, all of each; those of anchors with several distinct strings are hashed together."""
-        own: dict[int, dict[bytes, list]] = {}  # by anchor its distinct strings: smallest document, place, rows that hold it
-        facts = (strings.take(pa.array(at)).to_pylist(), anchors[at].tolist(), docs[at].tolist(), places[at].tolist(), row[at].tolist())
-        for s, anchor, doc, place, r in zip(*facts, strict=True):
+        own: dict[int, dict[bytes, list]] = {}  # by anchor its distinct strings: smallest document, place, rows that hold it, name
+        block_of = strings.take(pa.array(at))
+        data, edges = _bytes_of(block_of)
+        names_of = _string_keys(data, edges[:-1], edges[1:], anchors[at])
+        facts = (block_of.to_pylist(), anchors[at].tolist(), docs[at].tolist(), places[at].tolist(), row[at].tolist(), names_of.tolist())
+        for s, anchor, doc, place, r, name in zip(*facts, strict=True):
             found = own.setdefault(anchor, {})
             if s in found:
                 found[s][0] = min(found[s][0], doc)
                 found[s][2].append(r)
             else:
-                found[s] = [doc, place, [r]]
+                found[s] = [doc, place, [r], name]
         several = pa.array([s for found in own.values() if len(found) > 1 for s in found], pa.binary())
         first, end = (v.tolist() for v in _contested(several, width)) if len(several) else ([], [])
         done = 0
@@ -316,10 +349,9 @@ def _holders_of_part(key: tuple, table: pa.Table, width: int, block: int = 2_000
                 runs = [[(len(s) - width + 1, f[0])] for s, f in found.items()]
             done = till
             for s, fact, of in zip(names, mine, runs, strict=True):
-                name = _string_key(anchor, s)
                 for r in fact[2]:
                     for n, doc in of:
-                        keys[r].append(name)
+                        keys[r].append(fact[3])
                         windows[r].append(n)
                         holders[r].append(doc)
 
@@ -336,22 +368,29 @@ def _holders_of_part(key: tuple, table: pa.Table, width: int, block: int = 2_000
 def _cut_chunk(key: tuple, docs: pa.Table, shared: pa.Table, holders: pa.Table, width: int) -> pa.Table:
     names, counts, first = (holders[c].combine_chunks().flatten().to_numpy() if holders.num_rows else np.zeros(0, np.int64) for c in ("keys", "windows", "first"))
     # A string's runs follow each other, and each string of the chunk is answered once.
-    start = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
-    runs = dict(zip(names[start].tolist(), zip(start.tolist(), [*start[1:].tolist(), len(names)], strict=False), strict=False))
-    counts, first = counts.tolist(), first.tolist()
+    start = _first_of_equal(names)
+    length = np.diff(np.r_[start, len(names)])
+    order = np.argsort(names[start], kind="stable")
+    known, start, length = names[start][order], start[order], length[order]
     ids = docs["doc"].to_numpy()
     spans: dict[int, list[list[int]]] = {}
-    for row, begin, _, anchor, string in _shared_runs(docs, _flat(shared, "shared"), width):
-        own, at = int(ids[row]), begin
-        for k in range(*runs[_string_key(anchor, string)]):
-            n, doc = counts[k], first[k]
-            if doc < own:
-                mine = spans.setdefault(row, [])
-                if mine and at <= mine[-1][1]:
-                    mine[-1][1] = at + n + width - 1
-                else:
-                    mine.append([at, at + n + width - 1])
-            at += n
+    for data, row, at, _, begin, end, _, anchor in _shared_runs(docs, _flat(shared, "shared"), width):
+        asked = _string_keys(data, begin, end, anchor)
+        place = np.searchsorted(known, asked)
+        if not (known[np.minimum(place, len(known) - 1)] == asked).all():
+            raise ValueError("a string of this chunk has no answer")
+        owner = np.repeat(np.arange(len(row)), length[place])
+        own_first = np.cumsum(length[place]) - length[place]
+        item = np.arange(len(owner)) - own_first[owner] + start[place][owner]
+        n = counts[item]
+        before = np.cumsum(n) - n
+        low = at[owner] + before - before[own_first][owner]
+        row = row[owner]
+        gone = first[item] < ids[row]
+        row, low, high = row[gone], low[gone], (low + n + width - 1)[gone]
+        new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (low[1:] > high[:-1])]) if len(row) else row
+        for r, a, b in zip(row[new].tolist(), low[new].tolist(), high[np.r_[new[1:], len(row)] - 1].tolist() if len(row) else (), strict=True):
+            spans.setdefault(r, []).append([a, b])
     raw = docs["text"].cast(pa.binary()).to_pylist()
     n_bytes, kept = [], []
     for row, text in enumerate(raw):

@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import prose
 from pyspark.sql import functions as F
@@ -184,6 +185,25 @@ def brute_repeats(rows, width=50):
     return sorted(out)
 
 
+def test_string_keys_follow_the_string():
+    """The key of a string is the same wherever it lies, in whatever block of text; strings are taken out as they are."""
+    rng = random.Random(7)
+    one = bytes(rng.choice(b"ab") for _ in range(5_000))
+    two = one[700:900] * 30
+    at = np.array([700, 701, 40, 0, 4_990])
+    end = at + np.array([60, 90, 50, 5_000, 10])
+    data = [np.frombuffer(x, np.uint8) for x in (one, two)]
+    anchor = np.arange(5)
+    keys = suffix_dedup._string_keys(data[0], at, end, anchor)
+    assert suffix_dedup._slices(data[0], at, end).to_pylist() == [one[a:b] for a, b in zip(at, end, strict=True)]
+    for n in (0, 30):
+        same = suffix_dedup._string_keys(data[1], at[:2] - 700 + 200 * (n % 29), end[:2] - 700 + 200 * (n % 29), anchor[:2])
+        assert same.tolist() == keys[:2].tolist()
+    many = np.array([(a, a + n) for a in range(3_000) for n in (50, 51, 64)])
+    found = suffix_dedup._string_keys(data[0], many[:, 0], many[:, 1], np.zeros(len(many), np.int64))
+    assert len({*found.tolist()}) == len({one[a:b] for a, b in many.tolist()})
+
+
 def test_repeated_strings(make, messy):
     rng = random.Random(9)
     pool = [prose(rng, 30) for _ in range(4)]
