@@ -349,7 +349,8 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
-    placed = blocks.join(offsets, "shard").withColumn("start", F.col("shard_start") + F.col("before"))
+    # One row per file: the blocks, which are the whole store, stay where they are read.
+    placed = blocks.join(F.broadcast(offsets), "shard").withColumn("start", F.col("shard_start") + F.col("before"))
     id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     return placed.select("start", "n_ids", "doc_ids", "lens", "words", "escapes").mapInArrow(lambda batches: _documents(batches, with_ids), schema)
