@@ -247,13 +247,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     buckets = materialize(buckets.join(central, "id").select("bucket", "id", "n", "central"), "dart-buckets")
     hub_of = buckets.groupBy("bucket").agg(F.min_by(F.struct("id", "n"), F.struct(-F.col("central"), "id")).alias("hub"))
     involved = buckets.select("id").distinct()
-    # Most texts share no bucket: a bounded bitmap of ids leaves them where they are read.
-    sets = possibly_in(source, "id", key_set(involved, "id")).join(involved, "id", "left_semi").mapInArrow(lambda b: _sets(b, width, weighted), f"id {id_type}, keys binary")
-    sets = materialize(sets.dropDuplicates(["id", "keys"]), "dart-sets")
+    # Most texts share no bucket: a bounded bitmap of ids leaves them where they are read.  The ids are distinct; as a left
+    # semi join Spark would move this one in front of the bitmap, and with it every text.
+    needed = possibly_in(source, "id", key_set(involved, "id")).join(involved, "id").select("id", "text").dropDuplicates(["id", "text"])
+    sets = materialize(needed.mapInArrow(lambda b: _sets(b, width, weighted), f"id {id_type}, keys binary"), "dart-sets")
 
     def compared(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("a"), F.col("keys").alias("keys_a"))
-        right = sets.select(F.col("id").alias("b"), F.col("keys").alias("keys_b"))
+        left, right = (possibly_in(sets, "id", key_set(pairs, c)).select(F.col("id").alias(c), F.col("keys").alias(f"keys_{c}")) for c in "ab")
         joined = pairs.join(left, "a").join(right, "b")
         return joined.mapInArrow(_compare, f"a {id_type}, b {id_type}, n_a int, n_b int, common int, added array<long>")
 
@@ -265,7 +265,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # 1. Every member of a bucket against its hub.
     hubs = hub_of.select("bucket", F.col("hub.id").alias("hub"))
     starred = buckets.join(hubs, "bucket").filter("id <> hub")
-    facts = materialize(compared(starred.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()), "dart-facts")
+    first = materialize(starred.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "dart-stars")
+    facts = materialize(compared(first), "dart-facts")
     links = facts.filter(is_link).select("a", "b")
     labels = components(links)
 
@@ -316,6 +317,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     possible = (1 + threshold) * (F.least("d_x", "d_y") + F.least("left_x", "left_y")) >= F.col("g_x") + F.col("w_y") - slack
     met = left.join(right, ["place", "hub"]).filter((F.col("label_x") != F.col("label_y")) & possible)
     rest = met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct().join(second, ["a", "b"], "left_anti")
+    rest = materialize(rest, "dart-pairs")
     links = links.unionByName(links_of(rest)).unionByName(copies)
     labels = components(links)
     return signed.select("id").join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("id", F.coalesce("label", "id").alias("class_id"))
