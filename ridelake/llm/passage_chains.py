@@ -13,6 +13,7 @@
    the document asks again: steps 2 to 4 run over it with MORE times as many holders of each seed, until no holder is unseen.
 
 A passage held by a third of all documents is not paired among its holders as long as they find it in one of the first.
+With ``all_holders`` it is: documents ask on for seeds inside passages too, and every link between two holders is given.
 """
 
 from __future__ import annotations
@@ -379,7 +380,7 @@ def _serve(key: tuple, docs: pa.Table, wishes: pa.Table) -> pa.Table:
     return pa.table([pa.array(asker, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(words, pa.binary())], ["chunk", "other", "start", "words"])
 
 
-def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min_identity: float, some: bool) -> pa.Table:
+def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min_identity: float, some: bool, all_holders: bool) -> pa.Table:
     if some:
         docs = docs.filter(pa.compute.is_in(docs["text_key"], pa.array(_flat(answers, "open")[0], pa.int64())))
     found = {k: answers.filter(pa.compute.equal(answers["kind"], k)) for k in (0, 1)}
@@ -406,13 +407,13 @@ def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min
                     if min(b - a, d - c) >= min_words and matches >= min_identity * max(b - a, d - c):
                         passages[row].append({"other": other, "start": a, "end": b, "other_start": c, "other_end": d, "matches": matches})
         if keys[row] in marks:
-            again[row] = _open_seeds(*marks[keys[row]], passages[row], min_words // 2)
+            again[row] = _open_seeds(*marks[keys[row]], [] if all_holders else passages[row], min_words // 2)
     kind = pa.list_(pa.struct([("other", pa.int64()), *((c, pa.int32()) for c in ("start", "end", "other_start", "other_end", "matches"))]))
     out = [docs["id"], pa.array(n_words, pa.int64()), pa.array([sorted(p, key=lambda x: (x["start"], x["other"])) for p in passages], kind)]
     return pa.table([*out, docs["chunk"], docs["doc"], docs["text_key"], pa.array(again, pa.list_(pa.int64()))], ["id", "n_words", "passages", "chunk", "doc", "text_key", "again"])
 
 
-def _round(keyed: DataFrame, first: DataFrame, opened: DataFrame | None, n_chunks: int, id_type: str, min_words: int, min_identity: float) -> DataFrame:
+def _round(keyed: DataFrame, first: DataFrame, opened: DataFrame | None, n_chunks: int, id_type: str, min_words: int, min_identity: float, all_holders: bool) -> DataFrame:
     """Passages with the holders that ``first`` has, of all rows or of those that ``opened`` names, and the seeds asked again."""
     found = keyed.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(lambda key, left, right: _chains_of_chunk(key, left, right, min_words // 2), "chunk int, doc long, text_key long, other long, segments array<int>, at array<long>, seeds array<long>, unseen array<boolean>")
     found = materialize(found, "passage-chains")
@@ -427,10 +428,10 @@ def _round(keyed: DataFrame, first: DataFrame, opened: DataFrame | None, n_chunk
     if some:
         answers = answers.unionByName(opened.select("chunk", F.lit(2).alias("kind"), "open"), allowMissingColumns=True)
     schema = f"id {id_type}, n_words long, passages array<struct<other: long, start: int, end: int, other_start: int, other_end: int, matches: int>>, chunk int, doc long, text_key long, again array<long>"
-    return keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda key, left, right: _passages(key, left, right, min_words, min_identity, some), schema)
+    return keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda key, left, right: _passages(key, left, right, min_words, min_identity, some, all_holders), schema)
 
 
-def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 30, min_identity: float = 0.7, chunk_bytes: int = 16_000_000) -> DataFrame:
+def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 30, min_identity: float = 0.7, chunk_bytes: int = 16_000_000, all_holders: bool = False) -> DataFrame:
     """``id, n_words, passages`` of every row.
 
     A passage is a stretch ``[start, end)`` of at least ``min_words`` words that aligns with a stretch of the document
@@ -438,6 +439,9 @@ def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     decontamination operator.  A repeated passage is reported in all documents but the first, with the first document that
     holds its seeds, or where that shares no passage with further earlier holders; it is found if it has chained seeds of
     ``min_words // 2`` words with any of them.  Null and empty texts have no words.
+
+    With ``all_holders`` a repeated passage is reported with every earlier document that it is chained with, none left out;
+    the links grow with the square of a passage's holders then.
     Rows with equal ids are one document and do not match each other; rows without an id are together the last document.
     Other columns are ignored.
     """
@@ -450,7 +454,7 @@ def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     held, answers, opened = first.filter("part IS NOT NULL"), first.filter("part IS NULL").withColumn("open", no_list), None
     done, most = [], 1
     while True:
-        last = materialize(_round(keyed, answers, opened, n_chunks, id_type, min_words, min_identity), "passage-round")
+        last = materialize(_round(keyed, answers, opened, n_chunks, id_type, min_words, min_identity, all_holders), "passage-round")
         done.append(last.filter(F.size("again") == 0).select("id", "n_words", "passages"))
         asking = last.filter(F.size("again") > 0)
         if asking.isEmpty():
