@@ -36,6 +36,8 @@ SEED, REACH = 8, 8
 GAP_COST, MAX_GAP, MARGIN = 0.25, 64, 24
 #: Growth of the number of a seed's holders from one round to the next.
 MORE = 8
+#: Pairs of words that are aligned together; chains of a chunk that are aligned together.
+ALIGNED, CHAINS = 2048, 10_000
 _U = np.uint64
 
 
@@ -101,6 +103,13 @@ def _flat(table: pa.Table, *columns: str) -> list[np.ndarray]:
     return [table[c].combine_chunks().flatten().to_numpy() if table.num_rows else np.zeros(0, np.int64) for c in columns]
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(range, item)`` of all items of the ranges ``[low, high)``."""
+    n = high - low
+    owner = np.repeat(np.arange(len(n)), n)
+    return owner, np.arange(len(owner)) - (np.cumsum(n) - n - low)[owner]
+
+
 def _answers(chunk: np.ndarray, ask: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, at: np.ndarray, most: int) -> pa.Table:
     """Up to ``most`` first holders of each asked seed before the asker's last document, and whether there are more.
 
@@ -109,8 +118,7 @@ def _answers(chunk: np.ndarray, ask: np.ndarray, last: np.ndarray, seed: np.ndar
     low, high = np.searchsorted(seed, ask), np.searchsorted(seed, ask, side="right")
     earlier = np.array([np.searchsorted(doc[a:b], d) for a, b, d in zip(low.tolist(), high.tolist(), last.tolist(), strict=True)], np.int64)
     n = np.minimum(earlier, most)
-    owner = np.repeat(np.arange(len(ask)), n)
-    item = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + low[owner]
+    owner, item = _ranges(low, low + n)
     kinds, rank = np.unique(chunk, return_inverse=True)
     out = lists_by_part(rank[owner], [("seeds", ask[owner]), ("docs", doc[item]), ("places", at[item].astype(np.int32)), ("unseen", (earlier > most)[owner].astype(np.int32))], len(kinds))
     number = kinds[out["part"].to_numpy()] if out.num_rows else np.zeros(0, np.int32)
@@ -160,13 +168,15 @@ def _asks(key: tuple, table: pa.Table, n_parts: int) -> pa.Table:
     return out.append_column("chunk", pa.array([key[0].as_py()] * out.num_rows, pa.int32()))
 
 
-def segments(here: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int]]:
-    """``(start here, start there, words)`` of touching matches on one diagonal; matches are seeds' places."""
-    order = np.lexsort((here, here - there))
-    here, there = here[order], there[order]
-    cut = np.flatnonzero((np.diff(here - there) != 0) | (np.diff(here) > SEED)) + 1
-    first, last = np.r_[0, cut], np.r_[cut, len(here)] - 1
-    return sorted(zip(here[first].tolist(), there[first].tolist(), (here[last] - here[first] + SEED).tolist(), strict=True))
+def segments(pair: np.ndarray, here: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``pair, start here, start there, words`` of touching matches on one diagonal of a pair of documents, sorted; matches are seeds' places."""
+    order = np.lexsort((here, here - there, pair))
+    pair, here, there = pair[order], here[order], there[order]
+    cut = np.flatnonzero((np.diff(pair) != 0) | (np.diff(here - there) != 0) | (np.diff(here) > SEED)) + 1
+    first, last = (np.r_[0, cut], np.r_[cut, len(here)] - 1) if len(here) else (cut, cut)
+    pair, here, there, words = pair[first], here[first], there[first], here[last] - here[first] + SEED
+    order = np.lexsort((words, there, here, pair))
+    return pair[order], here[order], there[order], words[order]
 
 
 class PrefixMaximum:
@@ -229,48 +239,78 @@ def chains(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
     return out
 
 
-def align(a: np.ndarray, b: np.ndarray, whole: bool) -> tuple[int, int, int]:
-    """``(matches, words of a, words of b)`` of the best alignment that starts at the front of both.
+def alignments(pairs: list[tuple[np.ndarray, np.ndarray]], whole: bool) -> np.ndarray:
+    """``matches, words of a, words of b`` of the best alignment of each ``(a, b)`` that starts at the front of both.
 
     Matches count 1, other columns -1.  ``whole``: the alignment uses all words; otherwise it ends where it is worth most.
+    Pairs of similar lengths are aligned together, a row of all their tables at a time.
     """
-    n, m = len(a), len(b)
-    steps = np.arange(m + 1)
-    row, same = -steps.astype(np.int64), np.zeros(m + 1, np.int64)
-    best = (0, 0, 0, 0)
-    for i in range(1, n + 1):
-        hit = (b == a[i - 1]).astype(np.int64)
-        diagonal = row[:-1] + 2 * hit - 1
-        up = row - 1
-        new = up.copy()
-        new[1:] = np.maximum(up[1:], diagonal)
-        matched = same.copy()
-        take = diagonal >= up[1:]
-        matched[1:] = np.where(take, same[:-1] + hit, same[1:])
+    out = np.zeros((len(pairs), 3), np.int64)
+    sizes = np.array([(len(a), len(b)) for a, b in pairs], np.int64).reshape(-1, 2)
+    order = np.lexsort((sizes[:, 1], sizes[:, 0]))
+    for at in range(0, len(order), ALIGNED):
+        own = order[at : at + ALIGNED]
+        out[own] = _aligned([pairs[k] for k in own.tolist()], sizes[own, 0], sizes[own, 1], whole)
+    return out
+
+
+def _aligned(pairs: list[tuple[np.ndarray, np.ndarray]], n: np.ndarray, m: np.ndarray, whole: bool) -> np.ndarray:
+    """The alignments of pairs of ``n`` and ``m`` words, sorted by ``n``; a pair is a column."""
+    a, b = np.zeros((n.max(), len(n)), _U), np.zeros((m.max(), len(n)), _U)
+    for words, sizes, side in ((a, n, 0), (b, m, 1)):
+        column = np.repeat(np.arange(len(n)), sizes)
+        words[np.arange(len(column)) - np.repeat(np.cumsum(sizes) - sizes, sizes), column] = np.concatenate([p[side] for p in pairs])
+    steps = np.arange(len(b) + 1, dtype=np.int32)[:, None]
+    row, same = np.repeat(-steps, len(n), axis=1), np.zeros((len(b) + 1, len(n)), np.int32)
+    best, value = np.zeros((len(n), 3), np.int64), np.zeros(len(n), np.int32)
+    if whole:
+        best[:, 1], best[:, 2] = n, m
+    for i in range(1, len(a) + 1):
+        # Pairs whose words of a are used up are done.
+        done = np.searchsorted(n, i) - (len(n) - row.shape[1])
+        row, same = row[:, done:], same[:, done:]
+        live = np.arange(len(n) - row.shape[1], len(n))
+        hit = (b[:, live[0] :] == a[i - 1, live[0] :]).astype(np.int32)
+        diagonal, up = row[:-1] + 2 * hit - 1, row - 1
+        new, matched = up.copy(), same.copy()
+        np.maximum(up[1:], diagonal, out=new[1:])
+        matched[1:] = np.where(diagonal >= up[1:], same[:-1] + hit, same[1:])
         # Words of b alone: the best start to the left, one less for each step.
         lifted = new + steps
-        source = np.maximum.accumulate(np.where(lifted == np.maximum.accumulate(lifted), steps, 0))
-        row, same = lifted[source] - steps, matched[source]
-        if not whole:
-            j = int(row.argmax())
-            if row[j] > best[0]:
-                best = (int(row[j]), int(same[j]), i, j)
-    return (int(same[m]), n, m) if whole else best[1:]
+        highest = np.maximum.accumulate(lifted, axis=0)
+        source = np.maximum.accumulate(np.where(lifted == highest, steps, 0), axis=0)
+        row, same = highest - steps, np.take_along_axis(matched, source, axis=0)
+        if whole:
+            ended = np.flatnonzero(n[live] == i)
+            best[live[ended], 0] = same[m[live[ended]], ended]
+        else:
+            j = np.where(steps <= m[live], row, -len(a) - len(b) - 1).argmax(axis=0)
+            worth = row[j, np.arange(len(live))]
+            better = np.flatnonzero(worth > value[live])
+            value[live[better]] = worth[better]
+            best[live[better]] = np.stack([same[j[better], better], np.full(len(better), i), j[better]], axis=1)
+    return best
 
 
-def passage(chain: list[tuple[int, int, int]], here: np.ndarray, there: np.ndarray, offset: int) -> tuple[int, int, int, int, int]:
-    """``(start here, end here, start there, end there, matches)`` of a chain, aligned.
+def passages_of(found: list[tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray, int]]) -> list[tuple[int, int, int, int, int]]:
+    """``(start here, end here, start there, end there, matches)`` of each ``(chain, here, there, offset)``, aligned.
 
     ``there`` holds the earlier document's words from ``offset`` on.
     """
-    h0, t0, n = chain[0]
-    front = align(here[max(0, h0 - MARGIN) : h0][::-1], there[max(0, t0 - offset - MARGIN) : t0 - offset][::-1], False)
-    matches = front[0] + n
-    for (h, t, n), (h2, t2, n2) in zip(chain, chain[1:], strict=False):
-        matches += n2 + align(here[h + n : h2], there[t + n - offset : t2 - offset], True)[0]
-    h1, t1 = chain[-1][0] + chain[-1][2], chain[-1][1] + chain[-1][2]
-    back = align(here[h1 : h1 + MARGIN], there[t1 - offset : t1 - offset + MARGIN], False)
-    return h0 - front[1], h1 + back[1], t0 - front[2], t1 + back[2], matches + back[0]
+    ends, gaps, owners = [], [], []
+    for k, (chain, here, there, offset) in enumerate(found):
+        (h0, t0, _), h1, t1 = chain[0], chain[-1][0] + chain[-1][2], chain[-1][1] + chain[-1][2]
+        ends.append((here[max(0, h0 - MARGIN) : h0][::-1], there[max(0, t0 - offset - MARGIN) : t0 - offset][::-1]))
+        ends.append((here[h1 : h1 + MARGIN], there[t1 - offset : t1 - offset + MARGIN]))
+        for (h, t, n), (h2, t2, _) in zip(chain, chain[1:], strict=False):
+            gaps.append((here[h + n : h2], there[t + n - offset : t2 - offset]))
+            owners.append(k)
+    front, back = (side.tolist() for side in np.split(alignments(ends, False).reshape(-1, 6), 2, axis=1))
+    between = np.bincount(np.array(owners, np.int64), alignments(gaps, True)[:, 0], len(found)).astype(np.int64).tolist()
+    return [
+        (chain[0][0] - f[1], chain[-1][0] + chain[-1][2] + e[1], chain[0][1] - f[2], chain[-1][1] + chain[-1][2] + e[2], f[0] + sum(n for _, _, n in chain) + gap + e[0])
+        for (chain, *_), f, e, gap in zip(found, front, back, between, strict=True)
+    ]
 
 
 def _open_seeds(at: np.ndarray, seed: np.ndarray, unseen: np.ndarray, passages: list[dict], min_seed_words: int) -> list[int]:
@@ -290,49 +330,122 @@ def _open_seeds(at: np.ndarray, seed: np.ndarray, unseen: np.ndarray, passages:
     return sorted(out)
 
 
+def _followers(group: np.ndarray, at: np.ndarray, low: int, high: float, done: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows ``(one, other)`` of a group with ``low <= at[other] - at[one] <= high``, in parts; rows are sorted by group and place.
+
+    Groups that the caller marks as ``done`` meanwhile are left.
+    """
+    one, step = np.arange(len(group)), 0
+    while len(one):
+        step += 1
+        one = one[one + step < len(group)]
+        far = at[one + step] - at[one]
+        near = (group[one + step] == group[one]) & (far <= high)
+        if done is not None:
+            near &= ~done[group[one]]
+        one, far = one[near], far[near]
+        yield one[far >= low], one[far >= low] + step
+
+
+def _may_follow(text: np.ndarray, at: np.ndarray, seed: np.ndarray, pair: np.ndarray, there: np.ndarray, pair_seed: np.ndarray, least: int) -> np.ndarray:
+    """Whether each pair of documents (numbered from 0) has two seeds that follow each other on both sides as in a chain of ``least`` words.
+
+    They are in one segment, or the neighbours of a chain's first link.  Seeds are numbered, one number for each text that has
+    it.  Which follow each other in a text is found once for all pairs of the text.
+    """
+    out = np.full(int(pair[-1]) + 1 if len(pair) else 0, least <= SEED)
+    low, high, n = min(least - SEED, SEED), 2 * SEED + (least - 1) / GAP_COST, int(seed.max(initial=0)) + 1
+    order = np.lexsort((at, text))
+    text, at, seed = text[order], at[order], seed[order]
+    follow = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(seed[one] * n + other) for one, other in ((a, seed[b]) for a, b in _followers(text, at, low, high)))]))
+    if not len(follow):
+        return out
+    order = np.lexsort((there, pair))
+    pair, there, pair_seed = pair[order], there[order], pair_seed[order]
+    for one, other in _followers(pair, there, low, high, out):
+        code = pair_seed[one] * n + pair_seed[other]
+        out[pair[one[follow[np.minimum(np.searchsorted(follow, code), len(follow) - 1)] == code]]] = True
+    return out
+
+
+def _may_chain(pair: np.ndarray, here: np.ndarray, there: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
+    """Whether each pair of documents (numbered from 0) may have a chain of ``least`` words; segments are sorted by pair and ``here``.
+
+    It has a segment of so many words, or a chain of two: the first link of a chain leaves a segment that is worth its own words,
+    which must be more than the gap behind it costs.
+    """
+    out = np.zeros(int(pair[-1]) + 1 if len(pair) else 0, bool)
+    out[pair[words >= least]] = True
+    stop = here + words
+    one, step = np.flatnonzero(~out[pair]), 0
+    while len(one):
+        step += 1
+        one = one[one + step < len(pair)]
+        next_ = one + step
+        near = (pair[next_] == pair[one]) & (GAP_COST * (here[next_] - stop[one]) < words[one]) & ~out[pair[one]]
+        one, next_ = one[near], next_[near]
+        gap, other_gap = here[next_] - stop[one], there[next_] - there[one] - words[one]
+        out[pair[one[(gap >= 0) & (other_gap >= 0) & (GAP_COST * (gap + other_gap) < words[one])]]] = True
+    return out
+
+
 def _chains_of_chunk(key: tuple, docs: pa.Table, answers: pa.Table, min_seed_words: int) -> pa.Table:
     """Chains of a chunk's open documents: the earlier document and the segments; and a row without one with its seeds."""
     known = _flat(answers, "seeds", "docs", "places", "unseen")
     order = np.lexsort((known[1], known[0]))
     seed, doc, place, unseen = (v[order] for v in known)
-    chosen, keys = _flat(answers, "open")[0], docs["text_key"].to_numpy()
+    chosen = _flat(answers, "open")[0]
+    if len(chosen):
+        docs = docs.filter(pa.compute.is_in(docs["text_key"], pa.array(chosen, pa.int64())))
+    docs = docs if len(seed) else docs.slice(0, 0)
     rows, others, parts, marks = [], [], [], []
     for numbers, own, data, starts in texts_of(docs):
         text, at, found = seeds(*word_hashes(data, starts))
-        if not len(seed) or not len(text):
-            continue
         found = found.astype(np.int64)
-        if len(chosen):
-            keep = np.isin(keys[numbers[text]], chosen)
-            text, at, found = text[keep], at[keep], found[keep]
         low, high = np.searchsorted(seed, found), np.searchsorted(seed, found, side="right")
-        owner = np.repeat(np.arange(len(text)), high - low)
-        where = np.arange(len(owner)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[owner]
-        match = doc[where] < own[text[owner]]
-        owner, where = owner[match], where[match]
+        # Holders are sorted: a seed with an earlier one has it first.
+        held = np.flatnonzero(low < high)
+        held = held[doc[low[held]] < own[text[held]]]
+        text, at, found, low, high = text[held], at[held], found[held], low[held], high[held]
         # With holders beyond the answer, all of the answer is earlier.
-        more = (unseen[where] > 0) & (doc[high[owner] - 1] < own[text[owner]])
-        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
-        for group in np.split(first, np.flatnonzero(np.diff(text[owner[first]])) + 1) if len(first) else ():
-            rows.append(int(numbers[text[owner[group[0]]]]))
+        more = (unseen[low] > 0) & (doc[high - 1] < own[text])
+        for group in np.split(np.arange(len(text)), np.flatnonzero(np.diff(text)) + 1) if len(text) else ():
+            rows.append(int(numbers[text[group[0]]]))
             others.append(None)
             parts.append([])
-            marks.append((at[owner[group]].astype(np.int64), found[owner[group]], more[group]))
-        text, at = text[owner], at[owner]
-        order = np.lexsort((doc[where], text))
-        text, at, where = text[order], at[order], where[order]
-        cut = np.flatnonzero((np.diff(text) != 0) | (np.diff(doc[where]) != 0)) + 1
-        for group in np.split(np.arange(len(text)), cut) if len(text) else ():
-            if len(group) * SEED < min_seed_words:
-                continue
-            for chain in chains(segments(at[group], place[where[group]].astype(np.int64))):
+            marks.append((at[group].astype(np.int64), found[group], more[group]))
+        # Pairs of documents are counted by seeds, each once however often a text repeats it: a chain has distinct places there.
+        order = np.lexsort((at, found, text))
+        text, at, found, low, high = text[order], at[order], found[order], low[order], high[order]
+        once = np.flatnonzero(np.r_[[True] * (len(text) > 0), (np.diff(text) != 0) | (np.diff(found) != 0)].astype(bool))
+        owner, where = _ranges(low[once], high[once])
+        earlier = doc[where] < own[text[once[owner]]]
+        owner, where = owner[earlier], where[earlier]
+        order = np.lexsort((doc[where], text[once[owner]]))
+        owner, where = owner[order], where[order]
+        pair_text, pair_doc = text[once[owner]], doc[where]
+        begin = np.flatnonzero(np.r_[[True] * (len(owner) > 0), (np.diff(pair_text) != 0) | (np.diff(pair_doc) != 0)].astype(bool))
+        size = np.diff(np.r_[begin, len(owner)])
+        pair = np.repeat(np.arange(len(size)), size)
+        many = size[pair] * SEED >= min_seed_words
+        pair, owner, where = pair[many], owner[many], where[many]
+        numbered = np.repeat(np.arange(len(once)), np.diff(np.r_[once, len(text)]))
+        many = _may_follow(text, at, numbered, pair, place[where].astype(np.int64), owner, min_seed_words)[pair]
+        pair, owner, where = pair[many], owner[many], where[many]
+        match, places = _ranges(once[owner], np.r_[once, len(text)][owner + 1])
+        pair, *parts_of = segments(pair[match], at[places], place[where[match]].astype(np.int64))
+        chained = _may_chain(pair, *parts_of, min_seed_words)[pair]
+        pair, parts_of = pair[chained], np.stack(parts_of, axis=1)[chained]
+        for group in np.split(np.arange(len(pair)), np.flatnonzero(np.diff(pair)) + 1) if len(pair) else ():
+            first = begin[pair[group[0]]]
+            for chain in chains([*map(tuple, parts_of[group].tolist())]):
                 if sum(n for _, _, n in chain) >= min_seed_words:
-                    rows.append(int(numbers[text[group[0]]]))
-                    others.append(int(doc[where[group[0]]]))
+                    rows.append(int(numbers[pair_text[first]]))
+                    others.append(int(pair_doc[first]))
                     parts.append([x for segment in chain for x in segment])
                     marks.append(None)
     lists = [pa.array([None if m is None or not m[2].any() else m[i] for m in marks], pa.list_(t)) for i, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.bool_()))]
-    return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([docs["doc"][r].as_py() for r in rows], pa.int64()), pa.array([docs["text_key"][r].as_py() for r in rows], pa.int64()), pa.array(others, pa.int64()), pa.array(parts, pa.list_(pa.int32())), *lists], ["chunk", "doc", "text_key", "other", "segments", "at", "seeds", "unseen"]).filter(pa.compute.or_(pa.array([o is not None for o in others], pa.bool_()), pa.compute.is_valid(lists[0])))
+    return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), docs["doc"].take(pa.array(rows, pa.int64())), docs["text_key"].take(pa.array(rows, pa.int64())), pa.array(others, pa.int64()), pa.array(parts, pa.list_(pa.int32())), *lists], ["chunk", "doc", "text_key", "other", "segments", "at", "seeds", "unseen"]).filter(pa.compute.or_(pa.array([o is not None for o in others], pa.bool_()), pa.compute.is_valid(lists[0])))
 
 
 def _wishes(key: tuple, table: pa.Table) -> pa.Table:
@@ -365,6 +478,7 @@ def _words_by_row(table: pa.Table, wanted: set[int]) -> Iterator[tuple[int, np.n
 
 
 def _serve(key: tuple, docs: pa.Table, wishes: pa.Table) -> pa.Table:
+    docs = docs.filter(pa.compute.is_in(docs["doc"], pa.array(wishes["doc"].unique().to_pylist(), pa.int64())))
     own: dict[int, list[int]] = {}
     for row, doc in enumerate(docs["doc"].to_pylist()):
         own.setdefault(doc, []).append(row)
@@ -396,6 +510,14 @@ def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min
             mine.setdefault((doc, text_key), []).append((other, parts))
     n_words, passages, again = [0] * docs.num_rows, [[] for _ in range(docs.num_rows)], [[] for _ in range(docs.num_rows)]
     keys = list(zip(docs["doc"].to_pylist(), docs["text_key"].to_pylist(), strict=True))
+    waiting: list[tuple] = []
+
+    def keep_passages() -> None:
+        for (row, other, *_), (a, b, c, d, matches) in zip(waiting, passages_of([x[2:] for x in waiting]), strict=True):
+            if min(b - a, d - c) >= min_words and matches >= min_identity * max(b - a, d - c):
+                passages[row].append({"other": other, "start": a, "end": b, "other_start": c, "other_end": d, "matches": matches})
+        waiting.clear()
+
     for row, here in _words_by_row(docs, set(range(docs.num_rows))):
         n_words[row] = len(here)
         for other, parts in mine.get(keys[row], ()):
@@ -403,11 +525,12 @@ def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min
             low, high = chain[0][1], chain[-1][1] + chain[-1][2]
             for start, there in stretches.get(other, ()):
                 if start <= low and high <= start + len(there):
-                    a, b, c, d, matches = passage(chain, here, there, start)
-                    if min(b - a, d - c) >= min_words and matches >= min_identity * max(b - a, d - c):
-                        passages[row].append({"other": other, "start": a, "end": b, "other_start": c, "other_end": d, "matches": matches})
-        if keys[row] in marks:
-            again[row] = _open_seeds(*marks[keys[row]], [] if all_holders else passages[row], min_words // 2)
+                    waiting.append((row, other, chain, here, there, start))
+        if len(waiting) >= CHAINS:
+            keep_passages()
+    keep_passages()
+    for row in [row for row, key in enumerate(keys) if key in marks]:
+        again[row] = _open_seeds(*marks[keys[row]], [] if all_holders else passages[row], min_words // 2)
     kind = pa.list_(pa.struct([("other", pa.int64()), *((c, pa.int32()) for c in ("start", "end", "other_start", "other_end", "matches"))]))
     out = [docs["id"], pa.array(n_words, pa.int64()), pa.array([sorted(p, key=lambda x: (x["start"], x["other"])) for p in passages], kind)]
     return pa.table([*out, docs["chunk"], docs["doc"], docs["text_key"], pa.array(again, pa.list_(pa.int64()))], ["id", "n_words", "passages", "chunk", "doc", "text_key", "again"])
