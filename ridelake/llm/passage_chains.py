@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ridelake.llm.chunks import bucketed_texts, lists_by_part, part_of, texts_of
 from ridelake.llm.dart_minhash import mix, word_hashes
+from ridelake.operators.joins import key_set, possibly_in
 from ridelake.session import materialize
 
 SEED, REACH = 8, 8
@@ -429,10 +430,12 @@ def _chains_of_chunk(key: tuple, docs: pa.Table, answers: pa.Table, min_seed_wor
         pair = np.repeat(np.arange(len(size)), size)
         many = size[pair] * SEED >= min_seed_words
         pair, owner, where = pair[many], owner[many], where[many]
-        numbered = np.repeat(np.arange(len(once)), np.diff(np.r_[once, len(text)]))
-        many = _may_follow(text, at, numbered, pair, place[where].astype(np.int64), owner, min_seed_words)[pair]
-        pair, owner, where = pair[many], owner[many], where[many]
-        match, places = _ranges(once[owner], np.r_[once, len(text)][owner + 1])
+        repeats = np.diff(np.r_[once, len(text)])
+        if repeats[owner].sum() > 2 * len(owner):
+            numbered = np.repeat(np.arange(len(once)), repeats)
+            many = _may_follow(text, at, numbered, pair, place[where].astype(np.int64), owner, min_seed_words)[pair]
+            pair, owner, where = pair[many], owner[many], where[many]
+        match, places = _ranges(once[owner], once[owner] + repeats[owner])
         pair, *parts_of = segments(pair[match], at[places], place[where[match]].astype(np.int64))
         chained = _may_chain(pair, *parts_of, min_seed_words)[pair]
         pair, parts_of = pair[chained], np.stack(parts_of, axis=1)[chained]
@@ -537,21 +540,26 @@ def _passages(key: tuple, docs: pa.Table, answers: pa.Table, min_words: int, min
 
 
 def _round(keyed: DataFrame, first: DataFrame, opened: DataFrame | None, n_chunks: int, id_type: str, min_words: int, min_identity: float, all_holders: bool) -> DataFrame:
-    """Passages with the holders that ``first`` has, of all rows or of those that ``opened`` names, and the seeds asked again."""
-    found = keyed.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(lambda key, left, right: _chains_of_chunk(key, left, right, min_words // 2), "chunk int, doc long, text_key long, other long, segments array<int>, at array<long>, seeds array<long>, unseen array<boolean>")
+    """Passages with the holders that ``first`` has, of all rows or of those in ``opened``, and the seeds asked again."""
+    some = opened is not None
+    # Texts that are not asked for stay where they are read.
+    among = lambda wanted: possibly_in(keyed, "doc", key_set(wanted, "doc")) if some else keyed
+    texts = among(opened) if some else keyed
+    found = texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(lambda key, left, right: _chains_of_chunk(key, left, right, min_words // 2), "chunk int, doc long, text_key long, other long, segments array<int>, at array<long>, seeds array<long>, unseen array<boolean>")
     found = materialize(found, "passage-chains")
-    wishes = found.filter("other IS NOT NULL").groupBy("chunk").applyInArrow(_wishes, "doc long, start int, end int, asker int")
+    linked = found.filter("other IS NOT NULL")
+    wishes = linked.groupBy("chunk").applyInArrow(_wishes, "doc long, start int, end int, asker int")
     wishes = wishes.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.lit(n_chunks)).cast("int"))
-    served = keyed.groupBy("chunk").cogroup(wishes.groupBy("chunk")).applyInArrow(_serve, "chunk int, other long, start int, words binary")
+    served = among(linked.select(F.col("other").alias("doc"))).groupBy("chunk").cogroup(wishes.groupBy("chunk")).applyInArrow(_serve, "chunk int, other long, start int, words binary")
     served = materialize(served, "passage-words")
     nothing = lambda t: F.lit(None).cast(t)
     answers = found.select("chunk", F.lit(0).alias("kind"), "doc", "text_key", "other", "segments", "at", "seeds", "unseen", nothing("int").alias("start"), nothing("binary").alias("words"))
     answers = answers.unionByName(served.select("chunk", F.lit(1).alias("kind"), "other", "start", "words"), allowMissingColumns=True)
-    some = opened is not None
     if some:
-        answers = answers.unionByName(opened.select("chunk", F.lit(2).alias("kind"), "open"), allowMissingColumns=True)
+        by_chunk = opened.groupBy("chunk").agg(F.collect_set("text_key").alias("open"))
+        answers = answers.unionByName(by_chunk.select("chunk", F.lit(2).alias("kind"), "open"), allowMissingColumns=True)
     schema = f"id {id_type}, n_words long, passages array<struct<other: long, start: int, end: int, other_start: int, other_end: int, matches: int>>, chunk int, doc long, text_key long, again array<long>"
-    return keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda key, left, right: _passages(key, left, right, min_words, min_identity, some, all_holders), schema)
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda key, left, right: _passages(key, left, right, min_words, min_identity, some, all_holders), schema)
 
 
 def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 30, min_identity: float = 0.7, chunk_bytes: int = 16_000_000, all_holders: bool = False) -> DataFrame:
@@ -585,5 +593,6 @@ def fuzzy_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         most *= MORE
         asks = asking.select("chunk", "doc", "again").groupBy("chunk").applyInArrow(lambda key, table: _asks(key, table, n_chunks), "part int, seeds array<long>, last array<long>, chunk int")
         more = held.groupBy("part").cogroup(asks.groupBy("part")).applyInArrow(_more_of_part(most), _HELD)
-        opened = asking.groupBy("chunk").agg(F.collect_set("text_key").alias("open"))
-        answers = more.withColumn("open", no_list).unionByName(opened, allowMissingColumns=True)
+        opened = asking.select("chunk", "doc", "text_key")
+        by_chunk = opened.groupBy("chunk").agg(F.collect_set("text_key").alias("open"))
+        answers = more.withColumn("open", no_list).unionByName(by_chunk, allowMissingColumns=True)
